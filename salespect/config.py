@@ -50,8 +50,6 @@ class Settings:
     quantile_accuracy: int | None = None
     # False replaces exact distinct counts with HyperLogLog sketches.
     exact_distinct: bool = True
-    # Number of value ranges the global ranks are split into.
-    rank_ranges: int = 128
     # Output layout.
     partition_min_rows: int = 100_000
     max_records_per_file: int = 100_000

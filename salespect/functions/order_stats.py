@@ -1,10 +1,9 @@
 """Exact global ranks and quantiles without a single-task sort.
 
 Ordering a whole table by one column would send every row to one task. Here
-equal values are first counted together, the distinct values are cut into
-ranges of similar size, and only a summary of at most `ranges` entries is
-combined in one place. Each range is then ordered by its own task and shifted
-by what lies above it.
+equal values are first counted together, the distinct values are range
+partitioned, and only one total per range is combined in one place. Each range
+is ordered by its own task and shifted by what lies above it.
 """
 
 from __future__ import annotations
@@ -15,106 +14,121 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
+from salespect.functions.staging import staged
 
 
-def _range_summary(counts: DataFrame, ranges: int) -> DataFrame:
-    """One row: array of (upper, values_above, rows_above, total_rows), highest range first.
+def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct non-null values of numeric columns, each column in descending order.
 
-    The cut points may be approximate, since they only balance the work. What is
-    counted against them is exact, and later steps look values up in this array
-    alone, so the result does not depend on where the cuts fall.
-    """
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = counts.agg(F.percentile_approx("value", shares, 100 * ranges)).scalar()
-    reached = F.array_min(F.filter("cuts", lambda cut: cut >= F.col("value")))
-    per_range = (
-        counts.withColumn("cuts", cuts)
-        .select(F.coalesce(reached, F.lit(float("inf"))).alias("upper"), "n")
-        .groupBy("upper")
-        .agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"))
-    )
-    above = Window.orderBy(F.desc("upper")).rowsBetween(Window.unboundedPreceding, -1)
-    entries = per_range.select(
-        "upper",
-        F.coalesce(F.sum("values").over(above), F.lit(0)).alias("values_above"),
-        F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("rows_above"),
-        F.sum("rows").over(Window.partitionBy()).alias("total_rows"),
-    )
-    return entries.agg(
-        F.reverse(
-            F.array_sort(F.collect_list(F.struct("upper", "values_above", "rows_above", "total_rows")))
-        )
-    )
-
-
-def ranked_values(df: DataFrame, column: str, ranges: int = Settings.rank_ranges) -> DataFrame:
-    """Distinct non-null values of a numeric column in descending order.
-
-    Gives value, n (rows with it), dense_rank, rows_before (rows with a greater
-    value) and total_rows.
+    Gives column_name, value, n (rows with the value), dense_rank, rows_before
+    (rows with a greater value) and total_rows. The counted values are written
+    together with the number of their range, which fixes the ranges for all
+    later reads and retries; calling this runs that job.
     """
     counts = (
-        df.select(F.col(column).cast("double").alias("value"))
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot([], list(columns), "column_name", "value")
         .filter(F.col("value").isNotNull())
-        .groupBy("value")
+        .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    summary = _range_summary(counts, ranges).scalar()
-    slot = F.element_at(F.filter("summary", lambda s: s["upper"] >= F.col("value")), -1)
-    within = Window.partitionBy("_range.upper").orderBy(F.desc("value"))
+    ranged = staged(
+        counts.repartitionByRange("column_name", F.desc("value")).withColumn(
+            "range", F.spark_partition_id()
+        ),
+        "value_counts",
+    )
+    key = ["column_name", "range"]
+    column = Window.partitionBy("column_name")
+    above = column.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(*key)
+        .agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows"))
+        .select(
+            *key,
+            F.coalesce(F.sum("values").over(above), F.lit(0)).alias("values_above"),
+            F.coalesce(F.sum("rows").over(above), F.lit(0)).alias("rows_above"),
+            F.sum("rows").over(column).alias("total_rows"),
+        )
+    )
+    within = Window.partitionBy(*key).orderBy(F.desc("value"))
     before = within.rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("summary", summary).withColumn("_range", slot).select(
+    # One offset row per shuffle partition and column: safe to broadcast at any data size.
+    return ranged.join(F.broadcast(offsets), key).select(
+        "column_name",
         "value",
         "n",
-        (F.col("_range.values_above") + F.row_number().over(within)).alias("dense_rank"),
-        (F.col("_range.rows_above") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias(
-            "rows_before"
-        ),
-        F.col("_range.total_rows").alias("total_rows"),
+        (F.col("values_above") + F.row_number().over(within)).alias("dense_rank"),
+        (F.col("rows_above") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("rows_before"),
+        "total_rows",
     )
 
 
 def with_global_rank(
     df: DataFrame,
+    ranked: DataFrame,
     column: str,
     rank: str,
     percentile: str | None = None,
-    ranges: int = Settings.rank_ranges,
 ) -> DataFrame:
     """Add the dense rank by the column, highest first, and optionally the percent rank * 100.
 
-    The frame is read twice, so pass a stored one. Rows without a value get no rank.
+    `ranked` comes from ranked_values on the same frame. Rows without a value
+    get no rank.
     """
     below = F.greatest(F.col("total_rows") - 1, F.lit(1))
     added = [F.col("dense_rank").alias(rank)]
     if percentile:
         added.append((F.col("rows_before") / below * 100).alias(percentile))
-    ranks = ranked_values(df, column, ranges).select(F.col("value").alias(column), *added)
+    ranks = ranked.filter(F.col("column_name") == column).select(
+        F.col("value").alias(column), *added
+    )
+    if dict(df.dtypes)[column] != "double":
+        ranks = ranks.withColumn(column, F.col(column).cast(df.schema[column].dataType))
     return df.join(ranks, column, "left")
 
 
-def quantile_frame(
-    df: DataFrame, column: str, shares: Sequence[float], cfg: Settings = Settings()
-) -> DataFrame:
-    """One row with an array `quantiles`: for each share p the smallest value reaching it.
-
-    Exact unless the settings name an accuracy; then percentile_approx is used.
-    """
-    if cfg.quantile_accuracy is not None:
-        value = F.col(column).cast("double")
-        estimate = F.percentile_approx(value, list(shares), cfg.quantile_accuracy)
-        return df.agg(estimate.alias("quantiles"))
+def quantile_frame(ranked: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
+    """One row with an array per column: for each share the smallest value reaching it."""
     up_to = F.col("total_rows") - F.col("rows_before")
-    reached = [
-        F.min(F.when(up_to >= F.ceil(F.col("total_rows") * share), F.col("value")))
-        for share in shares
-    ]
-    return ranked_values(df, column, cfg.rank_ranges).agg(F.array(*reached).alias("quantiles"))
+
+    def reached(column: str, share: float) -> Column:
+        hit = (F.col("column_name") == column) & (up_to >= F.ceil(F.col("total_rows") * share))
+        return F.min(F.when(hit, F.col("value")))
+
+    return ranked.agg(
+        *[
+            F.array(*[reached(column, share) for share in shares]).alias(column)
+            for column, shares in wanted.items()
+        ]
+    )
+
+
+def approximate_quantile_frame(
+    df: DataFrame, wanted: dict[str, Sequence[float]], accuracy: int
+) -> DataFrame:
+    """The same by percentile_approx: one pass, no ranking, rank error 1 / accuracy."""
+    return df.agg(
+        *[
+            F.percentile_approx(F.col(column).cast("double"), list(shares), accuracy).alias(column)
+            for column, shares in wanted.items()
+        ]
+    )
 
 
 def quantiles(
-    df: DataFrame, column: str, shares: Sequence[float], cfg: Settings = Settings()
-) -> list[Column]:
-    """The quantiles as scalar-subquery columns, usable in any expression."""
-    found = quantile_frame(df, column, shares, cfg).scalar()
-    return [found[i] for i in range(len(shares))]
+    df: DataFrame,
+    wanted: dict[str, Sequence[float]],
+    cfg: Settings = Settings(),
+    ranked: DataFrame | None = None,
+) -> dict[str, list[Column]]:
+    """Quantiles as scalar-subquery columns, usable in any expression.
+
+    Exact unless the settings name an accuracy.
+    """
+    if cfg.quantile_accuracy is not None:
+        row = approximate_quantile_frame(df, wanted, cfg.quantile_accuracy)
+    else:
+        row = quantile_frame(ranked if ranked is not None else ranked_values(df, list(wanted)), wanted)
+    found = row.select(F.struct("*")).scalar()
+    return {c: [found[c][i] for i in range(len(shares))] for c, shares in wanted.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salespect.config import Settings
 from salespect.functions.columns import distinct_count, ladder, money_avg, money_sum, rate
-from salespect.functions.order_stats import quantiles, with_global_rank
+from salespect.functions.order_stats import quantiles, ranked_values, with_global_rank
 from salespect.functions.staging import staged
 from salespect.schema import UNKNOWN
 
@@ -52,10 +52,14 @@ def customer_base(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     )
 
 
-def _with_levels(customers: DataFrame, cfg: Settings) -> tuple[DataFrame, Column]:
+def _with_levels(
+    customers: DataFrame, cfg: Settings, ranked: DataFrame | None
+) -> tuple[DataFrame, Column]:
     """Value and frequency level of each customer, and the median frequency."""
-    spent_25, spent_50, spent_75 = quantiles(customers, "total_spent", (0.25, 0.5, 0.75), cfg)
-    often_50, often_75 = quantiles(customers, "order_frequency", (0.5, 0.75), cfg)
+    wanted = {"total_spent": (0.25, 0.5, 0.75), "order_frequency": (0.5, 0.75)}
+    bars = quantiles(customers, wanted, cfg, ranked)
+    spent_25, spent_50, spent_75 = bars["total_spent"]
+    often_50, often_75 = bars["order_frequency"]
     value = ladder(
         F.col("total_spent"),
         [(spent_75, "High"), (spent_50, "Medium"), (spent_25, "Low")],
@@ -76,9 +80,11 @@ def _at(value: str, frequency: str) -> Column:
     return (F.col("value_segment") == value) & (F.col("frequency_segment") == frequency)
 
 
-def segment_customers(customers: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def segment_customers(
+    customers: DataFrame, cfg: Settings = Settings(), ranked: DataFrame | None = None
+) -> DataFrame:
     """Nine segments by value, frequency, order count and lifetime; the first rule that holds wins."""
-    levelled, often_50 = _with_levels(customers, cfg)
+    levelled, often_50 = _with_levels(customers, cfg, ranked)
     lifetime = F.col("customer_lifetime_days")
     rules = [
         (_at("High", "Frequent"), "Champions"),
@@ -93,9 +99,11 @@ def segment_customers(customers: DataFrame, cfg: Settings = Settings()) -> DataF
     return levelled.withColumn("customer_segment", _segment(rules, "Needs Attention"))
 
 
-def segment_customers_basic(customers: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def segment_customers_basic(
+    customers: DataFrame, cfg: Settings = Settings(), ranked: DataFrame | None = None
+) -> DataFrame:
     """The earlier six-segment scheme."""
-    levelled, _ = _with_levels(customers, cfg)
+    levelled, _ = _with_levels(customers, cfg, ranked)
     rules = [
         (_at("High", "Frequent"), "Champions"),
         (_at("High", "Regular"), "Loyal Customers"),
@@ -106,16 +114,16 @@ def segment_customers_basic(customers: DataFrame, cfg: Settings = Settings()) ->
     return levelled.withColumn("customer_segment", _segment(rules, "Needs Attention"))
 
 
-def rank_customers(customers: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    return with_global_rank(
-        customers, "total_spent", "revenue_rank", "revenue_percentile", cfg.rank_ranges
-    )
+def rank_customers(customers: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
+    if ranked is None:
+        ranked = ranked_values(customers, ["total_spent"])
+    return with_global_rank(customers, ranked, "total_spent", "revenue_rank", "revenue_percentile")
 
 
 def finish_customers(base: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Segments and ranks on a stored customer base."""
-    spent = ("total_spent", "revenue_rank", "revenue_percentile")
-    return with_global_rank(segment_customers(base, cfg), *spent, ranges=cfg.rank_ranges)
+    ranked = ranked_values(base, ["total_spent", "order_frequency"])
+    return rank_customers(segment_customers(base, cfg, ranked), ranked)
 
 
 def customer_metrics(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:

@@ -17,9 +17,14 @@ from salespect.functions.columns import (
 )
 from salespect.schema import UNKNOWN
 
-# The windows below run over one row per selling day. The valid years bound
-# their number, so ordering them in one task is cheap at any data size.
-BY_DAY = Window.orderBy("invoice_date")
+
+def _by_day():
+    """Order of the selling days.
+
+    There is one row per day and the valid years bound their number, so ordering
+    them in one task is cheap at any data size.
+    """
+    return Window.orderBy("invoice_date")
 
 
 def daily_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -57,7 +62,7 @@ def daily_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 def with_moving_averages(days: DataFrame) -> DataFrame:
     """Averages over the last 7 and 30 selling days."""
-    week, month = BY_DAY.rowsBetween(-6, 0), BY_DAY.rowsBetween(-29, 0)
+    week, month = _by_day().rowsBetween(-6, 0), _by_day().rowsBetween(-29, 0)
     revenue = cents(F.col("total_revenue"))
 
     def revenue_mean(window):
@@ -83,8 +88,8 @@ def with_growth(days: DataFrame) -> DataFrame:
 
     return days.withColumns(
         {
-            "revenue_yesterday": F.lag("total_revenue").over(BY_DAY),
-            "orders_yesterday": F.lag("total_orders").over(BY_DAY),
+            "revenue_yesterday": F.lag("total_revenue").over(_by_day()),
+            "orders_yesterday": F.lag("total_orders").over(_by_day()),
         }
     ).withColumns(
         {

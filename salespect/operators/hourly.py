@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from salespect.config import Settings
 from salespect.functions.columns import cents, day_name, distinct_count, flag
 
-# At most 24 x 7 rows leave the aggregation, so windows over all of them are small.
-ALL_CELLS = Window.partitionBy()
+
+def _all_cells():
+    """All rows of the aggregate: at most 24 x 7, so one task holds them easily."""
+    return Window.partitionBy()
 
 
 def hourly_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -36,8 +38,8 @@ def hourly_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         {
             "total_revenue": F.col("_cents") / 100,
             "avg_transaction_value": F.col("_cents") / 100 / count,
-            "transaction_share": count / F.sum(count).over(ALL_CELLS) * 100,
-            "revenue_share": F.col("_cents") / F.sum("_cents").over(ALL_CELLS) * 100,
+            "transaction_share": count / F.sum(count).over(_all_cells()) * 100,
+            "revenue_share": F.col("_cents") / F.sum("_cents").over(_all_cells()) * 100,
             "avg_items_per_transaction": F.col("total_items") / count,
             "high_value_rate": F.col("high_value_transactions") / count,
             "international_rate": F.col("international_transactions") / count,
@@ -54,7 +56,7 @@ def with_peak_hours(cells: DataFrame) -> DataFrame:
     return (
         cells.withColumn("_hour_total", F.sum("transaction_count").over(per_hour))
         .withColumn("_once", F.when(once, F.col("_hour_total")))
-        .withColumn("_bar", F.percentile_approx("_once", 0.75).over(ALL_CELLS))
+        .withColumn("_bar", F.percentile_approx("_once", 0.75).over(_all_cells()))
         .withColumn("is_peak_hour", flag(F.col("_hour_total") >= F.col("_bar")))
         .drop("_hour_total", "_once", "_bar")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salespect.config import Settings
 from salespect.functions.columns import distinct_count, money_sum, rate
-from salespect.functions.order_stats import quantiles, with_global_rank
+from salespect.functions.order_stats import quantiles, ranked_values, with_global_rank
 from salespect.functions.staging import staged
 
 
@@ -41,10 +41,13 @@ def product_base(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     )
 
 
-def categorize_products(products: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def categorize_products(
+    products: DataFrame, cfg: Settings = Settings(), ranked: DataFrame | None = None
+) -> DataFrame:
     """Portfolio class by whether revenue and reach are in the top fifth."""
-    (revenue_bar,) = quantiles(products, "total_revenue", (0.8,), cfg)
-    (reach_bar,) = quantiles(products, "unique_customers", (0.8,), cfg)
+    wanted = {"total_revenue": (0.8,), "unique_customers": (0.8,)}
+    bars = quantiles(products, wanted, cfg, ranked)
+    (revenue_bar,), (reach_bar,) = bars["total_revenue"], bars["unique_customers"]
     earns, reaches = F.col("total_revenue") >= revenue_bar, F.col("unique_customers") >= reach_bar
     return products.withColumn(
         "product_category",
@@ -54,18 +57,19 @@ def categorize_products(products: DataFrame, cfg: Settings = Settings()) -> Data
     )
 
 
-def rank_products(products: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+def rank_products(products: DataFrame, ranked: DataFrame | None = None) -> DataFrame:
+    if ranked is None:
+        ranked = ranked_values(products, ["total_revenue", "popularity_score"])
     by_revenue = with_global_rank(
-        products, "total_revenue", "revenue_rank", "revenue_percentile", cfg.rank_ranges
-    )
-    return with_global_rank(
-        by_revenue, "popularity_score", "popularity_rank", ranges=cfg.rank_ranges
+        products, ranked, "total_revenue", "revenue_rank", "revenue_percentile"
     )
+    return with_global_rank(by_revenue, ranked, "popularity_score", "popularity_rank")
 
 
 def finish_products(base: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Portfolio classes and ranks on a stored product base."""
-    return base.transform(categorize_products, cfg).transform(rank_products, cfg)
+    ranked = ranked_values(base, ["total_revenue", "unique_customers", "popularity_score"])
+    return rank_products(categorize_products(base, cfg, ranked), ranked)
 
 
 def product_metrics(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:

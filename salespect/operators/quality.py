@@ -219,9 +219,9 @@ def date_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 def outlier_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Bounds by interquartile range and the share outside, one row per numeric column."""
     names = [c for c in OUTLIER_COLUMNS if c in df.columns]
+    quartiles = quantiles(df, {name: (0.25, 0.75) for name in names}, cfg)
     bounds, counts = {}, [F.count(F.lit(1)).alias("row_count")]
-    for name in names:
-        low, high = quantiles(df, name, (0.25, 0.75), cfg)
+    for name, (low, high) in quartiles.items():
         reach = (high - low) * cfg.iqr_factor
         bounds[name] = (low - reach, high + reach)
         outside = (F.col(name) < bounds[name][0]) | (F.col(name) > bounds[name][1])

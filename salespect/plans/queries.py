@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salespect.functions.classify import register_sql_functions
-from salespect.functions.order_stats import quantile_frame
+from salespect.functions.order_stats import quantile_frame, ranked_values
 from salespect.functions.staging import staged
 from salespect.operators import (
     clean,
@@ -171,6 +171,12 @@ def _business_rules(i: Inputs) -> DataFrame:
     return _with_status(stats, quality.basic_checks(i.stored, i.cfg), "business_rules")
 
 
+def _quantiles(i: Inputs) -> DataFrame:
+    shares = {"total_price": (0.25, 0.5, 0.75)}
+    row = quantile_frame(ranked_values(i.enriched, list(shares)), shares)
+    return row.select(*[F.col("total_price")[n].alias(f"p{p}") for n, p in enumerate((25, 50, 75))])
+
+
 def _with_status(stats: DataFrame, checks: DataFrame, check: str) -> DataFrame:
     return stats.withColumn("status", checks.filter(F.col("check") == check).select("status").scalar())
 
@@ -208,7 +214,7 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "customer_segments_basic": lambda i: customers.segment_customers_basic(
         i.customers, i.cfg
     ).select("customer_id", "country", "customer_segment"),
-    "customer_rank": lambda i: customers.rank_customers(i.customers, i.cfg).select(
+    "customer_rank": lambda i: customers.rank_customers(i.customers).select(
         *("customer_id", "country", "total_spent", "revenue_rank", "revenue_percentile")
     ),
     "top_customers": lambda i: reports.top_customers(
@@ -220,7 +226,7 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "product_category": lambda i: products.categorize_products(i.products, i.cfg).select(
         *("product_id", "product_description", "product_category")
     ),
-    "product_rank": lambda i: products.rank_products(i.products, i.cfg).select(
+    "product_rank": lambda i: products.rank_products(i.products).select(
         *("product_id", "product_description", "revenue_rank"),
         *("popularity_rank", "revenue_percentile"),
     ),
@@ -250,9 +256,7 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "peak_hours": lambda i: hourly.with_peak_hours(hourly.hourly_totals(i.enriched, i.cfg)).select(
         "hour", "day_of_week", "transaction_count", "is_peak_hour"
     ),
-    "quantiles": lambda i: quantile_frame(i.stored, "total_price", (0.25, 0.5, 0.75), i.cfg).select(
-        *[F.col("quantiles")[n].alias(f"p{p}") for n, p in enumerate((25, 50, 75))]
-    ),
+    "quantiles": _quantiles,
     # data quality
     "dq_row_count": _basic_check("row_count", "row_count"),
     "dq_nulls": lambda i: quality.line_stats(i.standard, i.cfg).select(
