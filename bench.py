@@ -66,7 +66,7 @@ def main() -> None:
 
     lines = spark.read.parquet(f"{work}/out/enriched_data")
     timed("quality_checks", lambda: run_all_checks(lines, STAR_SETTINGS).collect())
-    timed("metric_tables", lambda: write_metrics(lines, f"{work}/again", STAR_SETTINGS, jobs=3))
+    timed("metric_tables", lambda: write_metrics(lines, f"{work}/again", STAR_SETTINGS))
 
     # Single queries, each from the star tables.
     for name in HEADLINES:

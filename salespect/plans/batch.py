@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
@@ -81,20 +81,31 @@ def _metric_builders(cfg: Settings) -> dict[str, Callable[[DataFrame], tuple[Dat
 METRIC_TABLES = tuple(_metric_builders(Settings()))
 
 
+def _write_metric(name: str, lines: DataFrame, output: str, cfg: Settings) -> Written:
+    table, rows = _metric_builders(cfg)[name](lines)
+    columns = partition_columns(name, rows, cfg)
+    return write_table(table, f"{output}/{name}", columns, rows, cfg)
+
+
 def write_metrics(
-    lines: DataFrame, output: str, cfg: Settings = Settings(), jobs: int = 1
+    lines: DataFrame, output: str, cfg: Settings = Settings(), jobs: int = len(METRIC_TABLES)
 ) -> dict[str, Written]:
-    """Compute and write the metric tables, up to `jobs` of them at a time."""
+    """Compute and write the metric tables, up to `jobs` of them at a time.
 
-    def write(item) -> Written:
-        name, build = item
-        table, rows = build(lines)
-        columns = partition_columns(name, rows, cfg)
-        return write_table(table, f"{output}/{name}", columns, rows, cfg)
-
-    builders = _metric_builders(cfg)
+    The jobs are independent scans of the same table; submitting them together
+    lets small ones fill executors that large ones leave idle.
+    """
     with ThreadPoolExecutor(max_workers=jobs) as pool:
-        return dict(zip(builders, pool.map(write, builders.items())))
+        written = pool.map(lambda name: _write_metric(name, lines, output, cfg), METRIC_TABLES)
+        return dict(zip(METRIC_TABLES, written))
+
+
+def _check_quality(lines: DataFrame, output: str, cfg: Settings) -> tuple[DataFrame, Row]:
+    """Run and report the checks; returns the stored check rows and their summary."""
+    checks = staged(run_all_checks(lines, cfg), "checks")
+    verdict = summarize_checks(checks)
+    write_quality_report(checks, verdict, f"{output}/quality_report")
+    return checks, verdict.first()
 
 
 def run_batch(
@@ -102,15 +113,16 @@ def run_batch(
     output: str,
     cfg: Settings = Settings(),
     *,
-    jobs: int = 3,
+    jobs: int = len(METRIC_TABLES),
     run_log: str | None = None,
     stop_on_errors: bool = False,
 ) -> dict:
     """Run everything on raw lines and return the run record.
 
     The enriched table is computed and written once; all later stages scan it
-    with only the columns they need. Failed quality checks are reported but stop
-    the run only on request.
+    with only the columns they need. The quality checks run beside the metric
+    tables, since failed ones are reported without stopping the run; on request
+    they run first and stop it.
     """
     spark = raw.sparkSession
     stages, begin = Stages(), time.monotonic()
@@ -121,16 +133,14 @@ def run_batch(
             enriched = enrich(raw, cfg)
             rows = write_table(enriched, path, partition_columns("enriched_data", None, cfg)).rows
             lines = spark.read.schema(enriched.schema).parquet(path).select(*enriched.columns)
-        with stages.stage("quality"):
-            checks = staged(run_all_checks(lines, cfg), "checks")
-            verdict = summarize_checks(checks)
-            write_quality_report(checks, verdict, f"{output}/quality_report")
-            quality = verdict.first()
-        if stop_on_errors and not quality.quality_passed:
-            raise QualityError(f"{quality.failed} quality checks failed")
-        with stages.stage("metrics"):
+        with stages.stage("quality_and_metrics"), ThreadPoolExecutor(1) as beside:
+            checking = beside.submit(_check_quality, lines, output, cfg)
+            if stop_on_errors and not checking.result()[1].quality_passed:
+                raise QualityError(f"{checking.result()[1].failed} quality checks failed")
             written = write_metrics(lines, output, cfg, jobs)
+            checks, quality = checking.result()
         with stages.stage("report"):
+            verdict = summarize_checks(checks)
             tables = {n: spark.read.parquet(w.path) for n, w in written.items()}
             summary = run_summary(
                 tables["customer_metrics"],
@@ -182,7 +192,7 @@ def main() -> None:
     parser.add_argument("source", help="folder with the CSV files")
     parser.add_argument("output", help="folder for the result tables")
     parser.add_argument("--run-log", help="folder of the run log")
-    parser.add_argument("--jobs", type=int, default=3, help="metric tables computed at a time")
+    parser.add_argument("--jobs", type=int, default=len(METRIC_TABLES), help="metric tables computed at a time")
     parser.add_argument("--stop-on-errors", action="store_true")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("salespect").getOrCreate()
