@@ -122,13 +122,18 @@ def quantiles(
     cfg: Settings = Settings(),
     ranked: DataFrame | None = None,
 ) -> dict[str, list[Column]]:
-    """Quantiles as scalar-subquery columns, usable in any expression.
+    """Quantiles as literal columns, usable in any expression.
 
-    Exact unless the settings name an accuracy.
+    Exact unless the settings name an accuracy. This runs the job that finds
+    them: the few numbers asked for are all that reaches the driver, and plans
+    that use them stay small. Without rows they are NULL.
     """
     if cfg.quantile_accuracy is not None:
         row = approximate_quantile_frame(df, wanted, cfg.quantile_accuracy)
     else:
         row = quantile_frame(ranked if ranked is not None else ranked_values(df, list(wanted)), wanted)
-    found = row.select(F.struct("*")).scalar()
-    return {c: [found[c][i] for i in range(len(shares))] for c, shares in wanted.items()}
+    found = row.first().asDict()
+    return {
+        column: [F.lit(value).cast("double") for value in found[column] or [None] * len(shares)]
+        for column, shares in wanted.items()
+    }

@@ -342,8 +342,7 @@ def _ranges() -> Column:
 
 
 def _business_rules(df: DataFrame, cfg: Settings) -> Column:
-    mismatched = F.col("price_mismatches")
-    suspicious = suspicious_customers(df, cfg).agg(F.count(F.lit(1))).scalar()
+    mismatched, suspicious = F.col("price_mismatches"), F.col("suspicious_customers")
     findings = [
         F.when(mismatched > 0, F.format_string("%d price calculation errors", mismatched)),
         F.when(suspicious > 0, F.format_string("%d suspicious customers", suspicious)),
@@ -359,7 +358,7 @@ def _business_rules(df: DataFrame, cfg: Settings) -> Column:
         "business_rules",
         F.when(broken, F.concat_ws("; ", *findings)).otherwise("all rules hold"),
         warning=broken,
-        metrics=["price_mismatches"],
+        metrics=["price_mismatches", "suspicious_customers"],
     )
 
 
@@ -492,8 +491,12 @@ def basic_checks(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         return build() if problem is None else problem
 
     priced = ("quantity", "unit_price")
+    stats = line_stats(df, cfg)
+    if {"customer_id", "total_price"} <= have:
+        count = suspicious_customers(df, cfg).agg(F.count(F.lit(1))).scalar()
+        stats = stats.withColumn("suspicious_customers", count)
     return _rows(
-        line_stats(df, cfg),
+        stats,
         _row_count(cfg),
         _schema(df),
         *[_nulls(c) for c in CRITICAL_COLUMNS if c in have],

@@ -59,7 +59,7 @@ def write_table(
     from it.
     """
     if rows is not None and not partition_by:
-        shaped = df.coalesce(1) if file_count(rows, cfg) == 1 else df.repartition(file_count(rows, cfg))
+        shaped = df.repartition(file_count(rows, cfg))
     else:
         shaped = df.hint("rebalance", *partition_by)
     seen = Observation()
