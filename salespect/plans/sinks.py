@@ -99,7 +99,7 @@ def quality_text(checks: DataFrame, summary: DataFrame, generated: datetime) ->
             lines.append(f"- {row.check}: {row.message}")
             if status == "failed" and row.metrics:
                 lines.append(f"  {json.dumps(row.metrics, sort_keys=True)}")
-    return "\n".join(lines) + "\n"
+    return "\n".join(lines)
 
 
 def write_quality_report(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salespect.functions.staging import staged
 from salespect.schema import INVOICE_TIME_FORMAT, RAW_SCHEMA, STANDARD_SCHEMA
 from salespect.sources.files import CSV_GLOB, list_files, main_file
 
@@ -44,9 +45,13 @@ def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Well-formed lines, and the quarantined rest with its original text."""
-    bad = F.col(CORRUPT).isNotNull()
-    return df.filter(~bad).drop(CORRUPT), df.filter(bad)
+    """Well-formed lines, and the quarantined rest with its original text.
+
+    A CSV scan parses only the columns a query asks for and judges lines by
+    those, so the lines are first stored as parsed in full.
+    """
+    parsed, bad = staged(df, "parsed_csv"), F.col(CORRUPT).isNotNull()
+    return parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad)
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
