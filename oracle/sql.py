@@ -521,6 +521,9 @@ def _lines_as(select: str) -> str:
 ORACLE: dict[str, str] = {
     "scan_parquet": "SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) "
     "FROM orders",
+    "scan_csv": _sql([RAW], "SELECT * FROM raw"),
+    "scan_csv_gzip": _sql([RAW], "SELECT * FROM raw"),
+    "scan_json": _sql([RAW], "SELECT * FROM raw"),
     "profile": _sql(
         [RAW],
         """SELECT count(*) AS row_count,
@@ -580,6 +583,7 @@ ORACLE: dict[str, str] = {
     ),
     "product_text_flags": _sql([RAW], f"SELECT *, {TEXT_FLAGS} FROM raw"),
     "enriched": _lines_as(f"SELECT * EXCLUDE (moment) REPLACE ({WHEN_BOTH}) FROM lines"),
+    "enriched_table": _lines_as(f"SELECT * EXCLUDE (moment) REPLACE ({WHEN_BOTH}) FROM lines"),
     "customer_sequence": _lines_as(
         f"""SELECT * EXCLUDE (moment) REPLACE ({WHEN_BOTH}),
           row_number() OVER (PARTITION BY customer_id ORDER BY invoice_datetime, invoice_no,
@@ -790,3 +794,4 @@ ORACLE: dict[str, str] = {
                        (SELECT count(*) FROM products) AS total_products)""",
     ),
 }
+ORACLE["batch_report"] = ORACLE["run_summary"]

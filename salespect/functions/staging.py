@@ -28,15 +28,19 @@ def _staging_root(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/staged-{spark.sparkContext.applicationId}"
 
 
+def staging_path(spark: SparkSession, label: str) -> str:
+    """A folder not used before."""
+    return f"{_staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and return a scan of what was written."""
-    spark = df.sparkSession
-    path = f"{_staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete everything this application has staged."""
+    """Delete everything this application has staged; frames that read it stop working."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_staging_root(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

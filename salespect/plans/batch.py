@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
@@ -122,15 +122,18 @@ def run_batch(
     The enriched table is computed and written once; all later stages scan it
     with only the columns they need. The quality checks run beside the metric
     tables, since failed ones are reported without stopping the run; on request
-    they run first and stop it.
+    they run first and stop it. The staged intermediate tables stay until the
+    caller drops them.
     """
     spark = raw.sparkSession
     stages, begin = Stages(), time.monotonic()
     record: dict = {"status": "started", "start_time": datetime.now().isoformat()}
+    read = Observation()
     try:
         with stages.stage("transformation"):
             path = f"{output}/enriched_data"
-            enriched = enrich(raw, cfg)
+            counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
+            enriched = enrich(counted, cfg)
             rows = write_table(enriched, path, partition_columns("enriched_data", None, cfg)).rows
             lines = spark.read.schema(enriched.schema).parquet(path).select(*enriched.columns)
         with stages.stage("quality_and_metrics"), ThreadPoolExecutor(1) as beside:
@@ -160,7 +163,9 @@ def run_batch(
         seconds = time.monotonic() - begin
         record |= {
             "status": "completed",
+            "rows_read": read.get["rows"],
             "rows_processed": rows,
+            "retained_percent": 100.0 * rows / read.get["rows"] if read.get["rows"] else 0.0,
             "rows_written": {n: w.rows for n, w in written.items()},
             "throughput_records_per_second": rows / seconds,
             "quality_passed": quality.quality_passed,
@@ -184,7 +189,6 @@ def run_batch(
         write_json(as_json_row(spark, record), f"{output}/run_result")
         if run_log:
             append_run(spark, run_log, record)
-        drop_staged(spark)
 
 
 def main() -> None:
@@ -196,13 +200,16 @@ def main() -> None:
     parser.add_argument("--stop-on-errors", action="store_true")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("salespect").getOrCreate()
-    record = run_batch(
-        load_main_csv(spark, args.source),
-        args.output,
-        jobs=args.jobs,
-        run_log=args.run_log,
-        stop_on_errors=args.stop_on_errors,
-    )
+    try:
+        record = run_batch(
+            load_main_csv(spark, args.source),
+            args.output,
+            jobs=args.jobs,
+            run_log=args.run_log,
+            stop_on_errors=args.stop_on_errors,
+        )
+    finally:
+        drop_staged(spark)
     print(json.dumps(record, indent=2))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from salespect.functions.classify import register_sql_functions
 from salespect.functions.order_stats import quantile_frame, ranked_values
-from salespect.functions.staging import staged
+from salespect.functions.staging import staged, staging_path
 from salespect.operators import (
     clean,
     countries,
@@ -25,7 +25,17 @@ from salespect.operators import (
     reports,
     sequence,
 )
-from salespect.sources.readers import read_parquet
+from salespect.plans.batch import run_batch
+from salespect.plans.sinks import partition_columns, write_table
+from salespect.schema import RAW_SCHEMA
+from salespect.sources.readers import (
+    CORRUPT,
+    read_csv,
+    read_json,
+    read_parquet,
+    split_corrupt,
+    spread,
+)
 from salespect.sources.star import STAR_SETTINGS, raw_transactions
 
 # Averages and deviations of doubles differ in their last bits with row order.
@@ -124,6 +134,42 @@ def _run_summary(i: Inputs) -> DataFrame:
     )
 
 
+def _batch_report(i: Inputs) -> DataFrame:
+    """The summary the full batch leaves on disk."""
+    output = staging_path(i.spark, "batch")
+    run_batch(i.raw, output, i.cfg)
+    return i.spark.read.json(f"{output}/summary_report").drop("execution_time", "failed_checks")
+
+
+def _written(i: Inputs, label: str, **options: str) -> str:
+    """The raw lines as files of the given kind."""
+    path = staging_path(i.spark, label)
+    i.raw.write.options(**options).format(label).save(path)
+    return path
+
+
+def _scan_csv(i: Inputs) -> DataFrame:
+    path = _written(i, "csv", header="true", escape='"', emptyValue="")
+    good, _ = split_corrupt(read_csv(i.spark, path))
+    return clean.standardize(good)
+
+
+def _scan_gzip(i: Inputs) -> DataFrame:
+    path = _written(i, "csv", header="true", escape='"', emptyValue="", compression="gzip")
+    return clean.standardize(spread(read_csv(i.spark, path)).drop(CORRUPT))
+
+
+def _scan_json(i: Inputs) -> DataFrame:
+    return clean.standardize(read_json(i.spark, _written(i, "json"), schema=RAW_SCHEMA))
+
+
+def _enriched_table(i: Inputs) -> DataFrame:
+    """The enriched table as written by month and read back."""
+    path = staging_path(i.spark, "enriched_table")
+    columns = partition_columns("enriched_data", None, i.cfg)
+    return i.spark.read.parquet(write_table(i.enriched, path, columns, cfg=i.cfg).path)
+
+
 def _volume_gate(i: Inputs) -> DataFrame:
     sizes = i.enriched.agg(
         F.count_distinct("customer_id", "country").alias("total_customers"),
@@ -184,6 +230,9 @@ def _with_status(stats: DataFrame, checks: DataFrame, check: str) -> DataFrame:
 _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     # sources
     "scan_parquet": lambda i: read_parquet(i.spark, f"{i.sf_dir}/orders.parquet"),
+    "scan_csv": _scan_csv,
+    "scan_csv_gzip": _scan_gzip,
+    "scan_json": _scan_json,
     "profile": lambda i: reports.profile(i.raw),
     # cleaning and enrichment
     "standardize": lambda i: i.standard,
@@ -292,7 +341,9 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_checks": _check_rows,
     "dq_summary": _dq_summary,
     # reports and gates
+    "enriched_table": _enriched_table,
     "run_summary": _run_summary,
+    "batch_report": _batch_report,
     "freshness": lambda i: gates.data_freshness(i.enriched, F.lit(i.cfg.as_of)),
     "volume_gate": _volume_gate,
 }

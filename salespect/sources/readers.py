@@ -56,7 +56,7 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Redistribute rows read from files that cannot be split, such as gzip."""
-    return df.repartition(partitions) if partitions else df.repartition()
+    return df.repartition(partitions) if partitions else df.hint("rebalance")
 
 
 def load_main_csv(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:

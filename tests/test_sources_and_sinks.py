@@ -3,13 +3,14 @@ import json
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
 from salespect.functions.staging import drop_staged, shared_folder, staged
 from salespect.operators import gates
 from salespect.operators.quality import run_all_checks, summarize_checks
-from salespect.plans import run_log, sinks
+from salespect.plans import run_log, sinks, sizing
 from salespect.plans.batch import METRIC_TABLES, QualityError, run_batch
 from salespect.schema import RAW_SCHEMA, STANDARD_SCHEMA
 from salespect.sources import files, readers
@@ -176,6 +177,22 @@ def test_staging_uses_the_shared_folder(spark, sample):
         spark.read.parquet(copy.inputFiles()[0]).count()
 
 
+def test_shuffle_sizing_and_storage():
+    assert sizing.shuffle_partitions(1000) == 20
+    assert sizing.shuffle_partitions(10**9) == 745
+    assert sizing.shuffle_partitions(10**12) == 1000
+    assert sizing.shuffle_partitions(10**12, most=10**6) == 745_058
+    assert sizing.storage_level("DISK_ONLY") == StorageLevel.DISK_ONLY
+    assert sizing.storage_level("anything") == StorageLevel.MEMORY_AND_DISK
+
+
+def test_cache_is_released(sample):
+    frame = sample.select("invoice_no")
+    with sizing.cached(frame) as kept:
+        assert kept.is_cached and kept.count() == 1200
+    assert not frame.is_cached
+
+
 # --- run log and gates -------------------------------------------------------
 
 
@@ -235,6 +252,7 @@ def test_batch_end_to_end(spark, tmp_path):
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
     record = run_batch(readers.load_main_csv(spark, str(tmp_path)), out, run_log=log)
     assert record["status"] == "completed" and record["rows_processed"] == 1500
+    assert (record["rows_read"], record["retained_percent"]) == (1500, 100.0)
     assert record["quality_passed"] is True
     presence = gates.output_presence(spark, out, ["enriched_data", *METRIC_TABLES])
     assert {r.status for r in presence.collect()} == {"passed"}
