@@ -264,7 +264,7 @@ countries AS (
   SELECT * EXCLUDE (cents), total_revenue / unique_customers AS avg_customer_value,
     CAST(datediff('day', first_order_date, last_order_date) + 1 AS INTEGER) AS market_days,
     total_revenue / (datediff('day', first_order_date, last_order_date) + 1) AS daily_revenue_avg,
-    CAST(cents AS DOUBLE) / (SELECT CAST(sum(cents) AS DOUBLE) FROM country_sums) * 100
+    total_revenue / (SELECT CAST(sum(cents) AS DOUBLE) / 100 FROM country_sums) * 100
       AS revenue_share,
     CAST(unique_customers AS DOUBLE) / (SELECT count(DISTINCT customer_id) FROM lines) * 100
       AS customer_share,

@@ -50,9 +50,8 @@ def top_products_array(df: DataFrame, k: int = 3) -> DataFrame:
 def country_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Aggregates and rates per country.
 
-    The shares need grand totals. Revenue comes from the country rows
-    themselves; distinct customers do not add up over countries and are counted
-    by a scalar subquery.
+    The shares need grand totals, which one scalar subquery over the lines gives:
+    distinct customers do not add up over countries.
     """
     exact = cfg.exact_distinct
     amount = F.col("total_price")
@@ -69,23 +68,23 @@ def country_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         F.count_if(F.col("order_size") == "Bulk").alias("bulk_orders"),
         F.stddev_samp(amount).alias("revenue_volatility"),
     )
-    everyone = df.agg(distinct_count("customer_id", exact).alias("n")).scalar()
-    all_cents = F.sum("_cents").over(Window.partitionBy())
+    totals = grand_totals(df, cfg)
     return (
-        per_country.withColumn("total_revenue", F.col("_cents") / 100)
+        per_country.withColumn("_all", totals.select(F.struct(*totals.columns)).scalar())
+        .withColumn("total_revenue", F.col("_cents") / 100)
         .withColumns(
             {
                 "avg_order_value": F.col("total_revenue") / F.col("_lines"),
                 "avg_customer_value": F.col("total_revenue") / F.col("unique_customers"),
                 "market_days": F.datediff("last_order_date", "first_order_date") + 1,
-                "revenue_share": F.col("_cents") / all_cents * 100,
-                "customer_share": F.col("unique_customers") / everyone * 100,
+                "revenue_share": F.col("total_revenue") / F.col("_all.total_revenue") * 100,
+                "customer_share": F.col("unique_customers") / F.col("_all.total_customers") * 100,
                 "high_value_rate": F.col("high_value_orders") / F.col("total_orders"),
                 "bulk_order_rate": F.col("bulk_orders") / F.col("total_orders"),
             }
         )
         .withColumn("daily_revenue_avg", F.col("total_revenue") / F.col("market_days"))
-        .drop("_cents", "_lines")
+        .drop("_cents", "_lines", "_all")
     )
 
 

@@ -18,7 +18,7 @@ LINE_ORDER = (
 
 
 def with_customer_sequence(df: DataFrame) -> DataFrame:
-    """Add customer_purchase_number and days_since_first_purchase.
+    """Add customer_purchase_number and days_since_first_purchase to clean lines.
 
     One placeholder customer can own a large part of all lines, so lines are
     numbered within (customer, hour) and shifted by the customer's earlier
