@@ -90,6 +90,7 @@ def country_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 def rank_countries(totals: DataFrame) -> DataFrame:
     """Ranks and market tier. One row per country, so a single sort is enough."""
+    # Tiers by revenue share in percent.
     tiers = [(10, "Tier 1"), (5, "Tier 2"), (1, "Tier 3")]
     return totals.withColumns(
         {

@@ -60,6 +60,7 @@ def _with_levels(
     bars = quantiles(customers, wanted, cfg, ranked)
     spent_25, spent_50, spent_75 = bars["total_spent"]
     often_50, often_75 = bars["order_frequency"]
+    # Level names.
     value = ladder(
         F.col("total_spent"),
         [(spent_75, "High"), (spent_50, "Medium"), (spent_25, "Low")],
@@ -86,6 +87,7 @@ def segment_customers(
     """Nine segments by value, frequency, order count and lifetime; the first rule that holds wins."""
     levelled, often_50 = _with_levels(customers, cfg, ranked)
     lifetime = F.col("customer_lifetime_days")
+    # Segments in order of precedence.
     rules = [
         (_at("High", "Frequent"), "Champions"),
         (_at("High", "Regular"), "Loyal Customers"),
@@ -104,6 +106,7 @@ def segment_customers_basic(
 ) -> DataFrame:
     """The earlier six-segment scheme."""
     levelled, _ = _with_levels(customers, cfg, ranked)
+    # Segments in order of precedence.
     rules = [
         (_at("High", "Frequent"), "Champions"),
         (_at("High", "Regular"), "Loyal Customers"),

@@ -12,6 +12,7 @@ from salespect.schema import UNKNOWN
 
 
 def with_order_size(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    # Size labels.
     steps = [
         (cfg.bulk_order_threshold, "Bulk"),
         (cfg.large_order_threshold, "Large"),
@@ -21,6 +22,7 @@ def with_order_size(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 
 def with_price_category(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    # Price labels.
     steps = [
         (cfg.premium_price_threshold, "Premium"),
         (cfg.standard_price_threshold, "Standard"),

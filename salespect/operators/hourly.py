@@ -28,6 +28,7 @@ def hourly_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         F.count_if(F.col("is_international") == 1).alias("international_transactions"),
     )
     count, hour = F.col("transaction_count"), F.col("hour")
+    # Periods of the day.
     period = (
         F.when(hour.between(6, 11), "Morning")
         .when(hour.between(12, 17), "Afternoon")

@@ -48,6 +48,7 @@ def categorize_products(
     wanted = {"total_revenue": (0.8,), "unique_customers": (0.8,)}
     bars = quantiles(products, wanted, cfg, ranked)
     (revenue_bar,), (reach_bar,) = bars["total_revenue"], bars["unique_customers"]
+    # Portfolio classes.
     earns, reaches = F.col("total_revenue") >= revenue_bar, F.col("unique_customers") >= reach_bar
     return products.withColumn(
         "product_category",

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salespect.config import Settings
-from salespect.functions.columns import cents
 from salespect.functions.order_stats import quantiles
 from salespect.operators.clean import CRITICAL_COLUMNS
 from salespect.schema import STANDARD_COLUMNS, UNKNOWN
@@ -181,7 +180,7 @@ def suspicious_customers(df: DataFrame, cfg: Settings = Settings()) -> DataFrame
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
-            (F.sum(cents(F.col("total_price"))) / 100).alias("total_spent"),
+            F.sum("total_price").alias("total_spent"),
         )
         .filter(
             (F.col("transaction_count") > cfg.max_customer_rows)
