@@ -21,34 +21,35 @@ def with_customer_sequence(df: DataFrame) -> DataFrame:
     """Add customer_purchase_number and days_since_first_purchase to clean lines.
 
     One placeholder customer can own a large part of all lines, so lines are
-    numbered within (customer, hour) and shifted by the customer's earlier
-    hours. Per customer only hourly counts are brought together.
+    numbered within (customer, minute) and shifted by the customer's earlier
+    minutes. Per customer only the counts per minute are brought together, whose
+    number the valid years bound.
     """
-    lines = df.withColumn("_hour", F.date_trunc("hour", "invoice_datetime"))
-    slot = ["customer_id", "_hour"]
+    lines = df.withColumn("_minute", F.date_trunc("minute", "invoice_datetime"))
+    slot = ["customer_id", "_minute"]
     earlier = (
         Window.partitionBy("customer_id")
-        .orderBy("_hour")
+        .orderBy("_minute")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    hours = (
+    minutes = (
         lines.groupBy(*slot)
         .agg(F.count(F.lit(1)).alias("_lines"))
         .select(
             *slot,
             F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_before"),
-            F.min("_hour").over(Window.partitionBy("customer_id")).alias("_first"),
+            F.min("_minute").over(Window.partitionBy("customer_id")).alias("_first"),
         )
     )
     within = Window.partitionBy(*slot).orderBy(*LINE_ORDER)
     return (
         lines.withColumn("_place", F.row_number().over(within))
-        .join(hours, slot)
+        .join(minutes, slot)
         .withColumns(
             {
                 "customer_purchase_number": F.col("_before") + F.col("_place"),
                 "days_since_first_purchase": F.datediff("invoice_date", F.to_date("_first")),
             }
         )
-        .drop("_hour", "_place", "_before", "_first")
+        .drop("_minute", "_place", "_before", "_first")
     )

@@ -82,10 +82,10 @@ def test_global_ranks_never_order_everything_in_one_task(lines):
     assert partitioned
 
 
-def test_sequence_numbers_lines_within_hours(lines):
+def test_sequence_numbers_lines_within_minutes(lines):
     text = plan(with_customer_sequence(lines))
     numbering = re.search(r"row_number\(\) windowspecdefinition\(([^)]*?) ASC", text).group(1)
-    assert "customer_id" in numbering and "_hour" in numbering
+    assert "customer_id" in numbering and "_minute" in numbering
 
 
 def test_line_measurements_take_one_scan(lines):
