@@ -1,4 +1,4 @@
-"""Written intermediate tables in the folder the cluster shares.
+"""Written intermediate tables in a folder that all executors can reach.
 
 A plan that reads an expensive aggregate several times (quantiles, ranks and
 the rows themselves) writes it once and reads the files. That cuts the lineage,
@@ -7,21 +7,20 @@ keeps column pruning, and survives the loss of executors.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="salespect-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+    """The folder of spark.checkpoint.dir, else one below the warehouse; the session is left as it is."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def _hadoop(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
 def _staging_root(spark: SparkSession) -> str:
@@ -29,8 +28,12 @@ def _staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A folder not used before."""
-    return f"{_staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder not used before; what lies below it goes with drop_staged or with the application."""
+    root = _staging_root(spark)
+    files, path = _hadoop(spark, root)
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -42,5 +45,5 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application has staged; frames that read it stop working."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_staging_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _hadoop(spark, _staging_root(spark))
+    files.delete(path, True)
