@@ -4,15 +4,17 @@ Training counts, over all labelled rows, in how many different toxic and
 ordinary texts each word stands. The toxic dictionary holds the words that are
 far commoner in toxic texts, the ordinary one the commonest of ordinary texts;
 both have a fixed greatest size. A window is one word with its borders. Every
-byte of it is spelled in four, so that a match, whose cost is fixed, pays by its
+byte of it is spelled in sixteen, so that a match, whose cost is fixed, pays by its
 length even in a window this short. The advantage of a window is how much less
 it takes with the toxic dictionary than with the ordinary one, as a share of
-its length. The threshold on it, and the score for 0, 1, 2 ... windows above
+its length. Windows that the toxic dictionary does not cover but for a letter
+count as none. The threshold on the advantage, and the score for 0, 1, 2 ... windows above
 it, are calibrated on all training rows.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import partial
 from typing import NamedTuple
@@ -26,28 +28,20 @@ from pyspark.sql import functions as F
 
 TOXIC_WORDS = 500
 ORDINARY_WORDS = 1000
-LEAST_ODDS = 3.0
+LEAST_ODDS = 4.0
 LEAST_TEXTS = 3
 LEAST_SHARE = 0.005
 THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
 MOST_HITS = 4
+COVERED = 22  # bytes of a window that one match covers: more than that match, less than it and a letter
 CACHE_ENTRIES = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def _spelling() -> list[bytes]:
-    state, out = 1, []
-    for _ in range(256):
-        state = (state * 6364136223846793005 + 1442695040888963407) & (1 << 64) - 1
-        out.append((state >> 32).to_bytes(4, "big"))
-    return out
-
-
-_SPELL = _spelling()
-
-
 def spelled(word: str) -> bytes:
-    return b"".join([_SPELL[b] for b in f" {word} ".encode()])
+    """Eight bytes per byte of the word and its borders, a hash of the window up to it."""
+    data = f" {word} ".encode()
+    return b"".join([hashlib.md5(data[:end]).digest()[:8] for end in range(1, len(data) + 1)])
 
 
 class Model(NamedTuple):
@@ -77,8 +71,7 @@ class Windows:
                 self.cache.clear()
             window = spelled(word)
             toxic = len(self.by_toxic.compress(window))
-            # Where the toxic dictionary saves nothing there is no advantage to measure.
-            found = 0.0 if toxic >= len(window) else (len(self.by_ordinary.compress(window)) - toxic) / len(window)
+            found = 0.0 if toxic > COVERED else (len(self.by_ordinary.compress(window)) - toxic) / len(window)
             self.cache[word] = found
         return found
 
