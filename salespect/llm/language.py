@@ -37,15 +37,16 @@ def _trigrams(text: str) -> np.ndarray:
     return (code >> np.uint32(32 - 13)).astype(np.int64)
 
 
-def _counted(frames):
+def _counted(batches):
     tables: dict[str, np.ndarray] = {}
     rows: dict[str, int] = {}
-    for frame in frames:
-        for text, lang in zip(frame["text"], frame["lang"], strict=True):
+    for batch in batches:
+        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             table = tables.setdefault(lang, np.zeros(CELLS, np.int64))
             table += np.bincount(_trigrams(text), minlength=CELLS)
             rows[lang] = rows.get(lang, 0) + 1
-    yield pd.DataFrame({"lang": list(tables), "n": [rows[k] for k in tables], "cells": [t.tobytes() for t in tables.values()]})
+    columns = [pa.array(list(tables), pa.string()), pa.array([rows[k] for k in tables], pa.int64()), pa.array([t.tobytes() for t in tables.values()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, ["lang", "n", "cells"])
 
 
 def _summed(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,7 +61,7 @@ def _summed(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and the log chances of trigram cells, from all rows with a text and a language; both empty without any."""
     rows = docs.select(F.col("text").cast("string").alias("text"), F.lower(F.trim(F.col("lang").cast("string"))).alias("lang")).where("text is not null and lang <> ''")
-    parts = rows.mapInPandas(_counted, "lang string, n long, cells binary")
+    parts = rows.mapInArrow(_counted, "lang string, n long, cells binary")
     found = sorted(parts.groupBy("lang").applyInPandas(_summed, "lang string, n long, cells binary").collect(), key=lambda r: r["lang"])  # one row per language
     counts = np.array([np.frombuffer(r["cells"], np.int64) for r in found], float).reshape(-1, CELLS) + 0.5
     return [r["lang"] for r in found], np.log(counts / counts.sum(axis=1, keepdims=True))
