@@ -532,6 +532,9 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (product_description IS NULL) AS "null_Description",
           count(*) FILTER (quantity IS NULL) AS "null_Quantity",
           count(*) FILTER (invoice_date IS NULL) AS "null_InvoiceDate",
+          count(*) FILTER (unit_price IS NULL) AS "null_UnitPrice",
+          count(*) FILTER (customer_id IS NULL) AS "null_CustomerID",
+          count(*) FILTER (country IS NULL) AS "null_Country",
           count(DISTINCT customer_id) AS unique_customers,
           count(DISTINCT product_id) AS unique_products FROM raw""",
     ),
@@ -783,7 +786,7 @@ ORACLE: dict[str, str] = {
     "freshness": _lines_as(
         """SELECT strftime(max(invoice_date), '%Y-%m-%d') AS newest_date,
           CAST(datediff('day', max(invoice_date), DATE '2000-06-30') AS INTEGER) AS age_days,
-          CASE WHEN datediff('day', max(invoice_date), DATE '2000-06-30') <= 1
+          CASE WHEN datediff('day', max(invoice_date), DATE '2000-06-30') BETWEEN 0 AND 1
                THEN 'passed' ELSE 'failed' END AS status FROM lines"""
     ),
     "volume_gate": _sql(

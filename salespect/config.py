@@ -50,6 +50,5 @@ class Settings:
     quantile_accuracy: int | None = None
     # False replaces exact distinct counts with HyperLogLog sketches.
     exact_distinct: bool = True
-    # Output layout.
-    partition_min_rows: int = 100_000
-    max_records_per_file: int = 100_000
+    # Greatest number of rows of an output file; 0 leaves file sizes to the rebalanced partitions.
+    max_records_per_file: int = 0

@@ -33,8 +33,12 @@ def day_name(day_of_week: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Two-decimal money as whole cents, so that sums do not depend on row order."""
-    return F.rint(amount * 100).cast("long")
+    """Two-decimal money as whole cents, so that sums do not depend on row order.
+
+    Amounts are rounded to cents one by one; NaN, infinities and amounts beyond
+    a long count as NULL.
+    """
+    return F.rint(amount * 100).try_cast("long")
 
 
 def money_sum(amount: Column) -> Column:

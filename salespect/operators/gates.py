@@ -51,13 +51,13 @@ def file_freshness(
 
 
 def data_freshness(df: DataFrame, as_of: Column, max_days: int = 1) -> DataFrame:
-    """Age of the newest invoice date."""
+    """Age of the newest invoice date; a date after `as_of` is a mistake and fails."""
     newest = F.max("invoice_date")
     age = F.datediff(as_of, newest)
     return df.agg(
         newest.alias("newest_date"),
         age.alias("age_days"),
-        _status(F.coalesce(age <= max_days, F.lit(False))),
+        _status(F.coalesce(age.between(0, max_days), F.lit(False))),
     )
 
 

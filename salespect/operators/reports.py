@@ -9,9 +9,9 @@ from salespect.functions.columns import cents, distinct_count
 
 
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """One row: size, nulls of the first five columns, distinct customers and products."""
+    """One row: size, nulls of every column, distinct customers and products."""
     measures = [F.count(F.lit(1)).alias("row_count")]
-    measures += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns[:5]]
+    measures += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
     for label, names in (
         ("unique_customers", ("CustomerID", "customer_id")),
         ("unique_products", ("StockCode", "product_id")),
@@ -37,8 +37,15 @@ def top_products(products: DataFrame, k: int = 5) -> DataFrame:
 
 
 def retain_days(df: DataFrame, days: int, as_of: Column, date_column: str = "invoice_date") -> DataFrame:
-    """Rows of the last `days` days; on a date-partitioned table this prunes directories."""
-    return df.filter(F.col(date_column) > F.date_sub(as_of, days))
+    """Rows of the last `days` days.
+
+    By invoice date, on a table with a year column, the year that the first day
+    implies is a condition of its own, so folders by year are pruned.
+    """
+    first = F.date_sub(as_of, days)
+    kept = df.filter(F.col(date_column) > first)
+    by_year = date_column == "invoice_date" and "year" in df.columns
+    return kept.filter(F.col("year") >= F.year(first)) if by_year else kept
 
 
 def run_summary(

@@ -29,11 +29,12 @@ from salespect.plans.sinks import (
     Written,
     as_json_row,
     partition_columns,
+    read_table,
     write_json,
     write_quality_report,
     write_table,
 )
-from salespect.sources.readers import load_main_csv
+from salespect.sources.readers import CORRUPT, load_csv_folder, load_main_csv, split_corrupt
 
 
 class QualityError(RuntimeError):
@@ -58,39 +59,33 @@ class Stages:
 
 def _finished_from_base(base: Callable, finish: Callable, label: str, cfg: Settings):
     """A table whose base aggregate is stored first: quantiles and ranks read it repeatedly."""
+    return lambda lines: finish(staged(base(lines, cfg), label), cfg)
 
-    def build(lines: DataFrame) -> tuple[DataFrame, int]:
-        stored = staged(base(lines, cfg), label)
-        return finish(stored, cfg), stored.count()
 
-    return build
-
-
-def _metric_builders(cfg: Settings) -> dict[str, Callable[[DataFrame], tuple[DataFrame, int]]]:
-    """Per metric table a function from the lines to the table and a bound on its rows."""
-    days = 366 * (cfg.last_year - cfg.first_year + 1)
+def _metric_builders(cfg: Settings) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """Per metric table a function from the lines to the table."""
     return {
         "customer_metrics": _finished_from_base(customer_base, finish_customers, "customers", cfg),
         "product_metrics": _finished_from_base(product_base, finish_products, "products", cfg),
-        "daily_metrics": lambda lines: (daily_metrics(lines, cfg), days),
-        "country_metrics": lambda lines: (country_metrics(lines, cfg), 0),
-        "hourly_patterns": lambda lines: (hourly_patterns(lines, cfg), 24 * 7),
+        "daily_metrics": lambda lines: daily_metrics(lines, cfg),
+        "country_metrics": lambda lines: country_metrics(lines, cfg),
+        "hourly_patterns": lambda lines: hourly_patterns(lines, cfg),
     }
 
 
 METRIC_TABLES = tuple(_metric_builders(Settings()))
 
 
-def _write_metric(name: str, lines: DataFrame, output: str, cfg: Settings) -> Written:
-    table, rows = _metric_builders(cfg)[name](lines)
-    columns = partition_columns(name, rows, cfg)
-    return write_table(table, f"{output}/{name}", columns, rows, cfg)
+def _write_metric(name: str, lines: DataFrame, output: str, cfg: Settings) -> tuple[Written, DataFrame]:
+    table = _metric_builders(cfg)[name](lines)
+    written = write_table(table, f"{output}/{name}", partition_columns(name), cfg)
+    return written, read_table(lines.sparkSession, written.path, table)
 
 
 def write_metrics(
     lines: DataFrame, output: str, cfg: Settings = Settings(), jobs: int = len(METRIC_TABLES)
-) -> dict[str, Written]:
-    """Compute and write the metric tables, up to `jobs` of them at a time.
+) -> dict[str, tuple[Written, DataFrame]]:
+    """Compute and write the metric tables, up to `jobs` of them at a time, and scan what was written.
 
     The jobs are independent scans of the same table; submitting them together
     lets small ones fill executors that large ones leave idle.
@@ -119,6 +114,8 @@ def run_batch(
 ) -> dict:
     """Run everything on raw lines and return the run record.
 
+    Lines read with the text of malformed ones are split first: the malformed
+    lines become the table `quarantine` and are counted in the record.
     The enriched table is computed and written once; all later stages scan it
     with only the columns they need. The quality checks run beside the metric
     tables, since failed ones are reported without stopping the run; on request
@@ -132,10 +129,13 @@ def run_batch(
     try:
         with stages.stage("transformation"):
             path = f"{output}/enriched_data"
+            if CORRUPT in raw.columns:
+                raw, malformed = split_corrupt(raw)
+                record["rows_quarantined"] = write_table(malformed, f"{output}/quarantine", cfg=cfg).rows
             counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
             enriched = enrich(counted, cfg)
-            rows = write_table(enriched, path, partition_columns("enriched_data", None, cfg)).rows
-            lines = spark.read.schema(enriched.schema).parquet(path).select(*enriched.columns)
+            rows = write_table(enriched, path, partition_columns("enriched_data"), cfg).rows
+            lines = read_table(spark, path, enriched)
         with stages.stage("quality_and_metrics"), ThreadPoolExecutor(1) as beside:
             checking = beside.submit(_check_quality, lines, output, cfg)
             if stop_on_errors and not checking.result()[1].quality_passed:
@@ -144,7 +144,7 @@ def run_batch(
             checks, quality = checking.result()
         with stages.stage("report"):
             verdict = summarize_checks(checks)
-            tables = {n: spark.read.parquet(w.path) for n, w in written.items()}
+            tables = {n: table for n, (_, table) in written.items()}
             summary = run_summary(
                 tables["customer_metrics"],
                 tables["product_metrics"],
@@ -166,7 +166,7 @@ def run_batch(
             "rows_read": read.get["rows"],
             "rows_processed": rows,
             "retained_percent": 100.0 * rows / read.get["rows"] if read.get["rows"] else 0.0,
-            "rows_written": {n: w.rows for n, w in written.items()},
+            "rows_written": {n: w.rows for n, (w, _) in written.items()},
             "throughput_records_per_second": rows / seconds,
             "quality_passed": quality.quality_passed,
             "quality_score": quality.quality_score,
@@ -177,7 +177,7 @@ def run_batch(
             "status": "failed",
             "failed_stage": stages.current,
             "error_type": type(error).__name__,
-            "error": str(error)[:2000],
+            "error": str(error),
         }
         raise
     finally:
@@ -198,11 +198,18 @@ def main() -> None:
     parser.add_argument("--run-log", help="folder of the run log")
     parser.add_argument("--jobs", type=int, default=len(METRIC_TABLES), help="metric tables computed at a time")
     parser.add_argument("--stop-on-errors", action="store_true")
+    parser.add_argument("--main-file-only", action="store_true", help="read the folder's main file and name the others")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("salespect").getOrCreate()
     try:
+        if args.main_file_only:
+            raw, left_out = load_main_csv(spark, args.source)
+            for row in left_out.toLocalIterator():
+                print(f"left out: {row.path}")
+        else:
+            raw = load_csv_folder(spark, args.source)
         record = run_batch(
-            load_main_csv(spark, args.source),
+            raw,
             args.output,
             jobs=args.jobs,
             run_log=args.run_log,

@@ -26,7 +26,7 @@ from salespect.operators import (
     sequence,
 )
 from salespect.plans.batch import run_batch
-from salespect.plans.sinks import partition_columns, write_table
+from salespect.plans.sinks import partition_columns, read_table, write_table
 from salespect.schema import RAW_SCHEMA
 from salespect.sources.readers import (
     CORRUPT,
@@ -126,8 +126,8 @@ def _country_metrics_flat(i: Inputs) -> DataFrame:
 def _run_summary(i: Inputs) -> DataFrame:
     checks = quality.run_all_checks(i.stored, i.cfg)
     return reports.run_summary(
-        i.customers,
-        i.products,
+        staged(customers.customer_base(i.stored, i.cfg), "customers"),
+        staged(products.product_base(i.stored, i.cfg), "products"),
         daily.daily_totals(i.stored, i.cfg),
         i.stored.groupBy("country").count(),
         quality.summarize_checks(checks),
@@ -166,8 +166,8 @@ def _scan_json(i: Inputs) -> DataFrame:
 def _enriched_table(i: Inputs) -> DataFrame:
     """The enriched table as written by month and read back."""
     path = staging_path(i.spark, "enriched_table")
-    columns = partition_columns("enriched_data", None, i.cfg)
-    return i.spark.read.parquet(write_table(i.enriched, path, columns, cfg=i.cfg).path)
+    write_table(i.enriched, path, partition_columns("enriched_data"), i.cfg)
+    return read_table(i.spark, path, i.enriched)
 
 
 def _volume_gate(i: Inputs) -> DataFrame:

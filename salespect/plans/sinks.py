@@ -29,39 +29,25 @@ class Written:
     rows: int
 
 
-def partition_columns(name: str, rows: int | None, cfg: Settings = Settings()) -> tuple[str, ...]:
-    """Columns to split a table's folder by; none for tables known to be small."""
-    small = rows is not None and rows <= cfg.partition_min_rows
-    return () if small else PARTITION_COLUMNS.get(name, ())
-
-
-def file_count(rows: int, cfg: Settings = Settings()) -> int:
-    """Number of files for a table whose size is known."""
-    if rows < 10_000:
-        return 1
-    if rows < 100_000:
-        return 4
-    return max(1, rows // cfg.max_records_per_file)
+def partition_columns(name: str) -> tuple[str, ...]:
+    """Columns to split a table's folder by, whatever its size."""
+    return PARTITION_COLUMNS.get(name, ())
 
 
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
-    rows: int | None = None,
     cfg: Settings = Settings(),
 ) -> Written:
     """Overwrite a Parquet table in one pass, counting its rows on the way.
 
     Rows are rebalanced rather than repartitioned: each folder gets few files,
     yet a folder that holds much of the data is split over many tasks, and small
-    tables end up in few files. With a known row count the file count follows
-    from it.
+    tables end up in few files. File sizes follow from bytes, by the advisory
+    partition size of adaptive execution.
     """
-    if rows is not None and not partition_by:
-        shaped = df.repartition(file_count(rows, cfg))
-    else:
-        shaped = df.hint("rebalance", *partition_by)
+    shaped = df.hint("rebalance", *partition_by)
     seen = Observation()
     (
         shaped.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -74,6 +60,11 @@ def write_table(
     return Written(path, seen.get["rows"])
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A written table with the columns, types and order it was written with, partition columns included."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Write a small frame (reports of a few rows) as a single JSON file."""
     df.coalesce(1).write.mode("overwrite").json(path)

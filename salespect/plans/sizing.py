@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 # Sizing rule for shuffles, and the storage levels on offer.
 BYTES_PER_ROW = 100
 PARTITION_BYTES = 128 * 1024 * 1024
-FEWEST_PARTITIONS = 20
-MOST_PARTITIONS = 1000
 STORAGE_LEVELS = {
     "MEMORY_ONLY": StorageLevel.MEMORY_ONLY,
     "MEMORY_AND_DISK": StorageLevel.MEMORY_AND_DISK,
@@ -21,13 +19,9 @@ STORAGE_LEVELS = {
 }
 
 
-def shuffle_partitions(rows: int, most: int = MOST_PARTITIONS) -> int:
-    """Shuffle partitions of about 128 MB for a number of transaction rows.
-
-    Adaptive execution merges partitions that turn out small, so on large data
-    raise `most` rather than accept oversized partitions.
-    """
-    return max(FEWEST_PARTITIONS, min(most, rows * BYTES_PER_ROW // PARTITION_BYTES))
+def shuffle_partitions(rows: int) -> int:
+    """Shuffle partitions of about 128 MB for a number of transaction rows."""
+    return max(1, -(-rows * BYTES_PER_ROW // PARTITION_BYTES))
 
 
 def storage_level(name: str = "MEMORY_AND_DISK") -> StorageLevel:

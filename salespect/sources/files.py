@@ -30,3 +30,8 @@ def main_file(files: DataFrame) -> DataFrame:
     places = [F.when(name.contains(n), i) for i, n in enumerate(MAIN_FILE_NAMES)]
     priority = F.coalesce(*places, F.lit(len(places)))
     return files.orderBy(priority, F.desc("length"), "path").limit(1)
+
+
+def other_files(files: DataFrame, chosen: str) -> DataFrame:
+    """The files that a choice leaves out."""
+    return files.where(F.col("path") != chosen)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from salespect.functions.staging import staged
 from salespect.schema import INVOICE_TIME_FORMAT, RAW_SCHEMA, STANDARD_SCHEMA
-from salespect.sources.files import CSV_GLOB, list_files, main_file
+from salespect.sources.files import CSV_GLOB, list_files, main_file, other_files
 
 CORRUPT = "_corrupt_record"
 
@@ -32,7 +32,7 @@ CSV_OPTIONS = {
 # JDBC defaults.
 JDBC_DRIVER = "org.postgresql.Driver"
 JDBC_FETCH_SIZE = "10000"
-JDBC_SPLIT_DEFAULTS = {"lowerBound": "1", "upperBound": "1000000", "numPartitions": "10"}
+JDBC_SPLIT = ("lowerBound", "upperBound", "numPartitions")
 
 
 def read_csv(spark: SparkSession, *paths: str) -> DataFrame:
@@ -59,19 +59,32 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions) if partitions else df.hint("rebalance")
 
 
-def load_main_csv(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
-    """Raw lines of the folder's main CSV file; FileNotFoundError if it has none.
-
-    Malformed fields are read as NULL, malformed lines with what could be parsed.
-    """
+def _csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The folder's CSV files; FileNotFoundError if it has none."""
     try:
-        chosen = main_file(list_files(spark, folder, CSV_GLOB)).select("path").first()
+        found = list_files(spark, folder, CSV_GLOB)
+        if not found.isEmpty():
+            return found
     except AnalysisException as error:
         raise FileNotFoundError(f"cannot list {folder}") from error
-    if chosen is None:
-        raise FileNotFoundError(f"no CSV files in {folder}")
-    lines = read_csv(spark, chosen.path).drop(CORRUPT)
-    return spread(lines, partitions) if chosen.path.endswith(".gz") else lines
+    raise FileNotFoundError(f"no CSV files in {folder}")
+
+
+def load_csv_folder(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
+    """Raw lines of all CSV files of the folder, with the text of malformed lines kept aside."""
+    found = _csv_files(spark, folder)
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.options(**CSV_OPTIONS, pathGlobFilter=CSV_GLOB).schema(schema).csv(folder)
+    gzipped = not found.where(F.col("path").endswith(".gz")).isEmpty()
+    return spread(lines, partitions) if gzipped else lines
+
+
+def load_main_csv(spark: SparkSession, folder: str, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw lines of the folder's main CSV file alone, as load_csv_folder gives them, and the files left out."""
+    found = _csv_files(spark, folder)
+    chosen = main_file(found).select("path").first().path
+    lines = read_csv(spark, chosen)
+    return spread(lines, partitions) if chosen.endswith(".gz") else lines, other_files(found, chosen)
 
 
 def read_parquet(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -91,7 +104,11 @@ def read_json(
 
 
 def jdbc_options(connection: Mapping[str, str], query: str) -> dict[str, str]:
-    """Options of a query scan; naming a partitionColumn makes it a parallel scan."""
+    """Options of a query scan; naming a partitionColumn makes it a parallel scan.
+
+    A parallel scan needs bounds and a number of parts from the caller: rows
+    outside the bounds all fall into the first or last part.
+    """
     options = {
         "url": connection["url"],
         "dbtable": f"({query}) as subquery",
@@ -102,7 +119,9 @@ def jdbc_options(connection: Mapping[str, str], query: str) -> dict[str, str]:
     }
     if connection.get("partitionColumn"):
         options["partitionColumn"] = connection["partitionColumn"]
-        options |= {k: connection.get(k, v) for k, v in JDBC_SPLIT_DEFAULTS.items()}
+        if missing := [k for k in JDBC_SPLIT if not connection.get(k)]:
+            raise ValueError("a parallel scan needs " + ", ".join(missing))
+        options |= {k: connection[k] for k in JDBC_SPLIT}
     return options
 
 

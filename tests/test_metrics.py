@@ -300,5 +300,5 @@ def test_retention_keeps_the_last_days(spark):
 
 def test_profile(raw):
     row = reports.profile(raw({}, {"Description": None, "CustomerID": "C2"})).first()
-    assert (row.row_count, row.null_Description) == (2, 1)
+    assert (row.row_count, row.null_Description, row.null_Country) == (2, 1, 0)
     assert (row.unique_customers, row.unique_products) == (2, 1)

@@ -178,3 +178,20 @@ def test_empty_table(sample):
     found = outcome(q.run_all_checks(sample.limit(0), CFG))
     assert found["row_count"] == "failed" and found["ranges"] == "failed"
     assert found["outliers"] == "passed" and found["time_gaps"] == "passed"
+
+
+def test_unreadable_numbers_are_reported_not_raised(spark):
+    rows = [("1", "A", "n/a", "2.5", "2.5"), ("2", "B", "3", "x", None), ("3", "C", "4", "NaN", "8")]
+    text = spark.createDataFrame(rows, "invoice_no string, product_id string, quantity string, unit_price string, total_price string")
+    bad = q.unreadable_stats(text).first()
+    assert (bad.unreadable_quantity, bad.unreadable_unit_price, bad.unreadable_total_price) == (1, 2, 0)
+    frame = text.withColumn("customer_id", F.lit("C1"))
+    found = outcome(q.run_all_checks(frame))
+    assert found["type:quantity"] == found["type:unit_price"] == "warning"
+    assert found["ranges"] == "passed" and found["consistency"] == "failed"
+
+
+def test_timestamps_count_as_their_day(spark):
+    frame = spark.createDataFrame([(datetime(2011, 6, d, h),) for d in (1, 2, 20) for h in (0, 9, 23)], "invoice_date timestamp")
+    row = q.date_stats(frame, CFG).first()
+    assert (row.unique_dates, row.date_range_days, row.gap_count, row.max_gap_days) == (3, 19, 1, 18)

@@ -56,7 +56,7 @@ def test_list_files(spark, tmp_path):
 
 def test_csv_dialect(spark, tmp_path):
     (tmp_path / "data.csv").write_text(HEADER + GOOD + "2,B,,x,6/2/2011 9:00,1.0,,France\n")
-    first, second = readers.load_main_csv(spark, str(tmp_path)).orderBy("InvoiceNo").collect()
+    first, second = readers.load_csv_folder(spark, str(tmp_path)).orderBy("InvoiceNo").collect()
     assert first.Description == 'MUG, "BLUE"' and first.UnitPrice == 3.5
     assert (second.Description, second.Quantity, second.CustomerID) == (None, None, None)
 
@@ -73,16 +73,26 @@ def test_malformed_lines_are_quarantined(spark, tmp_path):
 def test_gzip_csv(spark, tmp_path):
     with gzip.open(tmp_path / "sales.csv.gz", "wt") as out:
         out.write(HEADER + GOOD * 50)
-    lines = readers.load_main_csv(spark, str(tmp_path), partitions=3)
+    lines = readers.load_csv_folder(spark, str(tmp_path), partitions=3)
     assert lines.count() == 50 and lines.rdd.getNumPartitions() == 3
 
 
-def test_missing_input(spark, tmp_path):
+@pytest.mark.parametrize("load", [readers.load_csv_folder, readers.load_main_csv])
+def test_missing_input(spark, tmp_path, load):
     with pytest.raises(FileNotFoundError):
-        readers.load_main_csv(spark, str(tmp_path / "nowhere"))
+        load(spark, str(tmp_path / "nowhere"))
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError):
-        readers.load_main_csv(spark, str(tmp_path / "empty"))
+        load(spark, str(tmp_path / "empty"))
+
+
+def test_every_file_of_a_folder_is_read(spark, tmp_path):
+    for n in (1, 2):
+        (tmp_path / f"part-{n}.csv").write_text(HEADER + GOOD * n)
+    (tmp_path / "notes.txt").write_text("no table\n")
+    assert readers.load_csv_folder(spark, str(tmp_path)).count() == 3
+    main, left_out = readers.load_main_csv(spark, str(tmp_path))
+    assert main.count() == 2 and [r.path.rsplit("/", 1)[1] for r in left_out.collect()] == ["part-1.csv"]
 
 
 def test_parquet_schemas_are_merged(spark, tmp_path):
@@ -105,9 +115,10 @@ def test_jdbc_options():
     plain = readers.jdbc_options(login, "SELECT 1")
     assert plain["dbtable"] == "(SELECT 1) as subquery" and plain["fetchsize"] == "10000"
     assert plain["driver"] == "org.postgresql.Driver" and "numPartitions" not in plain
-    split = readers.jdbc_options({**login, "partitionColumn": "id", "numPartitions": "4"}, "SELECT 1")
-    assert (split["lowerBound"], split["upperBound"]) == ("1", "1000000")
-    assert (split["partitionColumn"], split["numPartitions"]) == ("id", "4")
+    parts = {"partitionColumn": "id", "lowerBound": "7", "upperBound": "900", "numPartitions": "4"}
+    assert parts.items() <= readers.jdbc_options({**login, **parts}, "SELECT 1").items()
+    with pytest.raises(ValueError, match="lowerBound, upperBound"):
+        readers.jdbc_options({**login, "partitionColumn": "id", "numPartitions": "4"}, "SELECT 1")
 
 
 def test_schema_report(spark):
@@ -122,16 +133,14 @@ def test_schema_report(spark):
 # --- sinks -------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(("rows", "expected"), [(9_999, 1), (10_000, 4), (99_999, 4), (1_000_000, 10)])
-def test_file_count(rows, expected):
-    assert sinks.file_count(rows) == expected
-
-
-def test_partition_columns_by_size():
-    assert sinks.partition_columns("customer_metrics", 100_000) == ()
-    assert sinks.partition_columns("customer_metrics", 100_001) == ("country",)
-    assert sinks.partition_columns("enriched_data", None) == ("year", "month")
-    assert sinks.partition_columns("product_metrics", None) == ()
+@pytest.mark.parametrize("rows", [10, 100_001])
+def test_layout_and_types_do_not_depend_on_size(spark, tmp_path, rows):
+    table = spark.range(rows).select("id", F.lit("044").alias("country"), (F.col("id") % 7).alias("n"))
+    written = sinks.write_table(table, str(tmp_path / "t"), sinks.partition_columns("customer_metrics"))
+    assert [f.name for f in (tmp_path / "t").iterdir() if f.is_dir()] == ["country=044"]
+    back = sinks.read_table(spark, written.path, table)
+    assert back.dtypes == table.dtypes and back.count() == rows
+    assert back.select("country").distinct().collect() == [("044",)]
 
 
 def test_partitioned_write_is_pruned_and_bounded(spark, sample, tmp_path):
@@ -148,7 +157,7 @@ def test_partitioned_write_is_pruned_and_bounded(spark, sample, tmp_path):
 
 
 def test_small_write_is_one_file(spark, sample, tmp_path):
-    sinks.write_table(sample, str(tmp_path / "t"), rows=1200)
+    sinks.write_table(sample, str(tmp_path / "t"))
     assert len(list((tmp_path / "t").glob("*.parquet"))) == 1
 
 
@@ -178,10 +187,8 @@ def test_staging_uses_the_shared_folder(spark, sample):
 
 
 def test_shuffle_sizing_and_storage():
-    assert sizing.shuffle_partitions(1000) == 20
-    assert sizing.shuffle_partitions(10**9) == 745
-    assert sizing.shuffle_partitions(10**12) == 1000
-    assert sizing.shuffle_partitions(10**12, most=10**6) == 745_058
+    assert sizing.shuffle_partitions(1000) == 1
+    assert sizing.shuffle_partitions(10**12) == 745_059
     assert sizing.storage_level("DISK_ONLY") == StorageLevel.DISK_ONLY
     assert sizing.storage_level("anything") == StorageLevel.MEMORY_AND_DISK
 
@@ -249,8 +256,12 @@ def write_csv(path, count):
 
 def test_batch_end_to_end(spark, tmp_path):
     write_csv(tmp_path, 1500)
+    bad = "9,B,MUG,many,6/2/2011 9:00,1.0,C1,France"
+    (tmp_path / "more.csv").write_text(HEADER + bad + "\n")
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
-    record = run_batch(readers.load_main_csv(spark, str(tmp_path)), out, run_log=log)
+    record = run_batch(readers.load_csv_folder(spark, str(tmp_path)), out, run_log=log)
+    assert record["rows_quarantined"] == 1
+    assert [r[readers.CORRUPT] for r in spark.read.parquet(f"{out}/quarantine").collect()] == [bad]
     assert record["status"] == "completed" and record["rows_processed"] == 1500
     assert (record["rows_read"], record["retained_percent"]) == (1500, 100.0)
     assert record["quality_passed"] is True
@@ -270,7 +281,7 @@ def test_batch_end_to_end(spark, tmp_path):
 
 def test_batch_with_bad_data_reports_and_can_stop(spark, tmp_path):
     write_csv(tmp_path, 30)
-    raw = readers.load_main_csv(spark, str(tmp_path))
+    raw = readers.load_csv_folder(spark, str(tmp_path))
     record = run_batch(raw, str(tmp_path / "out"))
     assert record["status"] == "completed" and record["quality_passed"] is False
     with pytest.raises(QualityError):
