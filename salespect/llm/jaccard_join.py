@@ -12,10 +12,12 @@
 4. For every shingle, each owner is paired with the smallest owner, under the
    length and positional filters; the suffix filter and then the exact test
    follow, once per pair.
-5. Only where owners of one shingle are still in different components are the
-   pairs across components formed, less those the distances to the smallest
-   owner already exclude (Jaccard distance is a metric). No link between
-   components is lost, and no group is expanded into all of its pairs.
+5. While owners of one shingle are in different components, they are paired
+   with other owners of it, picked by hash, for a few rounds. What then still
+   is apart is paired across components under all filters, the suffix filter
+   taken from parity bitmaps of the sets, so that the join gives out only pairs
+   about as similar as links. No link between components is lost, and no group
+   is expanded into all of its pairs.
 """
 
 from __future__ import annotations
@@ -38,6 +40,9 @@ _COUNT_BLOCKS = 64
 _SEEN_LIMIT = 200_000
 _FLUSH_ENTRIES = 1_000_000
 _BINS = 64
+_BITS = 1024  # of the parity bitmap of a set
+_PARITY = [f"p{n}" for n in range(_BITS // 64)]
+_ROUNDS = 3  # of further owners that open shingles are paired with
 _SHARE = 4096  # entries of one cell of the count table that a block should hold
 
 
@@ -173,13 +178,21 @@ def _shared(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({name: entries[name][keep] for name in ENTRY.names if name != "heavy"})
 
 
+def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """_BITS bits, each the parity of how many shingles fall on it: two sets differ in at least as many shingles as bits."""
+    at = (mix(shingles) % np.uint64(_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=_BITS) & 1).astype(bool), bitorder="little").view("<i8")
+
+
 def _candidate_sets(batches, size: int):
     alphabet = Alphabet()
     for batch in batches:
         for part in words(batch.column(0), alphabet):
             sets = [shingle_set(part.hashes[x:y], size) for x, y in zip(part.first[:-1], part.first[1:], strict=True)]
             keys = pa.array([set_key(x, 0) for x in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([keys, pa.array([x.tobytes() for x in sets], pa.binary())], ["key", "shingles"])
+            parity = np.array([parity_bitmap(x) for x in sets], np.int64).reshape(-1, len(_PARITY)).T
+            columns = [keys, pa.array([x.tobytes() for x in sets], pa.binary()), *map(pa.array, parity.copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles", *_PARITY])
 
 
 def _differing(x: np.ndarray, y: np.ndarray) -> int:
@@ -206,6 +219,7 @@ def _measured(batches, percent: int):
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Each pair (a, b) once, with the sizes of the overlap and the union of its sets."""
+    sets = sets.select("key", "shingles")
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left_set"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right_set"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
@@ -219,6 +233,29 @@ def _filters(left_size, left_place, right_size, right_place, percent: int):
     return (100 * small >= percent * large) & ((100 + percent) * rest >= percent * (left_size + right_size))
 
 
+def _bits_allow(percent: int):
+    """Suffix filter on the bitmaps of x and y: enough shingles can be in both."""
+    apart = sum((F.bit_count(F.col(f"x.{p}").bitwiseXOR(F.col(f"y.{p}"))) for p in _PARITY[1:]), F.bit_count(F.expr(f"x.{_PARITY[0]} ^ y.{_PARITY[0]}")))
+    both = F.col("x.size") + F.col("y.size")
+    return (100 + percent) * (both - apart) >= 2 * percent * both
+
+
+def _open(entries: DataFrame, component: DataFrame) -> DataFrame:
+    """Entries, with their components, of the shingles whose owners are in several."""
+    known = entries.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("c", F.coalesce("component", "key")).drop("component")
+    split = known.groupBy("shingle").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least <> most").select("shingle")
+    return staged(known.join(split, "shingle"), "open")
+
+
+def _with_picked(members: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of each owner of an open shingle and the one picked there by hash, of another component."""
+    owner = F.struct("key", "size", "place", "c", *_PARITY)
+    picked = members.groupBy("shingle").agg(F.min_by(owner, F.xxhash64("key", "shingle", F.lit(turn))).alias("y")).select("shingle", "y.*")
+    x, y = members.alias("x"), picked.alias("y")
+    near = x.join(y, "shingle").where("x.c <> y.c").where(_filters(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent))
+    return near.where(_bits_allow(percent)).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+
+
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -266,7 +303,7 @@ def jaccard_components(
     owners = entries.select("key").distinct()
     wanted = classes.join(owners, "key").select("id")
     sets = staged(
-        texts.where("text is not null").join(wanted, "id").select("text").mapInArrow(partial(_candidate_sets, size=size), "key long, shingles binary"),
+        texts.where("text is not null").join(wanted, "id").select("text").mapInArrow(partial(_candidate_sets, size=size), "key long, shingles binary, " + ", ".join(f"{p} long" for p in _PARITY)),
         "candidate-sets",
     )
     tested = staged(_verified(stars, sets, percent), "tested")
@@ -274,31 +311,31 @@ def jaccard_components(
     links = tested.where(linked).select("a", "b")
     component = staged(connected_components(links), "components")
 
-    # Shingles whose owners are in several components: the pairs across them.
-    known = entries.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("c", F.coalesce("component", "key"))
-    split = known.groupBy("shingle").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.min("key").alias("pivot")).where("least <> most").select("shingle", "pivot")
-    away = tested.where("total > 0").selectExpr("a as pivot", "b as key", "1 - shared / total as away")
-    members = (
-        known.select("shingle", "key", "size", "place", "c")
-        .join(split, "shingle")
-        .join(away, ["pivot", "key"], "left")
-        .withColumn("away", F.when(F.col("key") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("away")))
-    )
-    members = staged(members.select("shingle", "key", "size", "place", "c", "away"), "open")
-    x, y = members.alias("x"), members.alias("y")
-    across = (
-        x.join(y, "shingle")
-        .where("x.key < y.key and x.c <> y.c")
-        .where(F.expr(f"x.away is null or y.away is null or abs(x.away - y.away) <= {1 - percent / 100 + 1e-9}"))
-        .where(_filters(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent))
-        .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    across = staged(across, "pairs")
-    if across.limit(1).count():
-        more = _verified(across, sets, percent).where(linked).select("a", "b")
-        component = staged(connected_components(staged(links.unionByName(more), "all-links")), "components")
+    bitmaps = sets.groupBy("key").agg(*[F.first(p).alias(p) for p in _PARITY])
+    members = _open(entries, component)
+    if members.limit(1).count():
+        members = staged(members.join(bitmaps, "key"), "open")
+        known = stars
+        for turn in range(_ROUNDS):
+            picked = staged(_with_picked(members, turn, percent).distinct().join(known, ["a", "b"], "left_anti"), "pairs")
+            more = _verified(picked, sets, percent).where(linked).select("a", "b")
+            links = staged(links.unionByName(more), "links")
+            known = known.unionByName(picked)
+            component = staged(connected_components(links), "components")
+            members = _open(members.drop("c"), component)
+        x, y = members.alias("x"), members.alias("y")
+        across = (
+            x.join(y, "shingle")
+            .where("x.key < y.key and x.c <> y.c")
+            .where(_filters(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent))
+            .where(_bits_allow(percent))
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+            .distinct()
+            .join(known, ["a", "b"], "left_anti")
+        )
+        more = staged(_verified(across, sets, percent).where(linked).select("a", "b"), "links")
+        if more.limit(1).count():
+            component = staged(connected_components(staged(links.unionByName(more), "links")), "components")
 
     named = classes.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("c", F.coalesce("component", "key"))
     smallest = named.groupBy("c").agg(F.min("id").alias("component_id"))
