@@ -12,18 +12,18 @@
 4. For every shingle, each owner is paired with the smallest owner, under the
    length and positional filters; the suffix filter and then the exact test
    follow, once per pair.
-5. While owners of one shingle are in different components, they are paired
-   with other owners of it, picked by hash, for a few rounds. What then still
-   is apart is paired across components under all filters, the suffix filter
-   taken from parity bitmaps of the sets, so that the join gives out only pairs
-   about as similar as links. No link between components is lost, and no group
+5. Where owners of one shingle are in different components, they are paired
+   with a few other owners of it, picked by hash. What then still is apart is
+   paired across components under all filters, the suffix filter taken from
+   parity bitmaps of the sets, so that the join gives out only pairs about as
+   similar as links. No link between components is lost, and no group
    is expanded into all of its pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -42,7 +42,7 @@ _FLUSH_ENTRIES = 1_000_000
 _BINS = 64
 _BITS = 1024  # of the parity bitmap of a set
 _PARITY = [f"p{n}" for n in range(_BITS // 64)]
-_ROUNDS = 3  # of further owners that open shingles are paired with
+_PICKS = 3  # further owners that those of an open shingle are paired with
 _SHARE = 4096  # entries of one cell of the count table that a block should hold
 
 
@@ -315,14 +315,12 @@ def jaccard_components(
     members = _open(entries, component)
     if members.limit(1).count():
         members = staged(members.join(bitmaps, "key"), "open")
-        known = stars
-        for turn in range(_ROUNDS):
-            picked = staged(_with_picked(members, turn, percent).distinct().join(known, ["a", "b"], "left_anti"), "pairs")
-            more = _verified(picked, sets, percent).where(linked).select("a", "b")
-            links = staged(links.unionByName(more), "links")
-            known = known.unionByName(picked)
-            component = staged(connected_components(links), "components")
-            members = _open(members.drop("c"), component)
+        picked = reduce(DataFrame.unionByName, [_with_picked(members, turn, percent) for turn in range(_PICKS)])
+        picked = staged(picked.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+        known = stars.unionByName(picked)
+        links = staged(links.unionByName(_verified(picked, sets, percent).where(linked).select("a", "b")), "links")
+        component = staged(connected_components(links), "components")
+        members = _open(members.drop("c"), component)
         x, y = members.alias("x"), members.alias("y")
         across = (
             x.join(y, "shingle")
