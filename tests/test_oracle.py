@@ -4,6 +4,9 @@ import __spark_entry__ as contract
 import pytest
 from engines import differences, duck
 
+from oracle.sql import ORACLE
+from salespect.plans.queries import QUERIES
+
 SF_DIR = contract.SMOKE_DIR
 
 
@@ -13,14 +16,15 @@ def engine():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= contract.queries().items() and ORACLE.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, engine, name):
-    frame = contract.queries()[name](spark, SF_DIR)
-    assert differences(frame, engine, contract.oracle_sql()[name]) == []
+    frame = QUERIES[name](spark, SF_DIR)
+    assert differences(frame, engine, ORACLE[name]) == []
