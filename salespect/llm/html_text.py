@@ -5,10 +5,11 @@ path, the length of text and its punctuation are set against the number of
 nodes, and link text counts against it. Both ratios are smoothed over the
 neighbouring nodes in page order and fused as their product. What the page
 itself says about its parts enters as a factor: 0 below menus, headers, footers
-and the like (by tag, role or class), and a path inside an article or main
-element is above any threshold. Elsewhere a path is content when its fused
-ratio reaches a share of the page's deviation. Selected nodes are joined by
-blocks.
+and the like (by tag, role or class), and more than 1 inside an article or main
+element. A path is content when its weighted ratio reaches a share of the
+deviation of the page's unweighted ones. Selected nodes are joined by blocks; a
+block that is mostly selected, such as a paragraph with links, is taken whole,
+and a heading goes with what follows it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 SMOOTHING = 1
 SHARE_OF_DEVIATION = 0.5
+CONTENT_WEIGHT, CONTENT_LINK_WEIGHT = 12.0, 3.0  # inside an article or main element; the first keeps short items of its lists
 
 #: Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,6 +51,7 @@ _TOKEN = re.compile(
 )
 _NAMING = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _PART = re.compile(r"[^a-z]+")
+_HEADING = re.compile(r"/h[1-6](?:[./]|\Z)")
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 
 
@@ -144,11 +147,8 @@ def _smooth(values: np.ndarray) -> np.ndarray:
 
 
 def content_paths(found: list[Node]) -> set[str]:
-    """Paths whose fused ratio says content."""
-    filled = [n for n in found if n.text.strip()]
-    if any(n.kind == "content" for n in filled):
-        return {n.path for n in filled if n.kind == "content"}
-    filled = [n for n in filled if n.kind != "other"]
+    """Paths whose fused ratio, weighted by kind, says content."""
+    filled = [n for n in found if n.text.strip() and n.kind != "other"]
     if not filled:
         return set()
     length, marks, count = defaultdict(float), defaultdict(float), defaultdict(int)
@@ -163,17 +163,28 @@ def content_paths(found: list[Node]) -> set[str]:
     threshold = SHARE_OF_DEVIATION * fused.std()
     sums: dict[str, list[float]] = defaultdict(list)
     for n, value in zip(filled, fused, strict=True):
-        sums[n.path].append(float(value))
-    return {path for path, values in sums.items() if np.mean(values) >= threshold}
+        sums[n.path].append(float(value) * (1.0 if n.kind != "content" else CONTENT_LINK_WEIGHT if n.link else CONTENT_WEIGHT))
+    return {path for path, values in sums.items() if np.median(values) >= threshold}
 
 
 def main_text(page: str | None) -> str:
     """The content of a page: blocks joined by an empty line, white space inside a block as one blank."""
     found = nodes(page or "")
     chosen = content_paths(found)
+    kept = [n for n in found if n.kind != "other"]
+    balance: dict[int, int] = defaultdict(int)
+    for n in kept:
+        balance[n.block] += len(n.text.strip()) * (1 if n.path in chosen else -1)
+    follows = False
+    for n in reversed(kept):
+        if not _HEADING.search(n.path):
+            follows = balance[n.block] > 0 if n.text.strip() else follows
+        elif follows and not n.link:
+            chosen.add(n.path)
+            balance[n.block] = max(1, balance[n.block])
     blocks: dict[int, list[str]] = defaultdict(list)
-    for n in found:
-        if n.path in chosen and n.kind != "other":
+    for n in kept:
+        if n.path in chosen or balance[n.block] > 0:
             blocks[n.block].append(n.text)
     texts = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(t for t in texts if t)

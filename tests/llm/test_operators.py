@@ -176,6 +176,17 @@ def test_main_text(spark):
     assert {(r["page_id"], r["n_chars"]) for r in html_text.extract_text(frame).collect()} == {(1, 22), (2, 0), (None, 0)}
 
 
+def test_ratios_decide_also_beside_and_inside_an_article():
+    long = ["Main words, and more of them here. " * 20, "Other main words, longer ones still. " * 18, "Third part, of the same kind. " * 25]
+    teaser = "<body><article><p>Read this.</p></article><div>" + "".join(f"<p>{x}</p>" for x in long) + "</div></body>"
+    assert all(x.strip() in html_text.main_text(teaser) for x in long)
+    text = "<body><article><h2>Title</h2>" + "".join(f"<p>{x} see <a href=x>the source</a> for it.</p>" for x in long)
+    links = "<ul>" + "".join(f"<li><a href=/{n}>other page {n}</a>" for n in range(8)) + "</ul>"
+    items = "<ol>" + "".join(f"<li>plain item {n}" for n in range(8)) + "</ol>"
+    found = html_text.main_text(text + links + items + "</article></body>")
+    assert found.startswith("Title\n\nMain") and found.count("the source") == 3 and found.count("plain item") == 8 and "other page" not in found
+
+
 def test_quality_separates_junk(spark, nothing):
     clean = [prose(n, 40 + n) + "." for n in range(80)]
     junk = ["".join(f"{w}$$$ " for w in prose(n, 50).split()) for n in range(12)] + ["again " * 60] * 3
