@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 SMOOTHING = 1
 SHARE_OF_DEVIATION = 0.5
+LARGE_PART, LEAST_LARGE = 0.5, 400  # share of a page's text outside boilerplate elements, characters: parts by name that hold more are left to the ratios
 CONTENT_WEIGHT, CONTENT_LINK_WEIGHT = 12.0, 3.0  # inside an article or main element; the first keeps short items of its lists
 
 #: Elements of HTML by their part in a page.
@@ -34,12 +35,13 @@ RAW = frozenset("script style template textarea noscript svg math iframe object
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 BOILERPLATE = frozenset("head title nav header footer aside form menu dialog".split())
 CONTENT = frozenset("article main".split())
+WHOLE = frozenset("html body main article".split())  # never a part by their names
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("table ul ol dl article main section div body html td th".split())
-#: Words of class, id and role that name parts other than the article.
+#: Whole tokens of class, id and role, and whole labels, that name parts other than the article.
 PART_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr menu modal "
     "nav navbar navigation newsletter notice notices popup promo promoted related reply replies search share sharing sidebar social sponsor sponsored subscribe widget".split()
@@ -50,7 +52,6 @@ _TOKEN = re.compile(
     re.DOTALL,
 )
 _NAMING = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_PART = re.compile(r"[^a-z]+")
 _HEADING = re.compile(r"/h[1-6](?:[./]|\Z)")
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 
@@ -61,6 +62,7 @@ class Node(NamedTuple):
     block: int
     kind: str  # 'content', 'other' or 'plain'
     link: bool
+    part: int  # number of the outermost element around it that is a part by its name, or 0
 
 
 class _Open(NamedTuple):
@@ -68,12 +70,13 @@ class _Open(NamedTuple):
     path: str
     kind: str
     link: bool
+    part: int
 
 
 def _named_part(attrs: str) -> tuple[str, bool]:
     names = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _NAMING.findall(attrs)] if attrs else []
     shown = "".join(f".{v.split()[0]}" for k, v in names if k == "class" and v.split())
-    return shown, any(w in PART_WORDS for _, v in names for w in _PART.split(v))
+    return shown, any(w in PART_WORDS for k, v in names for w in ([v.strip()] if k == "aria-label" else v.split()))
 
 
 def _close(stack: list[_Open], names, stop) -> bool:
@@ -88,13 +91,13 @@ def _close(stack: list[_Open], names, stop) -> bool:
 
 def nodes(page: str) -> list[Node]:
     """The text nodes of a page in order; nodes of one block have one number. Elements left open end with their parent."""
-    stack, out = [_Open("", "", "plain", False)], []
-    block, at, size = 0, 0, len(page)
+    stack, out = [_Open("", "", "plain", False, 0)], []
+    block, parts, at, size = 0, 0, 0, len(page)
 
     def text(part: str) -> None:
         if part:
             top = stack[-1]
-            out.append(Node(html.unescape(part), top.path, block, top.kind, top.link))
+            out.append(Node(html.unescape(part), top.path, block, top.kind, top.link, top.part))
 
     while at < size:
         found = _TOKEN.search(page, at)
@@ -130,14 +133,25 @@ def nodes(page: str) -> list[Node]:
             continue
         shown, part = _named_part(attrs)
         parent = stack[-1]
-        kind = parent.kind
-        inside_article = kind == "content"
-        if part or name in BOILERPLATE and not (name == "header" and inside_article):
+        kind, inside = parent.kind, parent.part
+        if name in BOILERPLATE and not (name == "header" and kind == "content"):
             kind = "other"
         elif name in CONTENT and kind != "other":
             kind = "content"
-        stack.append(_Open(name, f"{parent.path}/{name}{shown}", kind, parent.link or name == "a"))
-    return out
+        if part and not inside and kind != "other" and name not in WHOLE:
+            inside = parts = parts + 1
+        stack.append(_Open(name, f"{parent.path}/{name}{shown}", kind, parent.link or name == "a", inside))
+    return _without_parts(out)
+
+
+def _without_parts(found: list[Node]) -> list[Node]:
+    """Parts by name become 'other', but for those that hold most of the page's text."""
+    sizes: dict[int, int] = defaultdict(int)
+    for n in found:
+        if n.kind != "other":
+            sizes[n.part] += len(n.text.strip())
+    most = max(LEAST_LARGE, LARGE_PART * sum(sizes.values()))
+    return [n._replace(kind="other") if n.part and sizes[n.part] <= most else n for n in found]
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:

@@ -187,6 +187,19 @@ def test_ratios_decide_also_beside_and_inside_an_article():
     assert found.startswith("Title\n\nMain") and found.count("the source") == 3 and found.count("plain item") == 8 and "other page" not in found
 
 
+def test_names_of_parts_do_not_empty_a_page():
+    text = "Words, and more words of the page. " * 20
+    for page in (
+        f'<body class="no-sidebar"><article><p>{text}</p></article></body>',
+        f'<body class="sidebar"><article><p>{text}</p></article></body>',
+        f'<body><div id="page" class="has-sidebar"><article><p>{text}</p></article></div></body>',
+        f'<body><article aria-label="Reply to a letter"><p>{text}</p></article></body>',
+        f'<body><div class="notice"><p>{text}</p></div></body>',
+    ):
+        assert html_text.main_text(page) == text.strip(), page
+    assert html_text.main_text(f'<body><article><p>{text}</p><div class="box ad"><p>Buy this, now.</p></div></article></body>') == text.strip()
+
+
 def test_quality_separates_junk(spark, nothing):
     clean = [prose(n, 40 + n) + "." for n in range(80)]
     junk = ["".join(f"{w}$$$ " for w in prose(n, 50).split()) for n in range(12)] + ["again " * 60] * 3
