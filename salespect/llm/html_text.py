@@ -31,16 +31,21 @@ CONTENT_WEIGHT, CONTENT_LINK_WEIGHT = 12.0, 3.0  # inside an article or main ele
 
 #: Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template textarea noscript svg math iframe object canvas select option button".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+RAW = frozenset("script style textarea".split())
+FOREIGN = re.compile(r"/(?:svg|math)(?:[./]|\Z)")  # paths below which tags may close themselves
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big button canvas cite code data del dfn em font i iframe ins kbd label mark math noscript object option q s samp select small span "
+    "strike strong sub sup svg time tt u var".split()
+)
 BOILERPLATE = frozenset("head title nav header footer aside form menu dialog".split())
+UNSEEN = frozenset("template iframe".split())  # browsers never show what is in them
 CONTENT = frozenset("article main".split())
 WHOLE = frozenset("html body main article".split())  # never a part by their names
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
-SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-SCOPES = frozenset("table ul ol dl article main section div body html td th".split())
+SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
+SCOPES = frozenset("table ul ol dl article main section div body html td th select datalist".split())
 #: Whole tokens of class, id and role, and whole labels, that name parts other than the article.
 PART_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr menu modal "
@@ -93,6 +98,7 @@ def nodes(page: str) -> list[Node]:
     """The text nodes of a page in order; nodes of one block have one number. Elements left open end with their parent."""
     stack, out = [_Open("", "", "plain", False, 0)], []
     block, parts, at, size = 0, 0, 0, len(page)
+    endless: set[str] = set()  # names of unseen elements that no end tag follows; their start tags say nothing
 
     def text(part: str) -> None:
         if part:
@@ -109,32 +115,40 @@ def nodes(page: str) -> list[Node]:
         name = (found["name"] or found["name2"] or "").lower()
         if not name:
             continue
+        foreign = FOREIGN.search(stack[-1].path) is not None and name not in CLOSES_P and name not in SCOPES
+        inline = foreign or name in INLINE
         if found["end"] or found["end2"]:
-            if name not in INLINE and name not in VOID:
+            if not inline and name not in VOID:
                 block += 1
-            _close(stack, {name}, SCOPES - {name} if name in INLINE or name == "p" else ())
+            _close(stack, {name}, SCOPES - {name} if inline or name == "p" else ())
             continue
         attrs = found["attrs"] or found["attrs2"] or ""
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at) if not attrs.endswith("/") else None
             at = end.end() if end else at if attrs.endswith("/") else size
             continue
+        if name in UNSEEN and name not in endless and not re.compile(f"</{name}", re.IGNORECASE).search(page, at):
+            endless.add(name)
+        if name in endless:
+            continue
         if name in VOID:
             if name == "hr":
                 block += 1
             continue
         if name in CLOSES_P:
+            if FOREIGN.search(stack[-1].path):
+                _close(stack, {"svg", "math"}, SCOPES)
             _close(stack, {"p"}, SCOPES)
         if name in SIBLINGS:
             _close(stack, SIBLINGS[name], SCOPES - SIBLINGS[name])
-        if name not in INLINE:
+        if not inline:
             block += 1
-        if attrs.endswith("/") and name in INLINE:
+        if attrs.endswith("/") and inline:
             continue
         shown, part = _named_part(attrs)
         parent = stack[-1]
         kind, inside = parent.kind, parent.part
-        if name in BOILERPLATE and not (name == "header" and kind == "content"):
+        if name in UNSEEN or name in BOILERPLATE and not (name == "header" and kind == "content"):
             kind = "other"
         elif name in CONTENT and kind != "other":
             kind = "content"

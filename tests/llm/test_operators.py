@@ -200,6 +200,15 @@ def test_names_of_parts_do_not_empty_a_page():
     assert html_text.main_text(f'<body><article><p>{text}</p><div class="box ad"><p>Buy this, now.</p></div></article></body>') == text.strip()
 
 
+def test_elements_without_end_tags_and_embedded_text_stay():
+    text = "Words, and more words of the page. " * 20
+    for start in ("<form><input list=q><datalist id=q><option value=x></datalist></form>", "<div><select><option>a<option>b</div>", "<iframe src=x>", "<template>", "<svg><path d=x>", "<div><object data=x></div>", "<canvas>"):
+        assert text.strip() in html_text.main_text(f"<body>{start}<article><p>{text}</p></article></body>"), start
+    inner = "<noscript>no script</noscript> <math><mi>x</mi><mo>=</mo><mspace/><mn>2</mn></math> <object>an object</object> <canvas>drawn</canvas> <button>a button</button> <svg><path d=x /></svg>end"
+    page = f"<body><article><p>{text}{inner}</p><script>no</script><textarea>nor</textarea><iframe>this</iframe><template><p>here</p></template></article></body>"
+    assert html_text.main_text(page) == text + "no script x=2 an object drawn a button end"
+
+
 def test_quality_separates_junk(spark, nothing):
     clean = [prose(n, 40 + n) + "." for n in range(80)]
     junk = ["".join(f"{w}$$$ " for w in prose(n, 50).split()) for n in range(12)] + ["again " * 60] * 3
