@@ -20,10 +20,13 @@ def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near copies."""
-    found = jaccard_join.jaccard_components(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
+    """One row of each group of near copies, the one of smallest id; null and repeated ids are rows of their own."""
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    found = jaccard_join.jaccard_components(rows, id_col="__row").select("__row", "component_id")
+    named = found.join(rows.select("__row", "doc_id"), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")).getField("__row")
+    kept = named.groupBy("component_id").agg(first.alias("__row")).select("__row")
+    return rows.join(kept, "__row", "left_semi").select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

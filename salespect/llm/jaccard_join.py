@@ -195,6 +195,12 @@ def _candidate_sets(batches, size: int):
             yield pa.RecordBatch.from_arrays(columns, ["key", "shingles", *_PARITY])
 
 
+def _sets_of(texts: DataFrame, size: int) -> DataFrame:
+    """Key, shingles and bitmap of each text."""
+    columns = "key long, shingles binary, " + ", ".join(f"{p} long" for p in _PARITY)
+    return texts.select("text").mapInArrow(partial(_candidate_sets, size=size), columns)
+
+
 def _differing(x: np.ndarray, y: np.ndarray) -> int:
     """At least so many shingles are in one of the sorted sets only: their counts differ in ranges of the hash."""
     at = np.arange(1, _BINS, dtype=np.uint64) * np.uint64((1 << 64) // _BINS)
@@ -301,11 +307,14 @@ def jaccard_components(
     )
     stars = staged(stars, "pairs")
     owners = entries.select("key").distinct()
-    wanted = classes.join(owners, "key").select("id")
-    sets = staged(
-        texts.where("text is not null").join(wanted, "id").select("text").mapInArrow(partial(_candidate_sets, size=size), "key long, shingles binary, " + ", ".join(f"{p} long" for p in _PARITY)),
-        "candidate-sets",
-    )
+    wanted = classes.join(owners, "key").select("id", "key")
+    sets = staged(_sets_of(texts.where("text is not null").join(wanted.where("id is not null"), "id", "left_semi"), size), "candidate-sets")
+    nameless = wanted.where("id is null").select("key")
+    if nameless.limit(1).count():  # classes that no id leads to
+        sets = sets.unionByName(_sets_of(texts.where("id is null and text is not null"), size).join(nameless, "key", "left_semi"))
+        sets = staged(sets, "candidate-sets")
+    if sets.groupBy("key").count().where("count > 1").limit(1).count():  # repeated ids
+        sets = staged(sets.groupBy("key").agg(*[F.first(x).alias(x) for x in sets.columns[1:]]), "candidate-sets")
     tested = staged(_verified(stars, sets, percent), "tested")
     linked = f"total > 0 and 100 * shared >= {percent} * total"
     links = tested.where(linked).select("a", "b")

@@ -133,6 +133,26 @@ def test_jaccard_components(spark, nothing):
     assert jaccard_join.jaccard_components(nothing).count() == 0
 
 
+def test_jaccard_links_pass_through_a_set_without_ids(spark):
+    base = prose(8, 100).split()
+    middle = [*base[:90], *(f"e{n}" for n in range(10))]
+    other = [*(f"s{n}" for n in range(10)), *middle[10:]]
+    rows = [(0, " ".join(base)), (None, " ".join(middle)), (None, " ".join(middle)), (1, " ".join(other)), (1, prose(9, 50)), (1, " ".join(other))]
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["component_id"]) for r in found) == [("0", 0), ("1", 0), ("1", 0), ("1", 1), ("None", 0), ("None", 0)]
+
+
+def test_one_per_group_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (prose(n, 60) for n in range(50, 54))
+    rows = [(None, a), (None, b), (None, b), (4, b), (3, b), (7, c), (7, c), (7, d), (None, None), (9, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.one_per_group(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted(map(repr, kept.collect())) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in [(None, a), (3, b), (7, c), (7, d), (None, None), (9, "")])
+
+
 def test_near_vectors(spark, monkeypatch):
     monkeypatch.setattr(vectors, "BLOCK", 16)
     rng = np.random.default_rng(1)
