@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salespect.llm import decontaminate, html_text, jaccard_join, language, packing, quality, token_counts, toxicity, vectors, wavelet
+from salespect.llm import decontaminate, exact_dedup, html_text, jaccard_join, language, packing, quality, spelling, token_counts, toxicity, vectors, wavelet, whitening
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -63,10 +63,32 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "pages"), *language.train(_table(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_wavelet, op2_token_counts, op3_quality, op4_html_text, op5_jaccard, op6_vectors, op7_decontaminate, op8_pack, op9_toxicity, op10_language)
+    for f in (op1_wavelet, op2_token_counts, op3_quality, op4_html_text, op5_jaccard, op6_vectors, op7_decontaminate, op8_pack, op9_toxicity, op10_language, op11_whitening, op12_exact_dedup, op13_spelling)
 }
 
-# Models, tokenizers and similarity joins are beyond SQL; tests/llm compares with brute force instead.
-ORACLE: dict[str, str] = {}
+# Models, tokenizers and similarity joins are beyond SQL.
+ORACLE: dict[str, str] = {
+    "op12_exact_dedup": """
+        SELECT doc_id,
+               max(doc_id) OVER same AS keep_id,
+               count(*) OVER same AS group_size,
+               row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents
+        WINDOW same AS (PARTITION BY coalesce(text, ''))
+    """,
+}
