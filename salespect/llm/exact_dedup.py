@@ -22,7 +22,13 @@ from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged, staging_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_STORE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{STATE_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Logs sized in advance take some megabytes per partition, whatever it holds.
+    f"{STATE_STORE}.rocksdb.allowFAllocate": "false",
+    f"{STATE_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+}
 BATCH_BYTES = 1 << 40  # of files in one trigger of the stream
 PIECE_BYTES = 256 << 20  # of copies that one task compares with their text
 
@@ -48,7 +54,8 @@ def remember(spark: SparkSession, path: str, state: str, id_col: str = "doc_id",
     path = path.rstrip("/")
     # A session of its own keeps the state store's settings out of the caller's.
     session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_SETTINGS.items():
+        session.conf.set(key, value)
     stream = session.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(_pattern(path))
     rows = _columns(stream, id_col, text_col, digest)
     keep = F.struct("id", "file", "row", F.octet_length("text").alias("bytes"))
