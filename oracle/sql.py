@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 RAW = """
 raw AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS invoice_no,
@@ -424,6 +426,19 @@ def _check(group: str, check: str, status: str, source: str) -> str:
     return f"SELECT '{group}' AS \"group\", '{check}' AS \"check\", {status} AS status FROM {source}"
 
 
+# The lines as read when columns came in wrong types: what cannot be read is NULL.
+SPOILED = """
+lines AS (
+  SELECT * REPLACE (
+    CAST(CASE WHEN quantity % 13 <> 0 THEN quantity END AS DOUBLE) AS quantity,
+    CASE WHEN product_id NOT LIKE '%7' THEN unit_price END AS unit_price,
+    CASE WHEN hour <> 13 THEN hour END AS hour,
+    CASE WHEN day <> 31 THEN invoice_date END AS invoice_date,
+    '[' || country || ']' AS country,
+    '{' || customer_id || '}' AS customer_id)
+  FROM plain
+)"""
+
 CHECKS = (
     "checks AS (SELECT *, CASE status WHEN 'failed' THEN 'error' WHEN 'warning' THEN 'warning' "
     "ELSE 'info' END AS severity FROM ("
@@ -495,6 +510,16 @@ TO_CHECKS = [
     *TO_LINES,
     *(SPENDERS, STATS, KEYS, DUPLICATES, VARIED, DATES, OUTLIERS, SHARES, CHECKS, VERDICT),
 ]
+# Text columns warn of their type, and unreadable dates fail.
+SPOILED_CHECKS = re.sub(
+    r"('type:\w+' AS \"check\", )'passed'", r"\1'warning'", CHECKS
+).replace(DATES_STATUS, "'failed'")
+TO_SPOILED = [
+    *TO_CLEAN,
+    LINES.replace("lines AS", "plain AS", 1),
+    SPOILED,
+    *(SPENDERS, STATS, KEYS, DUPLICATES, VARIED, DATES, OUTLIERS, SHARES, SPOILED_CHECKS),
+]
 PARSED = [RAW, _timed("raw", "parsed")]
 
 WHEN = "strftime(invoice_date, '%Y-%m-%d') AS invoice_date"
@@ -766,6 +791,20 @@ ORACLE: dict[str, str] = {
     ),
     "dq_concentration": _sql([*TO_LINES, SHARES], "SELECT * FROM shares"),
     "dq_checks": _sql(TO_CHECKS, "SELECT * FROM checks"),
+    "dq_bad_types": _sql(TO_SPOILED, "SELECT * FROM checks"),
+    "dq_unreadable": _sql(
+        [*TO_CLEAN, LINES],
+        """SELECT count(*) AS row_count,
+          count(*) FILTER (quantity % 13 = 0) AS unreadable_quantity,
+          count(*) FILTER (product_id LIKE '%7') AS unreadable_unit_price,
+          0::BIGINT AS unreadable_total_price,
+          count(*) FILTER (hour = 13) AS unreadable_hour,
+          count(*) FILTER (day = 31) AS unreadable_invoice_date,
+          0::BIGINT AS unreadable_invoice_datetime, 0::BIGINT AS unreadable_invoice_no,
+          0::BIGINT AS unreadable_product_id, 0::BIGINT AS unreadable_product_description,
+          0::BIGINT AS unreadable_customer_id, 0::BIGINT AS unreadable_country
+          FROM lines""",
+    ),
     "dq_summary": _sql(
         TO_CHECKS,
         """SELECT verdict.*, (SELECT count(*) FROM lines) AS row_count, 31 AS column_count,

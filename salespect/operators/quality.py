@@ -8,9 +8,13 @@ measure is measured by one scan.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +31,20 @@ NUMBER_TYPES = {
     "unit_price": (T.DoubleType, T.FloatType),
     "total_price": (T.DoubleType, T.FloatType),
 }
+DATE_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+# How the checks read each column: the type they need, and the types that are it already.
+READ_AS: dict[str, tuple[str, tuple[type[T.DataType], ...]]] = {
+    **{c: ("double", types) for c, types in NUMBER_TYPES.items()},
+    "hour": ("int", WHOLE_TYPES),
+    "invoice_date": ("date", DATE_TYPES),
+    "invoice_datetime": ("timestamp", DATE_TYPES),
+    **{
+        c: ("string", (T.StringType,))
+        for c in ("invoice_no", "product_id", "product_description", "customer_id", "country")
+    },
+}
 OUTLIER_COLUMNS = ("quantity", "unit_price", "total_price")
 
 CHECK_TYPE = T.StructType(
@@ -92,27 +110,47 @@ def _as_of(cfg: Settings) -> Column:
 # --- measurements -----------------------------------------------------------
 
 
-def _readable(df: DataFrame) -> DataFrame:
-    """Numbers that arrive as text and the like, as doubles; what cannot be read or is NaN is NULL."""
-    wrong = {
-        c: F.col(c).try_cast("double")
-        for c, types in NUMBER_TYPES.items()
-        if c in df.columns and not isinstance(df.schema[c].dataType, types)
-    }
-    out = df.withColumns(wrong) if wrong else df
-    floats = [c for c in NUMBER_TYPES if c in out.columns and dict(out.dtypes)[c] in ("double", "float")]
-    return out.withColumns({c: F.nullif(F.col(c), F.lit(float("nan")).cast(out.schema[c].dataType)) for c in floats}) if floats else out
-
-
-def unreadable_stats(df: DataFrame) -> DataFrame:
-    """One row: per number column how many values are given but are no number."""
-    seen = _readable(df.withColumns({f"_given_{c}": F.col(c).isNotNull() for c in NUMBER_TYPES if c in df.columns}))
+def _read(column: str, found: T.DataType) -> Column:
+    """The column in the type the checks need; what cannot be read, NaN too, is NULL."""
+    wanted, same = READ_AS[column]
+    value = F.col(column)
+    if not isinstance(found, same):
+        from_text = (T.StringType, T.VarcharType, T.CharType, T.NullType)
+        sources = {
+            "double": (*from_text, T.NumericType, T.BooleanType),
+            "int": (*from_text, T.NumericType, T.BooleanType),
+            "date": (*from_text, *DATE_TYPES),
+            "timestamp": (*from_text, *DATE_TYPES),
+            "string": (T.DataType,),
+        }
+        value = value.try_cast(wanted) if isinstance(found, sources[wanted]) else F.lit(None).cast(wanted)
+        found = T.DoubleType() if wanted == "double" else found
+    if isinstance(found, (T.DoubleType, T.FloatType)):
+        value = F.nullif(value, F.lit(float("nan")).cast(found))
+    return value
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """The frame with values that Spark cannot group by, maps and the like, as text."""
+    without = ("map<", "variant", "interval")
+    odd = [f.name for f in df.schema if any(word in f.dataType.simpleString() for word in without)]
+    return df.withColumns({c: F.col(c).cast("string") for c in odd}) if odd else df
+
+
+def readable(df: DataFrame) -> DataFrame:
+    """The frame as the checks read it: in the type they need where that is possible, else NULL."""
+    wrong = {f.name: _read(f.name, f.dataType) for f in df.schema if f.name in READ_AS and (not isinstance(f.dataType, READ_AS[f.name][1]) or isinstance(f.dataType, (T.DoubleType, T.FloatType)))}
+    return df.withColumns(wrong) if wrong else df
+
+
+def unreadable_stats(df: DataFrame, columns: Iterable[str] = tuple(READ_AS)) -> DataFrame:
+    """One row: per column that the checks read, how many values are given but cannot be read."""
     counts = [
-        F.count_if(F.col(f"_given_{c}") & F.col(c).isNull()).alias(f"unreadable_{c}")
-        for c in NUMBER_TYPES
-        if c in df.columns
+        F.count_if(F.col(f.name).isNotNull() & _read(f.name, f.dataType).isNull()).alias(f"unreadable_{f.name}")
+        for f in df.schema
+        if f.name in columns and f.name in READ_AS
     ]
-    return seen.agg(F.count(F.lit(1)).alias("row_count"), *counts)
+    return df.agg(F.count(F.lit(1)).alias("row_count"), *counts)
 
 
 def line_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -121,7 +159,7 @@ def line_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     Measurements whose columns are absent are left out.
     """
     have = set(df.columns)
-    df = _readable(df)
+    df = readable(df)
     quantity, price, hour = F.col("quantity"), F.col("unit_price"), F.col("hour")
     off = F.abs(F.col("total_price") - quantity * price) > cfg.price_tolerance
     measures = [F.count(F.lit(1)).alias("row_count")]
@@ -170,6 +208,7 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
     Only the key columns are shuffled for all lines. Equal lines share a key, so
     whole lines are compared only where a key repeats.
     """
+    df = comparable(df)
     keys = line_keys(df)
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     repeated = sizes.filter("n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
@@ -200,7 +239,8 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
 def suspicious_customers(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Known customers with implausibly many lines or implausible spending."""
     return (
-        _readable(df).filter(F.col("customer_id") != UNKNOWN)
+        readable(df)
+        .filter(F.col("customer_id") != UNKNOWN)
         .groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("transaction_count"),
@@ -216,7 +256,8 @@ def suspicious_customers(df: DataFrame, cfg: Settings = Settings()) -> DataFrame
 def inconsistent_products(df: DataFrame) -> DataFrame:
     """Products that appear with more than one description."""
     return (
-        df.groupBy("product_id")
+        readable(df)
+        .groupBy("product_id")
         .agg(F.count_distinct("product_description").alias("description_count"))
         .filter("description_count > 1")
     )
@@ -228,7 +269,7 @@ def date_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     Timestamps count as their day, so one task orders calendar days at most.
     """
     day, gap = F.col("invoice_date"), F.col("gap")
-    days = df.select(F.to_date(day).alias("invoice_date")).filter(day.isNotNull()).groupBy("invoice_date").agg(F.count(F.lit(1)).alias("n"))
+    days = readable(df).select(F.to_date(day).alias("invoice_date")).filter(day.isNotNull()).groupBy("invoice_date").agg(F.count(F.lit(1)).alias("n"))
     gaps = days.withColumn("gap", F.datediff(day, F.lag(day).over(Window.orderBy(day))))
     wide = gap > cfg.max_gap_days
     return gaps.agg(
@@ -244,7 +285,7 @@ def date_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 def outlier_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Bounds by interquartile range and the share outside, one row per numeric column."""
-    df = _readable(df)
+    df = readable(df)
     names = [c for c in OUTLIER_COLUMNS if c in df.columns]
     quartiles = quantiles(df, {name: (0.25, 0.75) for name in names}, cfg)
     bounds, counts = {}, [F.count(F.lit(1)).alias("row_count")]
@@ -269,7 +310,8 @@ def outlier_stats(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 def country_counts(df: DataFrame, k: int = 5) -> DataFrame:
     """The k countries with the most lines."""
     return (
-        df.groupBy("country")
+        readable(df)
+        .groupBy("country")
         .agg(F.count(F.lit(1)).alias("line_count"))
         .orderBy(F.desc("line_count"), F.asc("country"))
         .limit(k)
@@ -278,7 +320,7 @@ def country_counts(df: DataFrame, k: int = 5) -> DataFrame:
 
 def concentration_stats(df: DataFrame) -> DataFrame:
     """Number of countries, and the largest one with its share of the lines."""
-    counts = df.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    counts = readable(df).groupBy("country").agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(
         F.count(F.lit(1)).alias("country_count"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
@@ -416,12 +458,14 @@ def _consistency() -> Column:
 
 
 def _dates(cfg: Settings) -> Column:
+    unreadable = F.col("unreadable_dates") > 0
     future = F.col("future_rows") > 0
     sparse = (F.col("date_range_days") > 0) & (F.col("date_density") < cfg.min_date_density)
     early = F.coalesce(F.year("min_date") < cfg.first_year, F.lit(False))
     late = F.coalesce(F.year("max_date") > cfg.last_year, F.lit(False))
     critical = F.concat_ws(
         "; ",
+        F.when(unreadable, F.format_string("%d unreadable dates", F.col("unreadable_dates"))),
         F.when(future, F.format_string("%d lines with future dates", F.col("future_rows"))),
         F.when(sparse, F.concat(F.lit("date density only "), _percent(F.col("date_density")))),
     )
@@ -433,10 +477,10 @@ def _dates(cfg: Settings) -> Column:
     return _result(
         TIME,
         "dates",
-        F.when(future | sparse, critical)
+        F.when(unreadable | future | sparse, critical)
         .when(early | late, minor)
         .otherwise(F.format_string("%d distinct dates", F.col("unique_dates"))),
-        failed=future | sparse,
+        failed=unreadable | future | sparse,
         warning=early | late,
         metrics=["unique_dates", "date_range_days", "date_density", "future_rows"],
     )
@@ -502,10 +546,6 @@ def _unless_missing(df: DataFrame, group: str, check: str, needs: Iterable[str])
     if missing:
         text = "cannot run without " + ", ".join(missing)
         return _result(group, check, text, failed=F.lit(True))
-    if "invoice_date" in needs and not isinstance(
-        df.schema["invoice_date"].dataType, (T.DateType, T.TimestampType)
-    ):
-        return _result(group, check, "invoice_date is not a date", failed=F.lit(True))
     return None
 
 
@@ -559,13 +599,13 @@ def consistency_checks(df: DataFrame) -> DataFrame:
 
 
 def date_checks(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    return _or_problem(
-        df,
-        TIME,
-        "dates",
-        ["invoice_date"],
-        lambda: _rows(date_stats(df, cfg), _dates(cfg), _gaps()),
-    )
+    def build() -> DataFrame:
+        unreadable = F.lit(0)
+        if not isinstance(df.schema["invoice_date"].dataType, DATE_TYPES):
+            unreadable = unreadable_stats(df, ["invoice_date"]).select("unreadable_invoice_date").scalar()
+        return _rows(date_stats(df, cfg).withColumn("unreadable_dates", unreadable), _dates(cfg), _gaps())
+
+    return _or_problem(df, TIME, "dates", ["invoice_date"], build)
 
 
 def outlier_checks(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -584,17 +624,81 @@ def distribution_checks(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     )
 
 
-def run_all_checks(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """Every check result as one row. The frame is read several times, so pass a stored one."""
-    parts = [
-        basic_checks(df, cfg),
-        duplicate_checks(df, cfg),
-        consistency_checks(df),
-        date_checks(df, cfg),
-        outlier_checks(df, cfg),
-        distribution_checks(df, cfg),
+@dataclass(frozen=True)
+class Part:
+    """Checks that share their measurements, and how each one runs alone if need be."""
+
+    group: str
+    checks: tuple[str, ...]
+    build: Callable[[], DataFrame]
+    alone: Callable[[str], DataFrame] | None = None
+
+
+def check_parts(df: DataFrame, cfg: Settings = Settings()) -> list[Part]:
+    """The suite as parts, none of which depends on another."""
+    have = set(df.columns)
+    reads = {
+        "row_count": (),
+        **{f"nulls:{c}": (c,) for c in CRITICAL_COLUMNS if c in have},
+        "customer_coverage": ("customer_id",),
+        "ranges": ("quantity", "unit_price"),
+        "business_rules": ("quantity", "unit_price", "total_price", "customer_id", "hour"),
+    }
+
+    def alone(check: str) -> DataFrame:
+        """A basic check on the only columns that it reads."""
+        if check not in reads:  # schema and types are known without a scan
+            return _rows(df.sparkSession.range(1), _schema(df) if check == "schema" else _type(df, check.split(":")[1]))
+        columns = [F.col(c) for c in reads[check] if c in have]
+        return basic_checks(df.select(F.lit(1).alias("_line"), *columns), cfg).filter(F.col("check") == check)
+
+    types = [f"type:{c}" for c in NUMBER_TYPES if c in have]
+    return [
+        Part(BASIC, ("schema", *types, *reads), lambda: basic_checks(df, cfg), alone),
+        Part(BASIC, ("duplicates",), lambda: duplicate_checks(df, cfg)),
+        Part(BUSINESS, ("consistency",), lambda: consistency_checks(df)),
+        Part(TIME, ("dates", "time_gaps"), lambda: date_checks(df, cfg)),
+        Part(STATISTICAL, ("outliers",), lambda: outlier_checks(df, cfg)),
+        Part(STATISTICAL, ("distribution",), lambda: distribution_checks(df, cfg)),
     ]
-    return reduce(DataFrame.unionByName, parts)
+
+
+_BASIC_GROUPS = {"nulls": INTEGRITY, "type": INTEGRITY, "customer_coverage": INTEGRITY, "ranges": BUSINESS, "business_rules": BUSINESS}
+
+
+def _outcome(part: Part) -> list[Row]:
+    """The part's check rows; where its jobs fail, those of each check alone, and a failed row where that fails too."""
+
+    def failed(check: str, error: Exception) -> Row:
+        reason = str(error).strip().splitlines()[0] if str(error).strip() else ""
+        group = _BASIC_GROUPS.get(check.split(":")[0], part.group)
+        return Row(group, check, "failed", "error", f"could not run: {type(error).__name__}: {reason}"[:500], {})
+
+    def one(check: str) -> list[Row]:
+        try:
+            return part.alone(check).collect()
+        except (PySparkException, Py4JError) as error:
+            return [failed(check, error)]
+
+    try:
+        return part.build().collect()
+    except (PySparkException, Py4JError) as error:
+        if part.alone is None:
+            return [failed(check, error) for check in part.checks]
+        return [row for check in part.checks for row in one(check)]
+
+
+def run_all_checks(df: DataFrame, cfg: Settings = Settings(), jobs: int = 6) -> DataFrame:
+    """Every check result as one row, about twenty in all.
+
+    This runs the checks, up to `jobs` parts at a time, each as jobs of its own:
+    a part that fails, since a column cannot be computed or a file be read,
+    gives failed rows and leaves the others alone. The frame is read several
+    times, so pass a stored one.
+    """
+    with ThreadPoolExecutor(jobs) as pool:
+        rows = [row for found in pool.map(_outcome, check_parts(df, cfg)) for row in found]
+    return df.sparkSession.createDataFrame(rows, CHECK_TYPE)
 
 
 def summarize_checks(checks: DataFrame) -> DataFrame:

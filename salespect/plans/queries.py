@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,6 +188,26 @@ def _classified(i: Inputs) -> DataFrame:
     )
 
 
+def _spoiled(i: Inputs) -> DataFrame:
+    """Stored lines whose columns came in the wrong types, with values that cannot be read."""
+
+    def text(column: str, bad: Column, instead: str) -> Column:
+        return F.when(bad, instead).otherwise(F.col(column).cast("string"))
+
+    lines = i.stored.withColumns(
+        {
+            "quantity": text("quantity", F.col("quantity") % 13 == 0, "n/a"),
+            "unit_price": text("unit_price", F.col("product_id").endswith("7"), "12,50"),
+            "total_price": F.col("total_price").cast("string"),
+            "hour": text("hour", F.col("hour") == 13, "n/a"),
+            "invoice_date": text("invoice_date", F.col("day") == 31, "soon"),
+            "country": F.array("country"),
+            "customer_id": F.struct(F.col("customer_id").alias("id")),
+        }
+    )
+    return staged(lines, "spoiled")
+
+
 def _check_rows(i: Inputs) -> DataFrame:
     return quality.run_all_checks(i.stored, i.cfg).select("group", "check", "status", "severity")
 
@@ -339,6 +359,10 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_distribution": lambda i: quality.country_counts(i.enriched),
     "dq_concentration": lambda i: quality.concentration_stats(i.enriched),
     "dq_checks": _check_rows,
+    "dq_bad_types": lambda i: quality.run_all_checks(_spoiled(i), i.cfg).select(
+        "group", "check", "status", "severity"
+    ),
+    "dq_unreadable": lambda i: quality.unreadable_stats(_spoiled(i)),
     "dq_summary": _dq_summary,
     # reports and gates
     "enriched_table": _enriched_table,

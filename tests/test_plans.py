@@ -33,7 +33,7 @@ def builders(lines):
         "hourly": hourly.hourly_patterns(lines, CFG),
         "sequence": with_customer_sequence(lines),
         "popularity": products.with_product_popularity(lines),
-        "checks": q.run_all_checks(lines, CFG),
+        **{f"checks {part.checks[-1]}": part.build() for part in q.check_parts(lines, CFG)},
     }
 
 
