@@ -14,8 +14,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
+from salespect.functions.joins import join_spread
 from salespect.functions.staging import staged
 
+# Rank error of the sketch that brackets a quantile, as a share of the rows.
+SKETCH_ACCURACY = 100_000
+
 
 def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct non-null values of numeric columns, each column in descending order.
@@ -23,7 +27,8 @@ def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Gives column_name, value, n (rows with the value), dense_rank, rows_before
     (rows with a greater value) and total_rows. The counted values are written
     together with the number of their range, which fixes the ranges for all
-    later reads and retries; calling this runs that job.
+    later reads and retries, and so are their ranks, which quantiles and rank
+    joins read; calling this runs those two jobs.
     """
     counts = (
         df.select(*[F.col(c).cast("double").alias(c) for c in columns])
@@ -54,7 +59,7 @@ def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     within = Window.partitionBy(*key).orderBy(F.desc("value"))
     before = within.rowsBetween(Window.unboundedPreceding, -1)
     # One offset row per shuffle partition and column: safe to broadcast at any data size.
-    return ranged.join(F.broadcast(offsets), key).select(
+    ranked = ranged.join(F.broadcast(offsets), key).select(
         "column_name",
         "value",
         "n",
@@ -62,6 +67,7 @@ def ranked_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         (F.col("rows_above") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("rows_before"),
         "total_rows",
     )
+    return staged(ranked, "ranked_values")
 
 
 def with_global_rank(
@@ -74,18 +80,18 @@ def with_global_rank(
     """Add the dense rank by the column, highest first, and optionally the percent rank * 100.
 
     `ranked` comes from ranked_values on the same frame. Rows without a value
-    get no rank.
+    get no rank, and a value that very many rows share is joined in pieces.
     """
     below = F.greatest(F.col("total_rows") - 1, F.lit(1))
     added = [F.col("dense_rank").alias(rank)]
     if percentile:
         added.append((F.col("rows_before") / below * 100).alias(percentile))
     ranks = ranked.filter(F.col("column_name") == column).select(
-        F.col("value").alias(column), *added
+        F.col("value").alias(column), F.col("n").alias("_rows"), *added
     )
     if dict(df.dtypes)[column] != "double":
         ranks = ranks.withColumn(column, F.col(column).cast(df.schema[column].dataType))
-    return df.join(ranks, column, "left")
+    return join_spread(df, ranks, column, "_rows").drop("_rows")
 
 
 def quantile_frame(ranked: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
@@ -116,24 +122,79 @@ def approximate_quantile_frame(
     )
 
 
+def selected_quantile_frame(df: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
+    """The exact quantiles without ordering the values: a sketch brackets each, one pass counts and picks.
+
+    The sketch is off by at most one rank in SKETCH_ACCURACY, so two of them to
+    either side enclose the quantile. A second pass counts the rows below and
+    above the bracket and each value inside, combined before the one shuffle;
+    only the values inside, four in SKETCH_ACCURACY, are put in order.
+    """
+    slots = [(column, share) for column, shares in wanted.items() for share in shares]
+    margin = 2 / SKETCH_ACCURACY
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in wanted])
+    ends = {
+        column: [min(max(share + side, 0.0), 1.0) for share in shares for side in (-margin, margin)]
+        for column, shares in wanted.items()
+    }
+    sketch = numbers.agg(*[F.percentile_approx(c, e, SKETCH_ACCURACY).alias(c) for c, e in ends.items()])
+    bracketed = numbers.withColumn("_ends", sketch.select(F.struct(*sketch.columns)).scalar())
+    cells = []
+    for slot, (column, share) in enumerate(slots):
+        value, at = F.col(column), [s for c, s in slots[:slot] if c == column]
+        low, high = (F.col("_ends")[column][2 * len(at) + side] for side in (0, 1))
+        below = F.lit(False) if share <= margin else value < low
+        above = F.lit(False) if share >= 1 - margin else value > high
+        side = F.when(below, -1).when(above, 1).otherwise(0)
+        cells.append(
+            F.struct(
+                F.lit(slot).alias("slot"),
+                F.when(value.isNotNull(), side).alias("side"),
+                F.when(side == 0, value).alias("value"),
+            )
+        )
+    counts = (
+        bracketed.select(F.inline(F.array(*cells)))
+        .filter(F.col("side").isNotNull())
+        .groupBy("slot", "side", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    whole = Window.partitionBy("slot")
+    upward = whole.orderBy("side", "value").rowsBetween(Window.unboundedPreceding, 0)
+    shares = F.element_at(F.array(*[F.lit(float(share)) for _, share in slots]), F.col("slot") + 1)
+    reached = counts.select(
+        "slot",
+        "value",
+        (F.sum("n").over(upward) >= F.ceil(F.sum("n").over(whole) * shares)).alias("reached"),
+    ).filter("reached AND value IS NOT NULL")
+    picked = reached.groupBy().agg(
+        *[F.min(F.when(F.col("slot") == slot, F.col("value"))).alias(f"_{slot}") for slot in range(len(slots))]
+    )
+    numbered = list(enumerate(slots))
+    return picked.select(
+        *[F.array(*[F.col(f"_{slot}") for slot, (c, _) in numbered if c == column]).alias(column) for column in wanted]
+    )
+
+
 def quantiles(
     df: DataFrame,
     wanted: dict[str, Sequence[float]],
     cfg: Settings = Settings(),
     ranked: DataFrame | None = None,
 ) -> dict[str, list[Column]]:
-    """Quantiles as literal columns, usable in any expression.
+    """Quantiles as columns, usable in any expression: parts of one scalar subquery of the plan.
 
-    Exact unless the settings name an accuracy. This runs the job that finds
-    them: the few numbers asked for are all that reaches the driver, and plans
-    that use them stay small. Without rows they are NULL.
+    Exact unless the settings name an accuracy. `ranked`, from ranked_values on
+    the same frame, saves a pass over it. Nothing runs here. Without rows they
+    are NULL.
     """
     if cfg.quantile_accuracy is not None:
         row = approximate_quantile_frame(df, wanted, cfg.quantile_accuracy)
+    elif ranked is not None:
+        row = quantile_frame(ranked, wanted)
     else:
-        row = quantile_frame(ranked if ranked is not None else ranked_values(df, list(wanted)), wanted)
-    found = row.first().asDict()
+        row = selected_quantile_frame(df, wanted)
+    found = row.select(F.struct(*row.columns)).scalar()
     return {
-        column: [F.lit(value).cast("double") for value in found[column] or [None] * len(shares)]
-        for column, shares in wanted.items()
+        column: [found[column][n] for n in range(len(shares))] for column, shares in wanted.items()
     }

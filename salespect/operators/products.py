@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salespect.config import Settings
 from salespect.functions.columns import distinct_count, money_sum, rate
+from salespect.functions.joins import join_spread
 from salespect.functions.order_stats import quantiles, ranked_values, with_global_rank
 from salespect.functions.staging import staged
 
@@ -78,11 +79,6 @@ def product_metrics(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
 
 
 def with_product_popularity(df: DataFrame) -> DataFrame:
-    """Add how many lines each line's product has.
-
-    No broadcast is forced: the product side is broadcast only where Spark
-    measures it as small, otherwise the join shuffles and skewed products are
-    split at run time.
-    """
+    """Add how many lines each line's product has; a product of very many lines is joined in pieces."""
     lines = df.groupBy("product_id").agg(F.count(F.lit(1)).alias("product_popularity"))
-    return df.join(lines, "product_id", "left")
+    return join_spread(df, lines, "product_id", "product_popularity")

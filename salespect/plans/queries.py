@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salespect.functions.classify import register_sql_functions
-from salespect.functions.order_stats import quantile_frame, ranked_values
+from salespect.functions.order_stats import selected_quantile_frame
 from salespect.functions.staging import staged, staging_path
 from salespect.operators import (
     clean,
@@ -239,7 +239,7 @@ def _business_rules(i: Inputs) -> DataFrame:
 
 def _quantiles(i: Inputs) -> DataFrame:
     shares = {"total_price": (0.25, 0.5, 0.75)}
-    row = quantile_frame(ranked_values(i.enriched, list(shares)), shares)
+    row = selected_quantile_frame(i.stored, shares)
     return row.select(*[F.col("total_price")[n].alias(f"p{p}") for n, p in enumerate((25, 50, 75))])
 
 

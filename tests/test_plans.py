@@ -5,7 +5,7 @@ import re
 import pytest
 
 from salespect.config import Settings
-from salespect.functions.order_stats import ranked_values
+from salespect.functions import order_stats
 from salespect.functions.staging import staged
 from salespect.operators import clean, countries, customers, daily, enrich, hourly, products
 from salespect.operators import quality as q
@@ -74,9 +74,12 @@ def test_top_products_trim_before_the_ranking_shuffle(lines):
     assert "Partial" in plan(countries.top_products_by_country(lines)).split("WindowGroupLimit", 1)[1]
 
 
-def test_global_ranks_never_order_everything_in_one_task(lines):
+def test_global_ranks_never_order_everything_in_one_task(lines, monkeypatch):
     """Single-partition steps may only see one row per range, never the values."""
-    ranked = ranked_values(lines, ["total_price"])
+    frames = []
+    monkeypatch.setattr(order_stats, "staged", lambda frame, label: frames.append(frame) or staged(frame, label))
+    order_stats.ranked_values(lines, ["total_price"])
+    ranked = frames[-1]
     assert "SinglePartition" not in plan(ranked)
     partitioned = re.findall(r"windowspecdefinition\((column_name#\d+, range#\d+)", plan(ranked))
     assert partitioned
