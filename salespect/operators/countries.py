@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salespect.config import Settings
 from salespect.functions.columns import cents, distinct_count, ladder
+from salespect.functions.staging import staged
 
 
 def grand_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
@@ -34,9 +35,9 @@ def top_products_by_country(df: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def top_products_array(df: DataFrame, k: int = 3) -> DataFrame:
-    """The same as one array of (product_id, revenue) per country, best first."""
-    ranked = top_products_by_country(df, k).groupBy("country").agg(
+def _as_array(best: DataFrame, k: int) -> DataFrame:
+    """Ranked products as one array of (product_id, revenue) per country, best first."""
+    ranked = best.groupBy("country").agg(
         F.sort_array(F.collect_list(F.struct("product_rank", "product_id", "revenue"))).alias("_top")
     )
     return ranked.select(
@@ -47,47 +48,121 @@ def top_products_array(df: DataFrame, k: int = 3) -> DataFrame:
     )
 
 
-def country_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """Aggregates and rates per country.
+def top_products_array(df: DataFrame, k: int = 3) -> DataFrame:
+    return _as_array(top_products_by_country(df, k), k)
+
+
+# What the levels of country_levels are keyed by, besides the country.
+LEVELS = ("product_id", "customer_id", "invoice_no")
+
+
+def country_levels(df: DataFrame) -> DataFrame:
+    """Sums per (country, product), (country, customer) and (country, invoice), from one pass over the lines.
 
-    The shares need grand totals, which one scalar subquery over the lines gives:
-    distinct customers do not add up over countries.
+    `level` is the column that a row is keyed by, `key` its value. Every country
+    metric follows from these rows: sums from any one level, distinct counts
+    from the number of rows of a level, the best products from the first.
+    Squares are summed in whole cents too, so deviations do not depend on order.
     """
-    exact = cfg.exact_distinct
-    amount = F.col("total_price")
-    per_country = df.groupBy("country").agg(
-        distinct_count("invoice_no", exact).alias("total_orders"),
-        distinct_count("customer_id", exact).alias("unique_customers"),
-        distinct_count("product_id", exact).alias("unique_products"),
-        F.sum(cents(amount)).alias("_cents"),
-        F.count(amount).alias("_lines"),
-        F.sum("quantity").alias("total_items"),
-        F.min("invoice_date").alias("first_order_date"),
-        F.max("invoice_date").alias("last_order_date"),
-        F.count_if(F.col("is_high_value") == 1).alias("high_value_orders"),
-        F.count_if(F.col("order_size") == "Bulk").alias("bulk_orders"),
-        F.stddev_samp(amount).alias("revenue_volatility"),
+    line = cents(F.col("total_price"))
+    base = df.select(
+        "country",
+        *LEVELS,
+        line.alias("_cents"),
+        "quantity",
+        "invoice_date",
+        (F.col("is_high_value") == 1).alias("_high"),
+        (F.col("order_size") == "Bulk").alias("_bulk"),
     )
-    totals = grand_totals(df, cfg)
+    # Sums are needed once: on the lines of the product level.
+    def first(value):
+        return F.when(F.col("level") == 0, value)
+
+    keys = F.posexplode(F.array(*[F.col(c).cast("string") for c in LEVELS])).alias("level", "key")
+    square = F.col("_cents").cast("decimal(19,0)") * F.col("_cents").cast("decimal(19,0)")
     return (
-        per_country.withColumn("_all", totals.select(F.struct(*totals.columns)).scalar())
-        .withColumn("total_revenue", F.col("_cents") / 100)
+        base.select("*", keys)
+        .groupBy("country", "level", "key")
+        .agg(
+            F.sum(first(F.col("_cents"))).alias("_cents"),
+            F.sum(first(square)).alias("_squares"),
+            F.count(first(F.col("_cents"))).alias("_lines"),
+            F.sum(first(F.col("quantity"))).alias("total_items"),
+            F.min(first(F.col("invoice_date"))).alias("first_order_date"),
+            F.max(first(F.col("invoice_date"))).alias("last_order_date"),
+            F.count_if(first(F.col("_high"))).alias("high_value_orders"),
+            F.count_if(first(F.col("_bulk"))).alias("bulk_orders"),
+        )
+    )
+
+
+def _level(column: str):
+    return F.col("level") == LEVELS.index(column)
+
+
+def _best_products(levels: DataFrame, k: int) -> DataFrame:
+    """The k best-selling products of each country; each task trims its share before the final ranking."""
+    best_first = Window.partitionBy("country").orderBy(F.desc("_cents"), F.asc("key"))
+    return (
+        levels.filter(_level("product_id"))
+        .select("country", "key", "_cents")
+        .withColumn("product_rank", F.row_number().over(best_first))
+        .filter(F.col("product_rank") <= k)
+        .select("country", "product_rank", F.col("key").alias("product_id"), (F.col("_cents") / 100).alias("revenue"))
+    )
+
+
+def _totals(levels: DataFrame, cfg: Settings) -> DataFrame:
+    """Aggregates and rates per country, rolled up from the levels."""
+
+    def distinct(column: str):
+        return F.count_if(_level(column) & F.col("key").isNotNull())
+
+    per_country = levels.groupBy("country").agg(
+        distinct("invoice_no").alias("total_orders"),
+        distinct("customer_id").alias("unique_customers"),
+        distinct("product_id").alias("unique_products"),
+        F.sum("_cents").alias("_cents"),
+        F.sum("_squares").alias("_squares"),
+        F.sum("_lines").alias("_lines"),
+        F.sum("total_items").alias("total_items"),
+        F.min("first_order_date").alias("first_order_date"),
+        F.max("last_order_date").alias("last_order_date"),
+        F.sum("high_value_orders").alias("high_value_orders"),
+        F.sum("bulk_orders").alias("bulk_orders"),
+    )
+    # Distinct customers do not add up over countries; their rows are few beside the lines.
+    customers = levels.filter(_level("customer_id")).agg(distinct_count("key", cfg.exact_distinct)).scalar()
+    revenue = levels.agg(F.sum("_cents") / 100).scalar()
+    # Squares about a whole number next to the mean, in whole numbers: nothing cancels out.
+    middle, lines = F.expr("_cents div _lines").cast("decimal(19,0)"), F.col("_lines").cast("decimal(19,0)")
+    about = F.col("_squares") - middle * F.col("_cents") * 2 + middle * middle * lines
+    rest = (F.col("_cents") - middle * lines).cast("double")
+    spread = F.greatest(about.cast("double") - rest * rest / F.col("_lines"), F.lit(0.0))
+    return (
+        per_country.withColumn("total_revenue", F.col("_cents") / 100)
         .withColumns(
             {
+                "revenue_volatility": F.when(F.col("_lines") > 1, F.sqrt(spread / (F.col("_lines") - 1)) / 100),
                 "avg_order_value": F.col("total_revenue") / F.col("_lines"),
                 "avg_customer_value": F.col("total_revenue") / F.col("unique_customers"),
                 "market_days": F.datediff("last_order_date", "first_order_date") + 1,
-                "revenue_share": F.col("total_revenue") / F.col("_all.total_revenue") * 100,
-                "customer_share": F.col("unique_customers") / F.col("_all.total_customers") * 100,
+                "revenue_share": F.col("total_revenue") / revenue * 100,
+                "customer_share": F.col("unique_customers") / customers * 100,
                 "high_value_rate": F.col("high_value_orders") / F.col("total_orders"),
                 "bulk_order_rate": F.col("bulk_orders") / F.col("total_orders"),
             }
         )
         .withColumn("daily_revenue_avg", F.col("total_revenue") / F.col("market_days"))
-        .drop("_cents", "_lines", "_all")
+        .drop("_cents", "_squares", "_lines")
     )
 
 
+def country_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """Aggregates and rates per country. Calling this writes the levels they are rolled up from."""
+    return _totals(staged(country_levels(df), "countries"), cfg)
+
+
 def rank_countries(totals: DataFrame) -> DataFrame:
     """Ranks and market tier. One row per country, so a single sort is enough."""
     # Tiers by revenue share in percent.
@@ -102,5 +177,10 @@ def rank_countries(totals: DataFrame) -> DataFrame:
 
 
 def country_metrics(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    ranked = country_totals(df, cfg).transform(rank_countries)
-    return ranked.join(top_products_array(df), "country", "left")
+    """Totals, shares, ranks and the top three products of each country, from one pass over the lines.
+
+    Calling this writes the levels that all of them are rolled up from.
+    """
+    levels = staged(country_levels(df), "countries")
+    ranked = _totals(levels, cfg).transform(rank_countries)
+    return ranked.join(_as_array(_best_products(levels, 3), 3), "country", "left")

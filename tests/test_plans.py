@@ -105,3 +105,14 @@ def test_duplicate_check_shuffles_keys_only(lines):
         "product_id",
     ]
 
+
+
+def test_countries_clean_the_lines_once(raw, monkeypatch):
+    """Totals, shares and best products read the staged levels; only those see the deduplication."""
+    frames = []
+    monkeypatch.setattr(countries, "staged", lambda frame, label: frames.append(frame) or staged(frame, label))
+    table = countries.country_metrics(enrich.enrich(raw({}, {"InvoiceNo": "2"})))
+    copies = r"Window \[row_number\(\) windowspecdefinition\(invoice_no"
+    assert [len(re.findall(copies, plan(frame))) for frame in frames] == [1]
+    assert not re.search(copies, plan(table)) and "Expand" not in plan(frames[0])
+    assert table.first().total_orders == 2
