@@ -1,15 +1,20 @@
 """Token ids of whole texts by a tokenizer file, with texts cut where the tokenizer cuts anyway.
 
-No token reaches over a boundary where white space follows a character that is
-none: byte-level BPE splits there before it merges. Texts are cut at those
-places into pieces of leading white space and one run of other characters;
-each distinct piece is encoded once by the library and kept in a cache of
-bounded size. Texts with white space other than blank and line feed are left
-whole, so the boundary never depends on what counts as white space.
+A byte-level tokenizer without normalizer first cuts a text into words, numbers,
+signs and white space, and merges only within those. Texts of well-known
+characters are cut in the same way here, and each distinct piece is merged once
+by the library's model and kept. Other texts are cut only before a blank or
+line feed that follows a character which is no white space in any view, into
+stretches of some kilobytes that are encoded and not kept. A tokenizer that cuts
+otherwise gets whole texts.
+
+What is kept is bounded by bytes and ages in two generations: when the young
+one is full it becomes the old one, whose pieces return as they are met.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -17,10 +22,25 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CACHE_ENTRIES = 300_000
+GENERATION_BYTES = 64 << 20
+ENTRY_BYTES = 220  # of a kept piece besides its characters and ids
+LONGEST_KEPT = 128
 BATCH_BYTES = 4 << 20
-_PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+STRETCH = 16 << 10
+
+# Characters whose class (letter, number, space, sign) is the same in all versions of Unicode.
+_KNOWN = re.compile("[\t\n\r -~\u00a0-\u024f\u2010-\u2027\u20ac]*")
+_LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_NUMBER = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+# Fixed value: the cuts of byte-level tokenizers, with their classes spelled out.
+_PIECE = re.compile(
+    rf" ?[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
+)
+# Byte-level vocabularies write a byte that is no visible character as the next one from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SURE = "[!-~\u00a1-\u024f]"  # no white space, whoever asks
+_BOUNDARY = re.compile(f"(?<={_SURE})(?=[ \n])")
 
 
 class Encoder:
@@ -33,22 +53,59 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.cache: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        cuts = said.get("pre_tokenizer") or {}
+        self.cuts = cuts.get("type") == "ByteLevel" and cuts.get("use_regex") and not cuts.get("add_prefix_space") and not said.get("normalizer") and not said.get("post_processor")
+        self.model = self.tokenizer.model
+        special = [re.escape(t["content"]) for t in said.get("added_tokens", ())]
+        self.special = re.compile("|".join(special)) if special else None
+        self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _stretches(self, text: str) -> bytes:
+        """A text that is not cut into pieces, encoded in stretches that end at safe boundaries."""
+        out, start = [], 0
+        while len(text) - start > 2 * STRETCH and (cut := _BOUNDARY.search(text, start + STRETCH)):
+            out.append(self._plain(text[start : cut.start()]))
+            start = cut.start()
+        return b"".join((*out, self._plain(text[start:])))
+
+    def _keep(self, piece: str, ids: bytes) -> None:
+        self.kept[piece] = ids
+        self.held += len(piece) + len(ids) + ENTRY_BYTES
 
     def _learn(self, pieces: Iterable[str]) -> None:
-        new = list(pieces)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.cache[piece] = np.array(found.ids, "<u4").tobytes()
+        """A piece is merged by the library's model, without cutting it again."""
+        for piece in pieces:
+            if (ids := self.old.get(piece)) is None:
+                shown = piece.encode().decode("latin-1").translate(_SHOWN)
+                ids = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(shown)])
+            self._keep(piece, ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        cut = [[text] if _OTHER_SPACE.search(text) else _PIECE.findall(text) for text in texts]
-        self._learn({piece for pieces in cut for piece in pieces} - self.cache.keys())
-        of = self.cache.__getitem__
-        return [b"".join(map(of, pieces)) for pieces in cut]
+        cut: list[list[str] | None] = []
+        for text in texts:
+            whole = not self.cuts or (self.special and self.special.search(text)) or not _KNOWN.fullmatch(text)
+            cut.append(None if whole else _PIECE.findall(text))
+        used = set().union(*(pieces for pieces in cut if pieces is not None))
+        self._learn(used - self.kept.keys())
+        of = self.kept.__getitem__
+        out = []
+        for text, pieces in zip(texts, cut, strict=True):
+            if pieces is not None:
+                out.append(b"".join(map(of, pieces)))
+            else:
+                out.append(self._stretches(text) if self.cuts else self._plain(text))
+        for piece in [piece for piece in used if len(piece) > LONGEST_KEPT]:
+            self.held -= len(piece) + len(self.kept.pop(piece)) + ENTRY_BYTES
+        if self.held > GENERATION_BYTES:
+            self.old, self.kept, self.held = self.kept, {}, 0
+        return out
 
 
 def balanced(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:

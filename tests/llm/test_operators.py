@@ -284,3 +284,32 @@ def test_pipeline_keeps_clean_documents_only(spark, tmp_path):
     spark.createDataFrame([(1, bench)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert kept == set(range(120))
+
+
+def test_encoder_equals_the_library(monkeypatch):
+    """Whole texts of every kind, and a store of pieces so small that it turns over all the time."""
+    from salespect.llm import tokens
+
+    rng = random.Random(5)
+    signs = [*"ab Z9 \n\t'sdmtlvre.,-<|>éß²½×’…€Ł中", "<|endoftext|>", "'s", "  ", "　", "\x1f", "\x85", "​", "­", " ", "'ll", "12", "\U0001f600"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["x" * 500 + " y", "日本 " * 30_000, " ".join(f"wörter{n}" for n in range(30_000)) + "　z", "tab\t" + prose(3, 20_000)]
+    for limit in (tokens.GENERATION_BYTES, 2000):
+        monkeypatch.setattr(tokens, "GENERATION_BYTES", limit)
+        encoder = tokens.Encoder(BPE)
+        for at in range(0, len(texts), 300):
+            for text, data in zip(texts[at : at + 300], encoder.encode(texts[at : at + 300]), strict=True):
+                assert np.frombuffer(data, "<u4").tolist() == ids_of_cached(encoder, text)
+        assert max(map(len, encoder.kept), default=0) <= tokens.LONGEST_KEPT and encoder.held < limit + (16 << 20)
+
+
+def ids_of_cached(encoder, text):
+    return encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_of_another_tokenizer_takes_whole_texts():
+    from salespect.llm.tokens import Encoder
+
+    encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Some  WORDS\tand 12 numbers", "", "<|endoftext|> x", prose(4, 5000)]
+    assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(texts)] == [ids_of_cached(encoder, t) for t in texts]
