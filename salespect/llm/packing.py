@@ -27,6 +27,7 @@ from salespect.llm.tokens import Encoder, balanced
 
 PARTNERS = 64  # the most frequent lengths tried as the middle one of three
 ROUNDS = 300
+BLOCK = 512  # pieces of one length and part that meet in a task
 
 
 class Plan(NamedTuple):
@@ -167,12 +168,13 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_co
     schema = "id long, start long, length int, doc_tokens long, part int, rank long, ids array<int>"
     pieces = staged(rows.mapInArrow(partial(_pieces, path=tokenizer, end_id=end_id, window=window), schema), "pieces")
     per_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
-    bases = per_part.selectExpr("length", "part", "sum(n) over (partition by length order by part) - n as base")
+    bases = per_part.selectExpr("length", "part", "n", "sum(n) over (partition by length order by part) - n as base")
+    bases = bases.selectExpr("length", "part", "base", f"explode(sequence(0L, (n - 1) div {BLOCK})) as block")
     histogram = np.zeros(window + 1, np.int64)
     for row in pieces.groupBy("length").agg(F.count("*").alias("n")).collect():  # at most `window` rows
         histogram[row["length"]] = row["n"]
     plan = spark.sparkContext.broadcast(pack_histogram(histogram)[0])
-    ranked = pieces.join(bases, ["length", "part"])
+    ranked = pieces.withColumn("block", F.expr(f"rank div {BLOCK}")).join(bases, ["length", "part", "block"])
     out = "id long, start long, length int, doc_tokens long, ids array<int>, sequence_id long, offset long"
     return ranked.mapInArrow(partial(_placed, plan=plan), out).withColumnRenamed("id", id_col)
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from functools import partial
 from typing import NamedTuple
 
@@ -26,6 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salespect.functions.staging import staged
+
 TOXIC_WORDS = 500
 ORDINARY_WORDS = 1000
 LEAST_ODDS = 4.0
@@ -34,6 +37,7 @@ LEAST_SHARE = 0.005
 THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6)
 MOST_HITS = 4
 COVERED = 22  # bytes of a window that one match covers: more than that match, less than it and a letter
+TRAINING_ROWS = 500_000  # most labelled rows a model is fitted on, taken by a hash of their ids
 CACHE_ENTRIES = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -79,14 +83,26 @@ class Windows:
         return [a for a in map(self.advantage, _WORD.findall((text or "").lower())) if a > 0]
 
 
+def _words(batches):
+    """Each labelled text as its different words and how often each is in it."""
+    for batch in batches:
+        words, times = [], []
+        for text in batch.column(1).to_pylist():
+            counts = Counter(_WORD.findall(text.lower()))
+            words.append(list(counts))
+            times.append(list(counts.values()))
+        columns = [batch.column(0), batch.column(2), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, ["digest", "label", "words", "times"])
+
+
 def _hits(frames, toxic, ordinary):
     windows = Windows(toxic, ordinary)
     for frame in frames:
         counted = np.zeros((len(THRESHOLDS), MOST_HITS + 1, 2), np.int64)
-        for text, label in zip(frame["text"], frame["label"], strict=True):
-            found = np.array(windows.advantages(text))
+        for words, times, label, copies in zip(frame["words"], frame["times"], frame["label"], frame["copies"], strict=True):
+            found = np.array([windows.advantage(word) for word in words])
             for k, threshold in enumerate(THRESHOLDS):
-                counted[k, min(MOST_HITS, int((found >= threshold).sum())), label] += 1
+                counted[k, min(MOST_HITS, int(times[found >= threshold].sum())), label] += copies
         k, hits, label = np.nonzero(counted)
         yield pd.DataFrame({"k": k, "hits": hits, "label": label, "n": counted[k, hits, label]})
 
@@ -105,11 +121,16 @@ def _calibrated(counts: np.ndarray) -> tuple[float, tuple[float, ...]]:
     return chosen
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled texts outside the held-out third, as (text, label); rows without a label or with other labels are left out."""
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
+    """Labelled texts outside the held-out third, as (text, label); rows without a label or with other labels are left out.
+
+    At most `most` labels are used, so their ids and labels, 16 bytes each, can
+    be broadcast and no text is shuffled.
+    """
     label = labels.where("toxic in (0, 1)").select(F.col("doc_id").alias("__doc"), F.col("toxic").cast("int").alias("label"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(~held_out("doc_id") & F.col("text").isNotNull())
-    return rows.join(label, rows["doc_id"] == label["__doc"]).select("text", "label")
+    label = label.where(~held_out("__doc")).orderBy(F.xxhash64("__doc"), "__doc", "label").limit(most)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull())
+    return rows.join(F.broadcast(label), rows["doc_id"] == label["__doc"]).select("text", "label")
 
 
 def held_out(id_col: str):
@@ -118,10 +139,13 @@ def held_out(id_col: str):
 
 def train(rows: DataFrame) -> Model:
     """rows (text, label 0 or 1). With no toxic rows the model scores every text the same, low."""
-    rows = rows.select("text", "label")
-    once = rows.dropDuplicates(["text", "label"])  # copies of a text are one witness
-    word = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{M}]+"))).alias("word")
-    counts = once.select(word, "label").where("word <> ''").groupBy("word").agg(F.sum("label").alias("t"), F.sum(F.expr("1 - label")).alias("o"))
+    keyed = rows.select(F.unhex(F.md5("text")).alias("digest"), "text", "label")
+    worded = keyed.mapInArrow(_words, "digest binary, label int, words array<string>, times array<int>")
+    # Copies of a text are one witness. Words cross the shuffle once, texts never.
+    once = worded.groupBy("digest", "label").agg(F.first("words").alias("words"), F.first("times").alias("times"), F.count("*").alias("copies"))
+    once = staged(once.select("label", "words", "times", "copies"), "toxic-texts")
+    counts = once.select(F.explode("words").alias("word"), "label").groupBy("word").agg(F.sum("label").alias("t"), F.sum(F.expr("1 - label")).alias("o"))
+    counts = staged(counts, "toxic-words")
     total = once.agg(F.sum("label").alias("t"), F.sum(F.expr("1 - label")).alias("o")).first()
     toxic_texts, ordinary_texts = total["t"] or 0, total["o"] or 0
     odds = F.log((F.col("t") + 0.5) / (toxic_texts + 1)) - F.log((F.col("o") + 0.5) / (ordinary_texts + 1))
@@ -132,7 +156,7 @@ def train(rows: DataFrame) -> Model:
     kinds = told.selectExpr("word", "true as toxic").unionByName(plain.selectExpr("word", "false as toxic")).collect()
     toxic = tuple(sorted(r["word"] for r in kinds if r["toxic"]))
     ordinary = tuple(sorted(r["word"] for r in kinds if not r["toxic"]))
-    found = rows.mapInPandas(partial(_hits, toxic=toxic, ordinary=ordinary), "k int, hits int, label int, n long")
+    found = once.mapInPandas(partial(_hits, toxic=toxic, ordinary=ordinary), "k int, hits int, label int, n long")
     table = np.zeros((len(THRESHOLDS), MOST_HITS + 1, 2), np.int64)
     for r in found.groupBy("k", "hits", "label").agg(F.sum("n").alias("n")).collect():  # at most 60 rows
         table[r["k"], r["hits"], r["label"]] = r["n"]
