@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from statistics import median
 from typing import NamedTuple
 
 import numpy as np
@@ -26,13 +27,13 @@ from pyspark.sql import functions as F
 
 SMOOTHING = 1
 SHARE_OF_DEVIATION = 0.5
-LARGE_PART, LEAST_LARGE = 0.5, 400  # share of a page's text outside boilerplate elements, characters: parts by name that hold more are left to the ratios
 CONTENT_WEIGHT, CONTENT_LINK_WEIGHT = 12.0, 3.0  # inside an article or main element; the first keeps short items of its lists
 
 #: Elements of HTML by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea".split())
-FOREIGN = re.compile(r"/(?:svg|math)(?:[./]|\Z)")  # paths below which tags may close themselves
+FOREIGN = frozenset("svg math".split())  # below them tags may close themselves
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big button canvas cite code data del dfn em font i iframe ins kbd label mark math noscript object option q s samp select small span "
     "strike strong sub sup svg time tt u var".split()
@@ -51,96 +52,137 @@ PART_WORDS = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies disqus footer gdpr menu modal "
     "nav navbar navigation newsletter notice notices popup promo promoted related reply replies search share sharing sidebar social sponsor sponsored subscribe widget".split()
 )
+#: Words that turn a name of several words into one that says a part is absent or elsewhere.
+NEGATIONS = frozenset("no not non has have with without free hide hidden off disabled".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>|<[!?/][^>]*+>",
     re.DOTALL,
 )
 _NAMING = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_HEADING = re.compile(r"/h[1-6](?:[./]|\Z)")
+_NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE) for name in sorted(RAW)}
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 
 
 class Node(NamedTuple):
     text: str
-    path: str
+    path: int  # number of the root-to-leaf tag path
     block: int
     kind: str  # 'content', 'other' or 'plain'
     link: bool
-    part: int  # number of the outermost element around it that is a part by its name, or 0
+    part: int  # number of the innermost element around it that is a part by its name, or 0
+    heading: bool
 
 
 class _Open(NamedTuple):
     name: str
-    path: str
+    path: int
     kind: str
     link: bool
     part: int
+    heading: bool
+    foreign: bool
 
 
-def _named_part(attrs: str) -> tuple[str, bool]:
-    names = [(k.lower(), (a or b or c).lower()) for k, a, b, c in _NAMING.findall(attrs)] if attrs else []
-    shown = "".join(f".{v.split()[0]}" for k, v in names if k == "class" and v.split())
-    return shown, any(w in PART_WORDS for k, v in names for w in ([v.strip()] if k == "aria-label" else v.split()))
+class _Stack(list):
+    """Open elements, with the number of each name, so that a search for one that is not open ends at once."""
+
+    def __init__(self) -> None:
+        super().__init__([_Open("", 0, "plain", False, 0, False, False)])
+        self.open: Counter[str] = Counter()
+
+    def push(self, element: _Open) -> None:
+        self.append(element)
+        self.open[element.name] += 1
+
+    def close(self, names, stop) -> None:
+        """End the innermost element of the names, and all within it, unless one of stop comes first."""
+        if not any(self.open[name] for name in names):
+            return
+        for at in range(len(self) - 1, 0, -1):
+            if self[at].name in names:
+                self.open.subtract(element.name for element in self[at:])
+                del self[at:]
+                return
+            if self[at].name in stop:
+                return
+
+
+def _is_part(name: str) -> bool:
+    """Whether a class, id or role names a part, by itself or by one of its words ("site-footer", "relatedPosts")."""
+    if name.lower() in PART_WORDS:
+        return True
+    words = {w.lower() for w in _NAME_WORDS.findall(name)}
+    return bool(words & PART_WORDS) and not words & NEGATIONS
 
 
-def _close(stack: list[_Open], names, stop) -> bool:
-    for at in range(len(stack) - 1, 0, -1):
-        if stack[at].name in names:
-            del stack[at:]
-            return True
-        if stack[at].name in stop:
-            return False
-    return False
+def _named_part(attrs: str) -> tuple[str, bool]:
+    names = [(k.lower(), a or b or c) for k, a, b, c in _NAMING.findall(attrs)] if attrs else []
+    shown = "".join(f".{v.lower().split()[0]}" for k, v in names if k == "class" and v.split())
+    part = any(v.strip().lower() in PART_WORDS if k == "aria-label" else any(map(_is_part, v.split())) for k, v in names)
+    return shown, part
 
 
 def nodes(page: str) -> list[Node]:
-    """The text nodes of a page in order; nodes of one block have one number. Elements left open end with their parent."""
-    stack, out = [_Open("", "", "plain", False, 0)], []
-    block, parts, at, size = 0, 0, 0, len(page)
-    endless: set[str] = set()  # names of unseen elements that no end tag follows; their start tags say nothing
+    """The text nodes of a page in order; nodes of one block have one number. Elements left open end with their parent.
+
+    Time is in proportion to the page: paths are numbers, a search for an
+    element that is not open does not walk the open ones, and where no tag can
+    end any more the rest is text.
+    """
+    stack, out = _Stack(), []
+    paths: dict[tuple[int, str], int] = {}
+    outer = [0]  # of each part the next one around it
+    block, at, size, last = 0, 0, len(page), page.rfind(">") + 1
+    lower, ends = None, {}  # where the last end tag of an unseen element is
 
     def text(part: str) -> None:
         if part:
             top = stack[-1]
-            out.append(Node(html.unescape(part), top.path, block, top.kind, top.link, top.part))
+            out.append(Node(html.unescape(part), top.path, block, top.kind, top.link, top.part, top.heading))
 
     while at < size:
-        found = _TOKEN.search(page, at)
+        found = _TOKEN.search(page, at, last) if at < last else None
         if found is None:
-            text(page[at:])
+            text(page[at:].partition("<!--")[0])
             break
         text(page[at : found.start()])
         at = found.end()
+        if found.group().startswith("<!--") and not found.group().endswith("-->"):
+            break  # a comment that never ends
         name = (found["name"] or found["name2"] or "").lower()
         if not name:
             continue
-        foreign = FOREIGN.search(stack[-1].path) is not None and name not in CLOSES_P and name not in SCOPES
+        foreign = stack[-1].foreign and name not in CLOSES_P and name not in SCOPES
         inline = foreign or name in INLINE
         if found["end"] or found["end2"]:
             if not inline and name not in VOID:
                 block += 1
-            _close(stack, {name}, SCOPES - {name} if inline or name == "p" else ())
+            stack.close((name,), SCOPES - {name} if inline or name == "p" else ())
             continue
         attrs = found["attrs"] or found["attrs2"] or ""
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.IGNORECASE).search(page, at) if not attrs.endswith("/") else None
-            at = end.end() if end else at if attrs.endswith("/") else size
-            continue
-        if name in UNSEEN and name not in endless and not re.compile(f"</{name}", re.IGNORECASE).search(page, at):
-            endless.add(name)
-        if name in endless:
+            if not attrs.endswith("/"):
+                end = _RAW_END[name].search(page, at, last)
+                at = end.end() if end else size
             continue
+        if name in UNSEEN:
+            if name not in ends:
+                lower = lower or page.lower()
+                ends[name] = lower.rfind(f"</{name}")
+            if ends[name] < at:  # no end tag follows; the start tag says nothing
+                continue
         if name in VOID:
             if name == "hr":
                 block += 1
             continue
         if name in CLOSES_P:
-            if FOREIGN.search(stack[-1].path):
-                _close(stack, {"svg", "math"}, SCOPES)
-            _close(stack, {"p"}, SCOPES)
+            if stack[-1].foreign:
+                stack.close(FOREIGN, SCOPES)
+            stack.close(("p",), SCOPES)
         if name in SIBLINGS:
-            _close(stack, SIBLINGS[name], SCOPES - SIBLINGS[name])
+            stack.close(SIBLINGS[name], SCOPES - SIBLINGS[name])
         if not inline:
             block += 1
         if attrs.endswith("/") and inline:
@@ -152,20 +194,33 @@ def nodes(page: str) -> list[Node]:
             kind = "other"
         elif name in CONTENT and kind != "other":
             kind = "content"
-        if part and not inside and kind != "other" and name not in WHOLE:
-            inside = parts = parts + 1
-        stack.append(_Open(name, f"{parent.path}/{name}{shown}", kind, parent.link or name == "a", inside))
-    return _without_parts(out)
+        if part and kind != "other" and name not in WHOLE:
+            outer.append(inside)
+            inside = len(outer) - 1
+        path = paths.setdefault((parent.path, name + shown), len(paths) + 1)
+        stack.push(_Open(name, path, kind, parent.link or name == "a", inside, parent.heading or name in HEADINGS, parent.foreign or name in FOREIGN))
+    return _without_parts(out, outer)
+
 
+def _without_parts(found: list[Node], outer: list[int]) -> list[Node]:
+    """Parts by name become 'other', whatever their size, but for one that all content of the page is in.
 
-def _without_parts(found: list[Node]) -> list[Node]:
-    """Parts by name become 'other', but for those that hold most of the page's text."""
-    sizes: dict[int, int] = defaultdict(int)
+    Content is text in an article or main element, or with punctuation, that is
+    no link. Where nothing but parts holds content, all of them are left to the
+    ratios.
+    """
+    total, within = 0, [0] * len(outer)  # content in each part, with the parts in it
     for n in found:
-        if n.kind != "other":
-            sizes[n.part] += len(n.text.strip())
-    most = max(LEAST_LARGE, LARGE_PART * sum(sizes.values()))
-    return [n._replace(kind="other") if n.part and sizes[n.part] <= most else n for n in found]
+        if n.kind != "other" and not n.link and n.text.strip() and (n.kind == "content" or _PUNCTUATION.search(n.text)):
+            total += 1
+            within[n.part] += 1
+    for part in range(len(outer) - 1, 0, -1):  # a part comes after the one around it
+        within[outer[part]] += within[part] if outer[part] else 0
+    dropped = [False] * len(outer)
+    for part in range(1, len(outer)):
+        dropped[part] = dropped[outer[part]] or within[part] < total
+    left = [n._replace(kind="other") if n.part and dropped[n.part] else n for n in found]
+    return left if total == 0 or any(n.kind != "other" and not n.link and n.text.strip() for n in left) else found
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -174,7 +229,7 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(padded, np.full(width, 1 / width), "valid")
 
 
-def content_paths(found: list[Node]) -> set[str]:
+def content_paths(found: list[Node]) -> set[int]:
     """Paths whose fused ratio, weighted by kind, says content."""
     filled = [n for n in found if n.text.strip() and n.kind != "other"]
     if not filled:
@@ -189,10 +244,10 @@ def content_paths(found: list[Node]) -> set[str]:
     by_marks = _smooth(np.array([marks[n.path] / count[n.path] for n in filled]))
     fused = np.sqrt(by_length * (1 + by_marks))
     threshold = SHARE_OF_DEVIATION * fused.std()
-    sums: dict[str, list[float]] = defaultdict(list)
+    sums: dict[int, list[float]] = defaultdict(list)
     for n, value in zip(filled, fused, strict=True):
         sums[n.path].append(float(value) * (1.0 if n.kind != "content" else CONTENT_LINK_WEIGHT if n.link else CONTENT_WEIGHT))
-    return {path for path, values in sums.items() if np.median(values) >= threshold}
+    return {path for path, values in sums.items() if median(values) >= threshold}
 
 
 def main_text(page: str | None) -> str:
@@ -205,7 +260,7 @@ def main_text(page: str | None) -> str:
         balance[n.block] += len(n.text.strip()) * (1 if n.path in chosen else -1)
     follows = False
     for n in reversed(kept):
-        if not _HEADING.search(n.path):
+        if not n.heading:
             follows = balance[n.block] > 0 if n.text.strip() else follows
         elif follows and not n.link:
             chosen.add(n.path)

@@ -29,6 +29,7 @@ PRIOR_GOOD = 0.8
 CACHE_ENTRIES = 300_000
 HEURISTICS = ("symbols", "endings", "capitals", "repeats", "top_word", "length", "bars")
 _PLAIN_END = frozenset(".,;:?!'\")]}»”’…-")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _SHAPES = ((re.compile(r"[A-Z]+"), "A"), (re.compile(r"[^\W\d_A-Z]+"), "a"), (re.compile(r"\d+"), "0"), (re.compile(r"(.)\1+"), r"\1+"))
 
 
@@ -42,7 +43,7 @@ def votes(text: str | None) -> list[int]:
     words = (text or "").split()
     if not words:
         return [-1 if name == "length" else 0 for name in HEURISTICS]
-    letters = sum(map(str.isalpha, "".join(words))) if len(text) < 2000 else sum(len(x) for x in re.findall(r"[^\W\d_]+", text))
+    letters = sum(map(len, _LETTERS.findall(text)))
     size = sum(map(len, words))
     count = len(words)
     capitals = sum(1 for w in words if len(w) > 2 and w.isupper())

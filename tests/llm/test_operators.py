@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -313,3 +314,55 @@ def test_encoder_of_another_tokenizer_takes_whole_texts():
     encoder = Encoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = ["Some  WORDS\tand 12 numbers", "", "<|endoftext|> x", prose(4, 5000)]
     assert [np.frombuffer(d, "<u4").tolist() for d in encoder.encode(texts)] == [ids_of_cached(encoder, t) for t in texts]
+
+
+def test_quality_votes_do_not_depend_on_length():
+    for unit in ("½² Ⅷ word ", "plain words here, and more. ", "x1 22 ³ "):
+        short, long = (quality.votes(unit * n) for n in (1900 // len(unit), 2600 // len(unit)))
+        assert short[0] == long[0]
+
+
+ARTICLE = "<p>" + "This is the article text, with care. " * 9 + "</p>"
+READERS = "".join(f"<div><p>Reader {n} says this is nice, really. I agree with all of it.</p></div>" for n in range(20))
+
+
+@pytest.mark.parametrize("name", ["comments", "comments-area", "postComments", "cookie-banner", "site-footer", "related_posts", "x ad"])
+@pytest.mark.parametrize("page", ["<article>{0}</article>{1}", "<article>{0}{1}</article>", "<div>{0}</div>{1}", "<div class=widget>{0}{1}</div>"])
+def test_named_parts_go_however_long_they_are(name, page):
+    """Comments of three times the article's length, beside it and in it, and in a part around both."""
+    part = f'<div class="{name}">{READERS}</div>'
+    assert html_text.main_text(page.format(ARTICLE, part)) == html_text.main_text(ARTICLE) != ""
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "ad-free", "without_comments", "shareholders", "header-adapter"])
+def test_names_that_are_no_parts(name):
+    assert html_text.main_text(f'<body class="{name}"><div class="{name}">{ARTICLE}</div><p>Outside, too.</p></body>').startswith("This is")
+
+
+@pytest.mark.parametrize("page", ["<b>x" * 250_000, "<a " * 330_000, "<b>" * 150_000 + "</i>" * 150_000, "<template>" * 90_000 + "</template>", "</script " * 100_000, "<!--" * 250_000, "<p><b>x" * 100_000])
+def test_a_page_of_a_megabyte_of_open_tags(page):
+    begin = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begin < 10
+
+
+def test_pages_equal_a_walk_over_their_tree(spark):
+    """Pages written from a tree of blocks, whose article text is known by construction."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for number in range(60):
+        texts, html = [], ["<!doctype html><html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav>"]
+        html.append("<main><article>")
+        for _ in range(rng.randint(1, 8)):
+            words = [rng.choice(("river", "stone", "Äpfel", "late", "city")) for _ in range(rng.randint(8, 40))]
+            texts.append(" ".join(words) + ", and so on.")
+            html.append("<p>" + "  <em>".join(words[:2]) + "</em>\n" + " ".join(words[2:]) + ", and&nbsp;so on.</p>" if len(words) > 2 else f"<p>{texts[-1]}</p>")
+            if rng.random() < 0.4:
+                html.append(rng.choice(("<script>var a = '<p>no</p>';</script>", "<aside><p>Beside, it.</p></aside>", "<!-- <p>hidden.</p> -->", f'<div class="reader-comments">{READERS}</div>')))
+        html.append("</article></main><footer><p>Imprint, contact.</p></footer></body></html>")
+        rows.append((number, None, "".join(html), "x"))
+        want[number] = "\n\n".join(texts)
+    frame = spark.createDataFrame([*rows, rows[0], (None, None, None, None)], "page_id long, url string, html string, text string")
+    for r in html_text.extract_text(frame).collect():
+        assert r["text"] == want.get(r["page_id"], "") and r["n_chars"] == len(r["text"])
+    assert html_text.extract_text(frame.limit(0)).count() == 0
