@@ -628,6 +628,40 @@ ORACLE: dict[str, str] = {
         f"""SELECT * EXCLUDE (moment) REPLACE ({WHEN_BOTH}) FROM lines
           WHERE invoice_date > DATE '2000-06-30' - 365"""
     ),
+    "retention_table": _lines_as(
+        f"""SELECT * EXCLUDE (moment) REPLACE ({WHEN_BOTH}) FROM lines
+          WHERE invoice_date > DATE '2000-06-30' - 365"""
+    ),
+    "quarantine": _sql(
+        [RAW],
+        """SELECT field || ' is not a number' AS reason, field, count(*) AS line_count FROM (
+             SELECT CASE WHEN CAST(invoice_no AS BIGINT) % 89 = 0 THEN 'Quantity'
+                         WHEN CAST(invoice_no AS BIGINT) % 97 = 0 THEN 'UnitPrice' END AS field
+             FROM raw) WHERE field IS NOT NULL GROUP BY field""",
+    ),
+    "run_history": """
+        WITH runs AS (
+          SELECT o_orderkey AS k, o_orderdate, o_orderkey % 5 = 0 AS bad FROM orders
+          WHERE o_orderkey % 7 = 0
+            AND o_orderdate > CAST(DATE '2000-06-30' AS TIMESTAMP) - INTERVAL 400 DAY),
+        stages AS (
+          SELECT 'transformation' AS stage, sum(k % 60) AS n FROM runs
+          UNION ALL SELECT 'report', sum(k % 8) FROM runs),
+        failing AS (
+          SELECT CASE k % 2 WHEN 0 THEN 'transformation' ELSE 'report' END AS stage, count(*) AS n
+          FROM runs WHERE bad GROUP BY ALL)
+        SELECT count(*) AS total_runs, count(*) FILTER (NOT bad) AS successful_runs,
+          count(*) FILTER (bad) AS failed_runs,
+          coalesce(avg(k % 600) FILTER (NOT bad), 0) AS avg_duration,
+          coalesce(CAST(min(k % 600) FILTER (NOT bad) AS DOUBLE), 0) AS min_duration,
+          coalesce(CAST(max(k % 600) FILTER (NOT bad) AS DOUBLE), 0) AS max_duration,
+          CAST(coalesce(sum(k * 2), 0) AS BIGINT) AS rows_read,
+          CAST(coalesce(sum(k) FILTER (NOT bad), 0) AS BIGINT) AS rows_processed,
+          CAST(coalesce(sum(k % 11), 0) AS BIGINT) AS rows_quarantined,
+          strftime(max(o_orderdate), '%Y-%m-%d') AS last_execution_date,
+          (SELECT stage FROM stages ORDER BY n DESC, stage LIMIT 1) AS slowest_stage,
+          (SELECT stage FROM failing ORDER BY n DESC, stage LIMIT 1) AS failing_stage
+        FROM runs""",
     "customer_metrics": _sql(
         [*TO_LINES, CUSTOMERS, LEVELS],
         f"""SELECT * EXCLUDE (s25, s50, s75, f50, f75) REPLACE ({SPAN},

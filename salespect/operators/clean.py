@@ -142,8 +142,8 @@ def valid_lines(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     )
 
 
-def clean(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    """Standardised raw lines to clean lines.
+def clean_base(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """Standardised raw lines to clean lines without what derives from them: the date text goes, its time stays.
 
     Duplicates go before invalid rows do, so an invalid copy can displace a
     valid one. Conditions on the key columns alone (date, years, missing keys)
@@ -155,12 +155,27 @@ def clean(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
         .filter(in_invoice_years(cfg))
         .dropna(subset=["invoice_no", "product_id"])
     )
-    single = dedup(keyed).withColumn("invoice_date", F.to_date("invoice_datetime"))
     return (
-        single.transform(fill_nulls)
+        dedup(keyed)
+        .transform(fill_nulls)
         .transform(drop_critical_nulls)
         .transform(with_total_price)
         .transform(valid_lines, cfg)
-        .transform(with_calendar)
-        .transform(with_time_flags)
+        .drop("invoice_date", "total_price")
     )
+
+
+def with_derived(base: DataFrame) -> DataFrame:
+    """Clean base lines with date, total, calendar and flags; the date stands where its text stood."""
+    names = [c for c in base.columns if c != "invoice_datetime"]
+    at = names.index("quantity") + 1 if "quantity" in names else len(names)
+    dated = base.withColumn("invoice_date", F.to_date("invoice_datetime"))
+    ordered = dated.select(*names[:at], "invoice_date", *names[at:], "invoice_datetime")
+    return ordered.transform(with_total_price).transform(with_calendar).transform(with_time_flags)
+
+
+def clean(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """Standardised raw lines to clean lines."""
+    lines = clean_base(df, cfg).transform(with_derived)
+    first = [c for c in df.columns if c in lines.columns]
+    return lines.select(*first, *[c for c in lines.columns if c not in first])

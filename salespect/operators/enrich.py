@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salespect.config import Settings
 from salespect.functions.columns import flag, ladder
-from salespect.operators.clean import clean, standardize
+from salespect.operators.clean import clean, clean_base, standardize, with_derived
 from salespect.schema import UNKNOWN
 
 
@@ -63,6 +63,18 @@ def with_business_flags(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     )
 
 
+def enrich_by_month(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """The enriched table with its rows rebalanced by month, for a write in folders by year and month.
+
+    The exchange carries the base columns and one month number; the other
+    columns are derived behind it, by the tasks that write.
+    """
+    base = clean_base(standardize(raw), cfg)
+    moment = F.col("invoice_datetime")
+    shaped = base.withColumn("_month", F.year(moment) * 100 + F.month(moment)).hint("rebalance", "_month")
+    return shaped.drop("_month").transform(with_derived).transform(with_business_flags, cfg)
+
+
 def enrich(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Raw lines to the enriched transaction table all metrics read."""
     return standardize(raw).transform(clean, cfg).transform(with_business_flags, cfg)

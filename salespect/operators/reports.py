@@ -39,13 +39,15 @@ def top_products(products: DataFrame, k: int = 5) -> DataFrame:
 def retain_days(df: DataFrame, days: int, as_of: Column, date_column: str = "invoice_date") -> DataFrame:
     """Rows of the last `days` days.
 
-    By invoice date, on a table with a year column, the year that the first day
-    implies is a condition of its own, so folders by year are pruned.
+    By invoice date, on a table with year and month columns, the month that the
+    first day implies is a condition of its own, so folders by month are pruned.
     """
     first = F.date_sub(as_of, days)
     kept = df.filter(F.col(date_column) > first)
-    by_year = date_column == "invoice_date" and "year" in df.columns
-    return kept.filter(F.col("year") >= F.year(first)) if by_year else kept
+    if date_column != "invoice_date" or not {"year", "month"} <= set(df.columns):
+        return kept
+    year, month = F.col("year"), F.col("month")
+    return kept.filter((year > F.year(first)) | ((year == F.year(first)) & (month >= F.month(first))))
 
 
 def run_summary(

@@ -19,7 +19,7 @@ from salespect.functions.staging import drop_staged, staged
 from salespect.operators.countries import country_metrics
 from salespect.operators.customers import customer_base, finish_customers
 from salespect.operators.daily import daily_metrics
-from salespect.operators.enrich import enrich
+from salespect.operators.enrich import enrich_by_month
 from salespect.operators.hourly import hourly_patterns
 from salespect.operators.products import finish_products, product_base
 from salespect.operators.quality import run_all_checks, summarize_checks
@@ -34,7 +34,14 @@ from salespect.plans.sinks import (
     write_quality_report,
     write_table,
 )
-from salespect.sources.readers import CORRUPT, load_csv_folder, load_main_csv, split_corrupt
+from salespect.sources.readers import (
+    CORRUPT,
+    load_csv_folder,
+    load_main_csv,
+    quarantine_report,
+    split_corrupt,
+    with_reason,
+)
 
 
 class QualityError(RuntimeError):
@@ -131,10 +138,12 @@ def run_batch(
             path = f"{output}/enriched_data"
             if CORRUPT in raw.columns:
                 raw, malformed = split_corrupt(raw)
-                record["rows_quarantined"] = write_table(malformed, f"{output}/quarantine", cfg=cfg).rows
+                record["rows_quarantined"] = write_table(with_reason(malformed), f"{output}/quarantine", cfg=cfg).rows
+                report = quarantine_report(spark.read.parquet(f"{output}/quarantine"))
+                write_json(report, f"{output}/quarantine_report")
             counted = raw.observe(read, F.count(F.lit(1)).alias("rows"))
-            enriched = enrich(counted, cfg)
-            rows = write_table(enriched, path, partition_columns("enriched_data"), cfg).rows
+            enriched = enrich_by_month(counted, cfg)
+            rows = write_table(enriched, path, partition_columns("enriched_data"), cfg, rebalance=False).rows
             lines = read_table(spark, path, enriched)
         with stages.stage("quality_and_metrics"), ThreadPoolExecutor(1) as beside:
             checking = beside.submit(_check_quality, lines, output, cfg)
@@ -156,7 +165,12 @@ def run_batch(
             failed = failed.agg(F.collect_list(F.struct("check", "message"))).scalar()
             write_json(
                 summary.select(
-                    "*", failed.alias("failed_checks"), F.current_timestamp().alias("execution_time")
+                    "*",
+                    failed.alias("failed_checks"),
+                    F.current_timestamp().alias("execution_time"),
+                    F.current_date().alias("execution_date"),
+                    F.lit(time.monotonic() - begin).alias("pipeline_duration_seconds"),
+                    F.lit(record.get("rows_quarantined", 0)).cast("long").alias("rows_quarantined"),
                 ),
                 f"{output}/summary_report",
             )

@@ -26,15 +26,18 @@ from salespect.operators import (
     sequence,
 )
 from salespect.plans.batch import run_batch
+from salespect.plans.run_log import read_runs, run_history
 from salespect.plans.sinks import partition_columns, read_table, write_table
 from salespect.schema import RAW_SCHEMA
 from salespect.sources.readers import (
     CORRUPT,
+    quarantine_report,
     read_csv,
     read_json,
     read_parquet,
     split_corrupt,
     spread,
+    with_reason,
 )
 from salespect.sources.star import STAR_SETTINGS, raw_transactions
 
@@ -138,7 +141,9 @@ def _batch_report(i: Inputs) -> DataFrame:
     """The summary the full batch leaves on disk."""
     output = staging_path(i.spark, "batch")
     run_batch(i.raw, output, i.cfg)
-    return i.spark.read.json(f"{output}/summary_report").drop("execution_time", "failed_checks")
+    return i.spark.read.json(f"{output}/summary_report").drop(
+        *("execution_time", "execution_date", "pipeline_duration_seconds", "failed_checks"), "rows_quarantined"
+    )
 
 
 def _written(i: Inputs, label: str, **options: str) -> str:
@@ -166,8 +171,51 @@ def _scan_json(i: Inputs) -> DataFrame:
 def _enriched_table(i: Inputs) -> DataFrame:
     """The enriched table as written by month and read back."""
     path = staging_path(i.spark, "enriched_table")
-    write_table(i.enriched, path, partition_columns("enriched_data"), i.cfg)
-    return read_table(i.spark, path, i.enriched)
+    table = enrich.enrich_by_month(i.raw, i.cfg)
+    write_table(table, path, partition_columns("enriched_data"), i.cfg, rebalance=False)
+    return read_table(i.spark, path, table)
+
+
+def _retained_table(i: Inputs) -> DataFrame:
+    """The last days of the table in folders by month."""
+    return reports.retain_days(_enriched_table(i), 365, F.lit(i.cfg.as_of))
+
+
+def _quarantine(i: Inputs) -> DataFrame:
+    """Reasons of malformed lines, from CSV files in which some numbers are none."""
+    key = F.col("InvoiceNo").cast("long")
+    damaged = i.raw.withColumns(
+        {
+            "Quantity": F.when(key % 89 == 0, "many").otherwise(F.col("Quantity").cast("string")),
+            "UnitPrice": F.when(key % 97 == 0, "free").otherwise(F.col("UnitPrice").cast("string")),
+        }
+    )
+    path = staging_path(i.spark, "csv")
+    damaged.write.options(header="true", escape='"', emptyValue="").csv(path)
+    _, bad = split_corrupt(read_csv(i.spark, path))
+    return quarantine_report(with_reason(bad))
+
+
+def _run_history(i: Inputs) -> DataFrame:
+    """History over a log of runs, one per order of a customer group, written and read as a log."""
+    orders = i.spark.read.parquet(f"{i.sf_dir}/orders.parquet")
+    key = F.col("o_orderkey")
+    failed = key % 5 == 0
+    runs = orders.filter(key % 7 == 0).select(
+        F.col("o_orderdate").cast("timestamp").alias("run_time"),
+        F.col("o_orderdate").cast("date").alias("execution_date"),
+        F.when(failed, "failed").otherwise("completed").alias("status"),
+        (key % 600).cast("double").alias("total_duration_seconds"),
+        F.when(~failed, key).alias("rows_processed"),
+        (key * 2).alias("rows_read"),
+        (key % 11).alias("rows_quarantined"),
+        F.create_map(F.lit("transformation"), (key % 60).cast("double"), F.lit("report"), (key % 8).cast("double")).alias("stage_seconds"),
+        F.when(failed, F.element_at(F.array(F.lit("transformation"), F.lit("report")), (key % 2 + 1).cast("int"))).alias("failed_stage"),
+    )
+    path = staging_path(i.spark, "runs")
+    runs.write.json(path)
+    as_of = F.lit(i.cfg.as_of).cast("timestamp")
+    return run_history(read_runs(i.spark, path), 400, as_of)
 
 
 def _volume_gate(i: Inputs) -> DataFrame:
@@ -274,6 +322,9 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "enriched": lambda i: i.enriched,
     "customer_sequence": lambda i: sequence.with_customer_sequence(i.stored),
     "product_popularity": lambda i: products.with_product_popularity(i.stored),
+    "retention_table": _retained_table,
+    "quarantine": _quarantine,
+    "run_history": _run_history,
     "retention": lambda i: reports.retain_days(i.enriched, 365, F.lit(i.cfg.as_of)),
     # customers
     "customer_metrics": lambda i: customers.customer_metrics(i.enriched, i.cfg),

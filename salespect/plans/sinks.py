@@ -39,15 +39,17 @@ def write_table(
     path: str,
     partition_by: Sequence[str] = (),
     cfg: Settings = Settings(),
+    rebalance: bool = True,
 ) -> Written:
     """Overwrite a Parquet table in one pass, counting its rows on the way.
 
     Rows are rebalanced rather than repartitioned: each folder gets few files,
     yet a folder that holds much of the data is split over many tasks, and small
     tables end up in few files. File sizes follow from bytes, by the advisory
-    partition size of adaptive execution.
+    partition size of adaptive execution. A frame that comes rebalanced is
+    written as it is.
     """
-    shaped = df.hint("rebalance", *partition_by)
+    shaped = df.hint("rebalance", *partition_by) if rebalance else df
     seen = Observation()
     (
         shaped.observe(seen, F.count(F.lit(1)).alias("rows"))

@@ -54,6 +54,38 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~bad).drop(CORRUPT), parsed.filter(bad)
 
 
+def with_reason(malformed: DataFrame) -> DataFrame:
+    """Quarantined lines with the cause, read from their text field by field, and the field it lies in.
+
+    Too few or too many fields come first, then the first field that its type
+    cannot hold; NULL fields are in order.
+    """
+    names = RAW_SCHEMA.names
+    as_text = ", ".join(f"{n} string" for n in names)
+    read = F.from_csv(F.col(CORRUPT), as_text, {k: CSV_OPTIONS[k] for k in ("quote", "escape") if k in CSV_OPTIONS})
+    cells = malformed.withColumn("_cells", read)
+    # Commas outside quotes, and one.
+    separators = F.size(F.split(F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', ""), ","))
+    bad = [
+        (F.col("_cells")[f.name].isNotNull() & F.col("_cells")[f.name].try_cast(f.dataType).isNull(), f.name)
+        for f in RAW_SCHEMA
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    wrong_count = separators != len(names)
+    field = F.coalesce(*[F.when(condition, name) for condition, name in bad])
+    reason = (
+        F.when(wrong_count, F.concat(separators.cast("string"), F.lit(f" fields instead of {len(names)}")))
+        .when(field.isNotNull(), F.concat(field, F.lit(" is not a number")))
+        .otherwise("unreadable line")
+    )
+    return cells.withColumns({"reason": reason, "field": F.when(~wrong_count, field)}).drop("_cells")
+
+
+def quarantine_report(reasoned: DataFrame) -> DataFrame:
+    """Lines per reason."""
+    return reasoned.groupBy("reason", "field").agg(F.count(F.lit(1)).alias("line_count"))
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Redistribute rows read from files that cannot be split, such as gzip."""
     return df.repartition(partitions) if partitions else df.hint("rebalance")
