@@ -175,11 +175,13 @@ def run_batch(
                 f"{output}/summary_report",
             )
         seconds = time.monotonic() - begin
+        # Where no line is left, adaptive execution drops the scan together with its metrics.
+        rows_read = read.get["rows"] if rows else raw.count()
         record |= {
             "status": "completed",
-            "rows_read": read.get["rows"],
+            "rows_read": rows_read,
             "rows_processed": rows,
-            "retained_percent": 100.0 * rows / read.get["rows"] if read.get["rows"] else 0.0,
+            "retained_percent": 100.0 * rows / rows_read if rows_read else 0.0,
             "rows_written": {n: w.rows for n, (w, _) in written.items()},
             "throughput_records_per_second": rows / seconds,
             "quality_passed": quality.quality_passed,

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
+from salespect.schema import RAW_SCHEMA
 from salespect.operators import clean as c
 from salespect.operators.enrich import enrich, with_text_flags, with_value_flags
 
@@ -85,24 +86,19 @@ def test_weekend(raw):
     assert (row.is_weekend, row.is_business_hours) == (1, 0)
 
 
-def test_business_flags(raw):
-    home = {"Country": "United Kingdom"}
-    lines = raw(
-        {"InvoiceNo": "1", "Quantity": 150, "UnitPrice": 5.0, **home},
-        {"InvoiceNo": "2", "Quantity": 3, "UnitPrice": 75.0},
-        {"InvoiceNo": "3", "Quantity": 25, "UnitPrice": 12.0, **home},
-        {"InvoiceNo": "4", "Quantity": 8, "UnitPrice": 3.0, **home},
-    )
-    found = {
-        r.invoice_no: (r.order_size, r.price_category, r.is_uk, r.is_international, r.is_high_value)
-        for r in enrich(lines).collect()
-    }
-    assert found == {
-        "1": ("Bulk", "Economy", 1, 0, 1),
-        "2": ("Small", "Premium", 0, 1, 1),
-        "3": ("Large", "Standard", 1, 0, 1),
-        "4": ("Medium", "Budget", 1, 0, 0),
-    }
+def test_business_flags_at_their_bounds(raw):
+    """Every bound of size and price, from just below it, with the labels found by counting bounds reached."""
+    sizes = ("Small", "Medium", "Large", "Bulk")
+    prices = ("Budget", "Economy", "Standard", "Premium")
+    cases = [(q, p / 100, land) for q in (4, 5, 19, 20, 99, 100) for p in (499, 500, 999, 1000, 4999, 5000) for land in ("EIRE", "Peru")]
+    lines = raw(*[{"InvoiceNo": str(n), "Quantity": q, "UnitPrice": p, "Country": land} for n, (q, p, land) in enumerate(cases)])
+    found = {int(r.invoice_no): r for r in enrich(lines).collect()}
+    for n, (quantity, price, land) in enumerate(cases):
+        row = found[n]
+        assert row.order_size == sizes[sum(quantity >= b for b in (5, 20, 100))]
+        assert row.price_category == prices[sum(price >= b for b in (5, 10, 50))]
+        assert (row.is_uk, row.is_international) == ((1, 0) if land == "EIRE" else (0, 1))
+        assert row.is_high_value == int(round(quantity * price, 2) >= 100)
 
 
 def test_unknown_country_is_neither_home_nor_abroad(spark):
@@ -111,30 +107,25 @@ def test_unknown_country_is_neither_home_nor_abroad(spark):
     assert (row.is_uk, row.is_international, row.is_identified_customer) == (0, 0, 0)
 
 
-def test_nulls_are_filled_or_dropped(raw):
-    lines = raw(
-        {"InvoiceNo": "1", "Description": None, "CustomerID": None, "Country": None},
-        {"InvoiceNo": "2", "StockCode": None},
-        {"InvoiceNo": None},
-        {"InvoiceNo": "3", "Quantity": None},
-        {"InvoiceNo": "4", "UnitPrice": None},
-    )
-    (row,) = enrich(lines).collect()
-    assert (row.invoice_no, row.customer_id, row.country) == ("1", "Unknown", "Unknown")
-    assert row.product_description == "No Description"
-    assert row.is_identified_customer == 0
-
-
-def test_duplicates_and_extremes(raw):
-    lines = raw(
-        {},
-        {},
-        {"InvoiceNo": "2", "Quantity": -1},
-        {"InvoiceNo": "3", "UnitPrice": 0.0},
-        {"InvoiceNo": "4", "Quantity": 15000},
-        {"InvoiceNo": "5", "UnitPrice": 15000.0},
-    )
-    assert enrich(lines).count() == 1
+@pytest.mark.parametrize("column", RAW_SCHEMA.names)
+def test_a_null_is_filled_or_costs_the_line(raw, column):
+    rows = enrich(raw({}, {"InvoiceNo": "other", column: None})).collect()
+    filled = {"Description": ("product_description", "No Description"), "CustomerID": ("customer_id", "Unknown"), "Country": ("country", "Unknown")}
+    if column not in filled:
+        assert [r.invoice_no for r in rows] == ["1"]
+    else:
+        name, value = filled[column]
+        assert {r.invoice_no: r[name] for r in rows}["other"] == value
+        assert all(r.is_identified_customer == (r.customer_id != "Unknown") for r in rows)
+
+
+def test_only_lines_within_the_limits_stay(raw):
+    """Quantity and price around both of their limits; copies of each line add nothing."""
+    edges = [-3, 0, 1, 9999, 10000]
+    lines = [{"InvoiceNo": f"{q}/{p}", "Quantity": q, "UnitPrice": float(p)} for q in edges for p in edges]
+    kept = {r.invoice_no for r in enrich(raw(*lines, *lines)).collect()}
+    assert kept == {f"{q}/{p}" for q in (1, 9999) for p in (1, 9999)}
+    assert enrich(raw({"Quantity": 1, "UnitPrice": 0.004})).count() == 0
 
 
 def test_survivor_is_the_largest_copy_and_may_be_invalid(raw):

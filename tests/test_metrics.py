@@ -1,4 +1,5 @@
-from datetime import date
+import math
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,21 +52,28 @@ def test_customer_numbers(raw):
     assert [r.customer_id for r in without.collect()] == ["C1"]
 
 
-def test_best_customer_is_a_champion(spark):
-    rows = [
-        ("CUST001", "UK", 5000.0, 50, 10.0, 150),
-        ("CUST002", "UK", 500.0, 5, 1.0, 150),
-        ("CUST003", "UK", 50.0, 1, 0.2, 1),
-    ]
+def test_segments_follow_levels_computed_by_sorting(spark):
+    """A grid of spending and frequency: each level from the sorted values, each segment from the rules in words."""
+    grid = [(i, j) for i in range(1, 12) for j in range(1, 8)]
+    rows = [(f"{i}-{j}", "x", 13.7 * i * i, 1 + (i + j) % 4, j * 0.9, 37 * j) for i, j in grid]
     frame = spark.createDataFrame(rows, CUSTOMER_SCHEMA)
-    for segment in (customers.segment_customers, customers.segment_customers_basic):
-        assert by(segment(frame), "customer_id")[("CUST001",)].customer_segment == "Champions"
 
+    def bar(column, share):
+        values = sorted(r[column] for r in rows)
+        return values[math.ceil(share * len(values)) - 1]
 
-def test_customer_ramp_spreads_over_segments(spark):
-    rows = [(f"C{i}", "UK", 100.0 * i, i % 20 + 1, i % 20 + 1.0, 365) for i in range(100)]
-    frame = spark.createDataFrame(rows, CUSTOMER_SCHEMA)
-    assert customers.segment_customers(frame).select("customer_segment").distinct().count() >= 4
+    found = by(customers.segment_customers(frame), "customer_id")
+    basic = by(customers.segment_customers_basic(frame), "customer_id")
+    for r in rows:
+        spent, often = [sum(r[c] >= bar(c, s) for s in shares) for c, shares in ((2, (0.25, 0.5, 0.75)), (4, (0.5, 0.75)))]
+        row = found[(r[0],)]
+        assert row.value_segment == ("Very Low", "Low", "Medium", "High")[spent]
+        assert row.frequency_segment == ("Occasional", "Regular", "Frequent")[often]
+        if spent == 3:
+            assert row.customer_segment == ("Big Spenders", "Loyal Customers", "Champions")[often]
+        if spent == 3 and often:
+            assert basic[(r[0],)].customer_segment == row.customer_segment
+    assert len({r.customer_segment for r in found.values()}) >= 6
 
 
 def test_every_segment_rule(spark):
@@ -326,6 +334,21 @@ def test_retention_keeps_the_last_days(spark):
     assert kept.count() == 7
 
 
+@pytest.mark.parametrize("days", [0, 5, 45, 400])
+def test_retention_reads_only_the_months_it_keeps(spark, tmp_path, days):
+    span = spark.sql("SELECT explode(sequence(date'2010-11-03', date'2012-02-20')) invoice_date")
+    table = span.withColumns({"year": F.year("invoice_date"), "month": F.month("invoice_date")})
+    table.write.partitionBy("year", "month").parquet(str(tmp_path / "t"))
+    kept = reports.retain_days(spark.read.parquet(str(tmp_path / "t")), days, F.lit(date(2012, 1, 10)))
+    first = date(2012, 1, 10) - timedelta(days=days)
+    assert kept.count() == span.filter(F.col("invoice_date") > F.lit(first)).count()
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    filters = text[text.index("PartitionFilters") : text.index("PushedFilters")]
+    assert "year" in filters and "month" in filters
+    months = {r.f for r in kept.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(months) == (2012 - first.year) * 12 + 2 - first.month + (1 if first.day < 31 else 0)
+
+
 def test_profile(raw):
     row = reports.profile(raw({}, {"Description": None, "CustomerID": "C2"})).first()
     assert (row.row_count, row.null_Description, row.null_Country) == (2, 1, 0)

@@ -116,3 +116,13 @@ def test_countries_clean_the_lines_once(raw, monkeypatch):
     assert [len(re.findall(copies, plan(frame))) for frame in frames] == [1]
     assert not re.search(copies, plan(table)) and "Expand" not in plan(frames[0])
     assert table.first().total_orders == 2
+
+
+def test_the_enriched_write_exchanges_base_columns_only(raw):
+    """Behind the deduplication: eight columns and a month number cross, the other two dozen are derived after."""
+    text = plan(enrich.enrich_by_month(raw({})))
+    head = text[: text.index("Exchange hashpartitioning(_month")]
+    carried = re.search(r"Exchange hashpartitioning\(_month.*\n\s*\+- .*?Project \[(.*)\]", text).group(1)
+    assert carried.count("#") - carried.count(" AS ") <= 12 and "is_high_value" in head
+    assert not re.search(r"is_\w+#|order_size#|year#", carried)
+    assert enrich.enrich_by_month(raw({})).columns == enrich.enrich(raw({})).columns

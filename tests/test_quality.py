@@ -61,13 +61,17 @@ def test_nulls_by_column(spark):
 
 
 def test_ranges(spark):
-    frame = spark.createDataFrame(
-        [("1", 1, 5.0), ("2", 0, 5.0), ("3", 1, -5.0), ("4", 1, 50000.0)],
-        "invoice_no string, quantity int, unit_price double",
-    )
+    """Counts of values at and beyond each limit, against counting them in Python."""
+    values = [(q, p) for q in (-7, 0, 1, 10000, 10001) for p in (-0.5, 0.0, 0.01, 10000.0, 10000.01, None)]
+    frame = spark.createDataFrame(values, "quantity int, unit_price double")
     (row,) = q.basic_checks(frame).filter("check = 'ranges'").collect()
     assert (row.status, row.severity) == ("failed", "error")
-    assert row.metrics["nonpositive_quantity"] == 1 and row.metrics["extreme_price"] == 1
+    for column, label in ((0, "quantity"), (1, "price")):
+        given = [v[column] for v in values if v[column] is not None]
+        assert row.metrics[f"nonpositive_{label}"] == sum(v <= 0 for v in given)
+        assert row.metrics[f"extreme_{label}"] == sum(v > 10000 for v in given)
+        assert (row.metrics[f"min_{label}"], row.metrics[f"max_{label}"]) == (min(given), max(given))
+    assert outcome(q.basic_checks(frame.filter("quantity = 1 AND unit_price BETWEEN 0.005 AND 10000")))["ranges"] == "passed"
     assert outcome(q.basic_checks(frame.limit(0)))["ranges"] == "failed"
 
 
@@ -75,13 +79,15 @@ RULED = "quantity int, unit_price double, total_price double, customer_id string
 
 
 def test_business_rules(spark):
-    good = [(2, 5.0, 10.0, "C1"), (3, 15.0, 45.0, "C2")]
-    frame = spark.createDataFrame(good, RULED)
-    assert outcome(q.basic_checks(frame))["business_rules"] == "passed"
-    wrong = spark.createDataFrame([*good, (3, 15.0, 40.0, "C3")], RULED)
-    assert outcome(q.basic_checks(wrong))["business_rules"] == "warning"
-    late = frame.withColumn("hour", F.lit(23))
-    assert outcome(q.basic_checks(late))["business_rules"] == "warning"
+    """Totals that are off by more than a cent are counted; a cent of rounding is not."""
+    lines = [(n, 0.37, round(n * 0.37, 2) + off, f"C{n}") for n, off in zip(range(1, 9), (0, 0.004, -0.004, 0, 0.02, -3, 0, 0))]
+    frame = spark.createDataFrame(lines, RULED)
+    (row,) = q.basic_checks(frame).filter("check = 'business_rules'").collect()
+    assert row.status == "warning" and row.metrics["price_mismatches"] == 2
+    right = frame.filter("abs(total_price - quantity * unit_price) < 0.01")
+    assert outcome(q.basic_checks(right))["business_rules"] == "passed"
+    for hour, status in ((5, "warning"), (6, "passed"), (22, "passed"), (23, "warning")):
+        assert outcome(q.basic_checks(right.withColumn("hour", F.lit(hour))))["business_rules"] == status
 
 
 def test_suspicious_customers(spark):

@@ -204,17 +204,47 @@ def test_cache_is_released(sample):
 
 
 def test_run_history(spark, tmp_path):
-    log = str(tmp_path / "log")
-    for age, record in (
-        (1, {"status": "completed", "total_duration_seconds": 30.0}),
-        (2, {"status": "completed", "total_duration_seconds": 25.0}),
-        (3, {"status": "failed", "error": "boom"}),
-        (8, {"status": "completed", "total_duration_seconds": 99.0}),
-    ):
-        run_log.append_run(spark, log, record, NOW - timedelta(days=age))
-    row = run_log.run_history(run_log.read_runs(spark, log), 7, F.lit(NOW)).first()
-    assert (row.total_runs, row.successful_runs, row.failed_runs) == (3, 2, 1)
-    assert (row.avg_duration, row.min_duration, row.max_duration) == (27.5, 25.0, 30.0)
+    """Twenty runs, one every eight hours, against the same figures in Python."""
+    log, runs = str(tmp_path / "log"), []
+    for n in range(20):
+        done = n % 3 != 1
+        record = {"status": "completed" if done else "failed", "total_duration_seconds": 3.0 + n * n % 17, "rows_read": 100 * n, "stage_seconds": {"report": 1.0, "transformation": float(n % 4)}}
+        record |= {"rows_processed": 90 * n, "rows_written": {"daily_metrics": n}} if done else {"failed_stage": "report", "error": "lost"}
+        run_log.append_run(spark, log, record, NOW - timedelta(hours=8 * n + 1))
+        if 8 * n + 1 < 4 * 24:
+            runs.append(record)
+    row = run_log.run_history(run_log.read_runs(spark, log), 4, F.lit(NOW)).first()
+    good = [r["total_duration_seconds"] for r in runs if r["status"] == "completed"]
+    assert (row.total_runs, row.successful_runs, row.failed_runs) == (len(runs), len(good), len(runs) - len(good))
+    assert (row.avg_duration, row.min_duration, row.max_duration) == (pytest.approx(sum(good) / len(good)), min(good), max(good))
+    assert (row.rows_read, row.rows_processed) == (sum(r["rows_read"] for r in runs), sum(r.get("rows_processed", 0) for r in runs))
+    assert (row.slowest_stage, row.failing_stage) == ("transformation", "report")
+    assert row.last_execution_date == (NOW - timedelta(hours=1)).date()
+
+
+def test_older_records_of_the_log_still_read(spark, tmp_path):
+    (tmp_path / "old.json").write_text('{"run_time": "2013-01-07T10:00:00", "status": "completed", "total_duration_seconds": 4.0}\n')
+    run_log.append_run(spark, str(tmp_path), {"status": "completed", "rows_written": {"a": 3}, "quality_passed": True}, NOW)
+    old, new = run_log.read_runs(spark, str(tmp_path)).orderBy("run_time").collect()
+    assert (old.status, old.rows_written, old.execution_date) == ("completed", None, None)
+    assert new.rows_written == {"a": 3} and new.quality_passed and new.execution_date == NOW.date()
+    assert run_log.run_history(run_log.read_runs(spark, str(tmp_path)), 7, F.lit(NOW)).first().total_runs == 2
+
+
+def test_reasons_of_malformed_lines(spark, tmp_path):
+    bad = {
+        "2,B,MUG,many,6/2/2011 9:00,1.0,C1,France": ("Quantity is not a number", "Quantity"),
+        '3,B,"MUG, ""BLUE""",2,6/2/2011 9:00,free,C1,France': ("UnitPrice is not a number", "UnitPrice"),
+        "4,B,MUG,2,6/2/2011 9:00,1.0": ("6 fields instead of 8", None),
+        "5,B,MUG,2,6/2/2011 9:00,1.0,C1,France,more": ("9 fields instead of 8", None),
+        "6,B,MUG,few,6/2/2011 9:00,free,C1,France": ("Quantity is not a number", "Quantity"),
+    }
+    (tmp_path / "data.csv").write_text(HEADER + GOOD + "\n".join(bad) + "\n")
+    good, quarantine = readers.split_corrupt(readers.read_csv(spark, str(tmp_path)))
+    reasoned = readers.with_reason(quarantine)
+    assert {r[readers.CORRUPT]: (r.reason, r.field) for r in reasoned.collect()} == bad
+    counts = {r.reason: r.line_count for r in readers.quarantine_report(reasoned).collect()}
+    assert counts["Quantity is not a number"] == 2 and sum(counts.values()) == len(bad) and good.count() == 1
 
 
 def test_source_size_gate(spark):
@@ -261,7 +291,8 @@ def test_batch_end_to_end(spark, tmp_path):
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
     record = run_batch(readers.load_csv_folder(spark, str(tmp_path)), out, run_log=log)
     assert record["rows_quarantined"] == 1
-    assert [r[readers.CORRUPT] for r in spark.read.parquet(f"{out}/quarantine").collect()] == [bad]
+    assert [(r[readers.CORRUPT], r.field) for r in spark.read.parquet(f"{out}/quarantine").collect()] == [(bad, "Quantity")]
+    assert [r.line_count for r in spark.read.json(f"{out}/quarantine_report").collect()] == [1]
     assert record["status"] == "completed" and record["rows_processed"] == 1500
     assert (record["rows_read"], record["retained_percent"]) == (1500, 100.0)
     assert record["quality_passed"] is True
@@ -275,7 +306,9 @@ def test_batch_end_to_end(spark, tmp_path):
     assert summary.quality_score == record["quality_score"] and summary.failed_checks == []
     assert spark.read.json(f"{out}/run_result").first().status == "completed"
     (run,) = run_log.read_runs(spark, log).collect()
-    assert (run.status, run.rows_processed) == ("completed", 1500)
+    assert (run.status, run.rows_processed, run.rows_quarantined) == ("completed", 1500, 1)
+    assert run.rows_written == record["rows_written"] and run.stage_seconds == record["stage_seconds"]
+    assert summary.execution_date == str(run.execution_date) and summary.pipeline_duration_seconds > 0
     json.dumps(record)
 
 
