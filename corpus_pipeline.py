@@ -34,7 +34,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.piece_digests(packing.pack(docs, tokenizer_path(), end_id=1))
+    return packing.piece_digests(packing.pack(docs, tokenizer_path(), end_id=1, digests=True))
 
 
 STAGES = [

@@ -14,6 +14,7 @@
 
 from __future__ import annotations
 
+import zlib
 from functools import partial
 from typing import NamedTuple
 
@@ -138,7 +139,12 @@ def _pieces(batches, path: str, end_id: int, window: int):
             )
 
 
-def _placed(batches, plan):
+def _digests(ids: pa.ListArray) -> pa.Array:
+    offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4")
+    return pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.int64())
+
+
+def _placed(batches, plan, digests: bool):
     runs: Plan = plan.value
     keys = np.empty(len(runs.length), [("length", "<i8"), ("rank", "<i8")])
     keys["length"], keys["rank"] = runs.length, runs.rank
@@ -151,12 +157,14 @@ def _placed(batches, plan):
             mine, low, high = length == kind, first[kind], first[kind + 1]
             at[mine] = low + np.searchsorted(runs.rank[low:high], rank[mine], "right") - 1
         sequence = runs.sequence[at] + rank - runs.rank[at]
-        kept = [batch.column(name) for name in ("id", "start", "length", "doc_tokens", "ids")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(runs.offset[at])], ["id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"])
+        kept = [batch.column(name) for name in ("id", "start", "length", "doc_tokens")]
+        ids = batch.column("ids")
+        content = _digests(ids) if digests else ids
+        yield pa.RecordBatch.from_arrays([*kept, content, pa.array(sequence), pa.array(runs.offset[at])], ["id", "start", "length", "doc_tokens", "ids_crc32" if digests else "ids", "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: (id, start, length, doc_tokens, ids, sequence_id, offset).
+def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+    """One row per piece: (id, start, length, doc_tokens, ids, sequence_id, offset); with digests, the crc32 of the ids instead of them.
 
     A document is its ids and end_id; a null text has the end id alone. Every
     id of a document lies in one piece; pieces of a sequence follow each other
@@ -175,23 +183,11 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_co
         histogram[row["length"]] = row["n"]
     plan = spark.sparkContext.broadcast(pack_histogram(histogram)[0])
     ranked = pieces.withColumn("block", F.expr(f"rank div {BLOCK}")).join(bases, ["length", "part", "block"])
-    out = "id long, start long, length int, doc_tokens long, ids array<int>, sequence_id long, offset long"
-    return ranked.mapInArrow(partial(_placed, plan=plan), out).withColumnRenamed("id", id_col)
-
-
-def _digested(batches):
-    import zlib
-
-    for batch in batches:
-        ids = batch.column("ids")
-        offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy().astype("<u4")
-        sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        kept = [batch.column(k) for k in range(batch.num_columns) if batch.schema.names[k] != "ids"]
-        names = [x for x in batch.schema.names if x != "ids"]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(sums, pa.int64())], [*names, "ids_crc32"])
+    content = "ids_crc32 long" if digests else "ids array<int>"
+    out = f"id long, start long, length int, doc_tokens long, {content}, sequence_id long, offset long"
+    return ranked.mapInArrow(partial(_placed, plan=plan, digests=digests), out).withColumnRenamed("id", id_col)
 
 
 def piece_digests(packed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Pieces with the crc32 of their ids instead of the ids."""
-    plain = packed.select(id_col, "start", F.col("length").cast("long").alias("length"), "ids", "doc_tokens", "sequence_id", "offset")
-    return plain.mapInArrow(_digested, f"{id_col} long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long")
+    """Packed pieces with digests, in the order and types of the contract."""
+    return packed.select(id_col, "start", F.col("length").cast("long").alias("length"), "doc_tokens", "sequence_id", "offset", "ids_crc32")

@@ -51,7 +51,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.piece_digests(packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1))
+    return packing.piece_digests(packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1, digests=True))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,10 +22,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-GENERATION_BYTES = 64 << 20
+GENERATION_BYTES = 48 << 20
 ENTRY_BYTES = 220  # of a kept piece besides its characters and ids
 LONGEST_KEPT = 128
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 STRETCH = 16 << 10
 
 # Characters whose class (letter, number, space, sign) is the same in all versions of Unicode.

@@ -17,8 +17,11 @@ BPE = public_tokenizers.path("byte_bpe_50k.json")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score int, id string"
 
 
+LIBRARY = Tokenizer.from_file(BPE)
+
+
 def ids_of(text):
-    return Tokenizer.from_file(BPE).encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def prose(seed, count):
@@ -77,7 +80,7 @@ def test_wavelet_matrix(size):
 
 
 def test_packing(docs, nothing):
-    rows = packing.piece_digests(packing.pack(docs, BPE, end_id=1, window=64)).collect()
+    rows = packing.piece_digests(packing.pack(docs, BPE, end_id=1, window=64, digests=True)).collect()
     assert packing.pack(nothing, BPE, end_id=1).count() == 0
     sequences = {}
     for r in rows:
