@@ -45,7 +45,7 @@ STAGES = [
     ("packing", pack_documents),
 ]
 
-# Trained models and similarity joins cannot be expressed in SQL; tests/llm compares stage by stage.
+# Trained models and similarity joins cannot be expressed in SQL; tests/llm tests near copies and the whole run.
 ORACLE_SQL = None
 
 
