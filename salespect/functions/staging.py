@@ -8,14 +8,25 @@ keeps column pruning, and survives the loss of executors.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Shuffle files of a staged write go with the write: its table is read from then on, never its plan.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, else one below the warehouse; the session is left as it is."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and urlsplit(folder).scheme in ("", "file"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    return folder.rstrip("/")
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -38,9 +49,28 @@ def staging_path(spark: SparkSession, label: str) -> str:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and return a scan of what was written."""
-    path = staging_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = staging_path(spark, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete what was staged for these frames, once all that is made of them is itself written; others are left."""
+    for frame in frames:
+        if path := _FOLDERS.pop(frame, None):
+            files, folder = _hadoop(frame.sparkSession, path)
+            files.delete(folder, True)
 
 
 def drop_staged(spark: SparkSession) -> None:
