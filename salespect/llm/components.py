@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salespect.functions.staging import staged
+from salespect.functions.staging import release, staged
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -33,8 +33,9 @@ def connected_components(links: DataFrame) -> DataFrame:
         lower = large.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
         small = large.join(lower, F.col("u") == F.col("n")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(lower.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct()
-        before = mark
+        last, before = edges, mark
         edges, mark = _written(small)
+        release(last, large)
         if mark == before:
             break
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salespect.functions.staging import staged
+from salespect.functions.staging import release, staged
 from salespect.llm.components import connected_components
 from salespect.llm.words import Alphabet, mix, shingle_set, text_slices, words
 
@@ -201,6 +201,21 @@ def _sets_of(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("text").mapInArrow(partial(_candidate_sets, size=size), columns)
 
 
+def _candidates(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """The sets of the wanted classes (id, key), once each; a class of null ids alone is found by its texts."""
+    some = texts.where("text is not null")
+    sets = staged(_sets_of(some.join(wanted.where("id is not null"), "id", "left_semi"), size), "candidate-sets")
+    nameless = wanted.where("id is null").select("key")
+    if nameless.limit(1).count():
+        named, sets = sets, sets.unionByName(_sets_of(some.where("id is null"), size).join(nameless, "key", "left_semi"))
+        sets = staged(sets, "candidate-sets")
+        release(named)
+    if sets.groupBy("key").count().where("count > 1").limit(1).count():  # repeated ids
+        repeated, sets = sets, staged(sets.groupBy("key").agg(*[F.first(x).alias(x) for x in sets.columns[1:]]), "candidate-sets")
+        release(repeated)
+    return sets
+
+
 def _differing(x: np.ndarray, y: np.ndarray) -> int:
     """At least so many shingles are in one of the sorted sets only: their counts differ in ranges of the hash."""
     at = np.arange(1, _BINS, dtype=np.uint64) * np.uint64((1 << 64) // _BINS)
@@ -306,30 +321,25 @@ def jaccard_components(
         .distinct()
     )
     stars = staged(stars, "pairs")
-    owners = entries.select("key").distinct()
-    wanted = classes.join(owners, "key").select("id", "key")
-    sets = staged(_sets_of(texts.where("text is not null").join(wanted.where("id is not null"), "id", "left_semi"), size), "candidate-sets")
-    nameless = wanted.where("id is null").select("key")
-    if nameless.limit(1).count():  # classes that no id leads to
-        sets = sets.unionByName(_sets_of(texts.where("id is null and text is not null"), size).join(nameless, "key", "left_semi"))
-        sets = staged(sets, "candidate-sets")
-    if sets.groupBy("key").count().where("count > 1").limit(1).count():  # repeated ids
-        sets = staged(sets.groupBy("key").agg(*[F.first(x).alias(x) for x in sets.columns[1:]]), "candidate-sets")
-    tested = staged(_verified(stars, sets, percent), "tested")
+    sets = _candidates(texts, classes.join(entries.select("key").distinct(), "key").select("id", "key"), size)
     linked = f"total > 0 and 100 * shared >= {percent} * total"
-    links = tested.where(linked).select("a", "b")
+    links = staged(_verified(stars, sets, percent).where(linked).select("a", "b"), "links")
     component = staged(connected_components(links), "components")
 
-    bitmaps = sets.groupBy("key").agg(*[F.first(p).alias(p) for p in _PARITY])
     members = _open(entries, component)
+    release(entries)
     if members.limit(1).count():
-        members = staged(members.join(bitmaps, "key"), "open")
+        # Only the sets of open shingles are compared from here on.
+        every, sets = sets, staged(sets.join(members.select("key").distinct(), "key", "left_semi"), "open-sets")
+        bare, members = members, staged(members.join(sets.drop("shingles"), "key"), "open")
+        release(every, bare)
         picked = reduce(DataFrame.unionByName, [_with_picked(members, turn, percent) for turn in range(_PICKS)])
         picked = staged(picked.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
         known = stars.unionByName(picked)
         links = staged(links.unionByName(_verified(picked, sets, percent).where(linked).select("a", "b")), "links")
         component = staged(connected_components(links), "components")
-        members = _open(members.drop("c"), component)
+        wide, members = members, _open(members.drop("c"), component)
+        release(wide)
         x, y = members.alias("x"), members.alias("y")
         across = (
             x.join(y, "shingle")
@@ -343,6 +353,8 @@ def jaccard_components(
         more = staged(_verified(across, sets, percent).where(linked).select("a", "b"), "links")
         if more.limit(1).count():
             component = staged(connected_components(staged(links.unionByName(more), "links")), "components")
+        release(picked)
+    release(members, sets, stars)
 
     named = classes.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("c", F.coalesce("component", "key"))
     smallest = named.groupBy("c").agg(F.min("id").alias("component_id"))
