@@ -2,6 +2,7 @@
 
 1. Every text becomes its sorted set of shingle hashes. Equal sets are one
    class, whose key is a hash of the set, so exact copies are compared once.
+   A class carries the parity bitmap of its set; sets are never stored whole.
 2. Shingles are put in one global order, rare ones first, by counts over the
    whole corpus in a table of fixed size (any order is right; this one keeps
    common passages out of the prefixes). Two sets that reach the similarity
@@ -10,8 +11,9 @@
    Shingles that one class alone has end there. Common ones are spread over
    many blocks by their owner.
 4. For every shingle, each owner is paired with the smallest owner, under the
-   length and positional filters; the suffix filter and then the exact test
-   follow, once per pair.
+   length and positional filters. The suffix filter follows on the bitmaps;
+   sets are built again from their texts for the pairs it leaves, and the
+   filter on whole sets and the exact test see each pair once.
 5. Where owners of one shingle are in different components, they are paired
    with a few other owners of it, picked by hash. What then still is apart is
    paired across components under all filters, the suffix filter taken from
@@ -71,32 +73,44 @@ def _cell(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
+def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
+    """_BITS bits, each the parity of how many shingles fall on it: two sets differ in at least as many shingles as bits."""
+    at = (mix(shingles) % np.uint64(_BITS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=_BITS) & 1).astype(bool), bitorder="little").view("<i8")
+
+
+SIGNATURE = ["kind", "id", "size", "key", "other", "counts", *_PARITY]
+
+
 def _signatures(batches, size: int):
-    """Rows of kind 0: id, set size and two keys of the set. Rows of kind 1: blocks of the count table."""
+    """Rows of kind 0: id, set size, two keys and the bitmap of the set. Rows of kind 1: blocks of the count table."""
     alphabet = Alphabet()
-    names = ["kind", "id", "size", "key", "other", "counts"]
     counts = np.zeros(1 << COUNT_BITS, np.int64)
     pending, held = [], 0
     for batch in batches:
         count = batch.num_rows
         sizes, keys, others = np.zeros((3, count), np.int64)
+        parity = np.zeros((count, len(_PARITY)), np.int64)
         for row, shingles in _sets(batch.column(1), alphabet, size):
             if len(shingles):
                 sizes[row], keys[row], others[row] = len(shingles), set_key(shingles, 0), set_key(shingles, 1)
+                parity[row] = parity_bitmap(shingles)
                 pending.append(_cell(shingles))
                 held += len(shingles)
             if held >= _FLUSH_ENTRIES:
                 counts += np.bincount(np.concatenate(pending), minlength=len(counts))
                 pending, held = [], 0
         columns = [pa.array(np.zeros(count, np.int32)), batch.column(0), *map(pa.array, (sizes, keys, others))]
-        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(count, pa.binary())], names)
+        columns += [pa.nulls(count, pa.binary()), *map(pa.array, parity.T.copy())]
+        yield pa.RecordBatch.from_arrays(columns, SIGNATURE)
     if pending:
         counts += np.bincount(np.concatenate(pending), minlength=len(counts))
     if counts.any():
         none = pa.nulls(_COUNT_BLOCKS, pa.int64())
         blocks = [x.astype(np.uint32).tobytes() for x in np.split(counts, _COUNT_BLOCKS)]
         columns = [pa.array(np.ones(_COUNT_BLOCKS, np.int32)), none, pa.array(np.arange(_COUNT_BLOCKS)), none, none]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(blocks, pa.binary())], names)
+        columns += [pa.array(blocks, pa.binary()), *[none] * len(_PARITY)]
+        yield pa.RecordBatch.from_arrays(columns, SIGNATURE)
 
 
 def _sum_blocks(key: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,27 +192,18 @@ def _shared(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({name: entries[name][keep] for name in ENTRY.names if name != "heavy"})
 
 
-def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
-    """_BITS bits, each the parity of how many shingles fall on it: two sets differ in at least as many shingles as bits."""
-    at = (mix(shingles) % np.uint64(_BITS)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=_BITS) & 1).astype(bool), bitorder="little").view("<i8")
-
-
-def _candidate_sets(batches, size: int):
+def _keyed_sets(batches, size: int):
     alphabet = Alphabet()
     for batch in batches:
         for part in words(batch.column(0), alphabet):
             sets = [shingle_set(part.hashes[x:y], size) for x, y in zip(part.first[:-1], part.first[1:], strict=True)]
-            keys = pa.array([set_key(x, 0) for x in sets], pa.int64())
-            parity = np.array([parity_bitmap(x) for x in sets], np.int64).reshape(-1, len(_PARITY)).T
-            columns = [keys, pa.array([x.tobytes() for x in sets], pa.binary()), *map(pa.array, parity.copy())]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles", *_PARITY])
+            columns = [pa.array([set_key(x, 0) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "shingles"])
 
 
 def _sets_of(texts: DataFrame, size: int) -> DataFrame:
-    """Key, shingles and bitmap of each text."""
-    columns = "key long, shingles binary, " + ", ".join(f"{p} long" for p in _PARITY)
-    return texts.select("text").mapInArrow(partial(_candidate_sets, size=size), columns)
+    """Key and shingles of each text."""
+    return texts.select("text").mapInArrow(partial(_keyed_sets, size=size), "key long, shingles binary")
 
 
 def _candidates(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -211,7 +216,7 @@ def _candidates(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
         sets = staged(sets, "candidate-sets")
         release(named)
     if sets.groupBy("key").count().where("count > 1").limit(1).count():  # repeated ids
-        repeated, sets = sets, staged(sets.groupBy("key").agg(*[F.first(x).alias(x) for x in sets.columns[1:]]), "candidate-sets")
+        repeated, sets = sets, staged(sets.groupBy("key").agg(F.first("shingles").alias("shingles")), "candidate-sets")
         release(repeated)
     return sets
 
@@ -238,13 +243,18 @@ def _measured(batches, percent: int):
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared), pa.array(total)], ["a", "b", "shared", "total"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each pair (a, b) once, with the sizes of the overlap and the union of its sets."""
-    sets = sets.select("key", "shingles")
+def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets, built from their texts for this, are as similar as links."""
+    nodes = staged(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "nodes")
+    wanted = staged(classes.select("id", "key").join(nodes, "key", "left_semi"), "wanted")
+    sets = _candidates(texts, wanted, size)
     left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left_set"))
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right_set"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
-    return full.mapInArrow(partial(_measured, percent=percent), "a long, b long, shared long, total long")
+    tested = full.mapInArrow(partial(_measured, percent=percent), "a long, b long, shared long, total long")
+    links = staged(tested.where(f"total > 0 and 100 * shared >= {percent} * total").select("a", "b"), "links")
+    release(sets, wanted, nodes)
+    return links
 
 
 def _filters(left_size, left_place, right_size, right_place, percent: int):
@@ -291,11 +301,12 @@ def jaccard_components(
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signatures = staged(
-        texts.mapInArrow(partial(_signatures, size=size), "kind int, id long, size long, key long, other long, counts binary"),
+        texts.mapInArrow(partial(_signatures, size=size), "kind int, id long, size long, key long, other long, counts binary, " + ", ".join(f"{p} long" for p in _PARITY)),
         "shingle-sets",
     )
-    rows = signatures.where("kind = 0").select("id", "size", "key", "other")
-    classes = rows.where("size > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("other").alias("o"), F.max("other").alias("p"))
+    rows = signatures.where("kind = 0").drop("kind", "counts")
+    facts = [F.first(x).alias(x) for x in ("size", *_PARITY)]
+    classes = rows.where("size > 0").groupBy("key").agg(F.min("id").alias("id"), F.min("other").alias("o"), F.max("other").alias("p"), *facts)
     classes = staged(classes, "set-classes")
     if classes.where("o <> p").limit(1).count():
         raise ValueError("two different sets share a 64-bit key; change the words' seed")
@@ -320,23 +331,22 @@ def jaccard_components(
         .select(F.col("pivot").alias("a"), F.col("key").alias("b"))
         .distinct()
     )
+    bitmaps = classes.select("key", "size", *_PARITY)
+    x, y = bitmaps.alias("x"), bitmaps.alias("y")
+    stars = stars.join(x, F.col("a") == F.col("x.key")).join(y, F.col("b") == F.col("y.key")).where(_bits_allow(percent)).select("a", "b")
     stars = staged(stars, "pairs")
-    sets = _candidates(texts, classes.join(entries.select("key").distinct(), "key").select("id", "key"), size)
-    linked = f"total > 0 and 100 * shared >= {percent} * total"
-    links = staged(_verified(stars, sets, percent).where(linked).select("a", "b"), "links")
+    links = _links(stars, texts, classes, size, percent)
     component = staged(connected_components(links), "components")
 
     members = _open(entries, component)
     release(entries)
     if members.limit(1).count():
-        # Only the sets of open shingles are compared from here on.
-        every, sets = sets, staged(sets.join(members.select("key").distinct(), "key", "left_semi"), "open-sets")
-        bare, members = members, staged(members.join(sets.drop("shingles"), "key"), "open")
-        release(every, bare)
+        bare, members = members, staged(members.join(bitmaps.drop("size"), "key"), "open")
+        release(bare)
         picked = reduce(DataFrame.unionByName, [_with_picked(members, turn, percent) for turn in range(_PICKS)])
         picked = staged(picked.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
         known = stars.unionByName(picked)
-        links = staged(links.unionByName(_verified(picked, sets, percent).where(linked).select("a", "b")), "links")
+        links = staged(links.unionByName(_links(picked, texts, classes, size, percent)), "links")
         component = staged(connected_components(links), "components")
         wide, members = members, _open(members.drop("c"), component)
         release(wide)
@@ -350,11 +360,12 @@ def jaccard_components(
             .distinct()
             .join(known, ["a", "b"], "left_anti")
         )
-        more = staged(_verified(across, sets, percent).where(linked).select("a", "b"), "links")
+        across = staged(across, "pairs")
+        more = _links(across, texts, classes, size, percent)
         if more.limit(1).count():
             component = staged(connected_components(staged(links.unionByName(more), "links")), "components")
-        release(picked)
-    release(members, sets, stars)
+        release(picked, across)
+    release(members, stars)
 
     named = classes.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("c", F.coalesce("component", "key"))
     smallest = named.groupBy("c").agg(F.min("id").alias("component_id"))
