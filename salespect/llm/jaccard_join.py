@@ -271,6 +271,13 @@ def _bits_allow(percent: int):
     return (100 + percent) * (both - apart) >= 2 * percent * both
 
 
+def _allowed(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the suffix filter on bitmaps leaves; bitmaps meet pairs, not entries."""
+    x, y = bitmaps.alias("x"), bitmaps.alias("y")
+    both = pairs.join(x, F.col("a") == F.col("x.key")).join(y, F.col("b") == F.col("y.key"))
+    return both.where(_bits_allow(percent)).select("a", "b")
+
+
 def _open(entries: DataFrame, component: DataFrame) -> DataFrame:
     """Entries, with their components, of the shingles whose owners are in several."""
     known = entries.join(component.withColumnRenamed("node", "key"), "key", "left").withColumn("c", F.coalesce("component", "key")).drop("component")
@@ -280,11 +287,11 @@ def _open(entries: DataFrame, component: DataFrame) -> DataFrame:
 
 def _with_picked(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs (a, b) of each owner of an open shingle and the one picked there by hash, of another component."""
-    owner = F.struct("key", "size", "place", "c", *_PARITY)
+    owner = F.struct("key", "size", "place", "c")
     picked = members.groupBy("shingle").agg(F.min_by(owner, F.xxhash64("key", "shingle", F.lit(turn))).alias("y")).select("shingle", "y.*")
     x, y = members.alias("x"), picked.alias("y")
     near = x.join(y, "shingle").where("x.c <> y.c").where(_filters(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent))
-    return near.where(_bits_allow(percent)).select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
+    return near.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
 
 
 def jaccard_components(
@@ -332,24 +339,21 @@ def jaccard_components(
         .distinct()
     )
     bitmaps = classes.select("key", "size", *_PARITY)
-    x, y = bitmaps.alias("x"), bitmaps.alias("y")
-    stars = stars.join(x, F.col("a") == F.col("x.key")).join(y, F.col("b") == F.col("y.key")).where(_bits_allow(percent)).select("a", "b")
-    stars = staged(stars, "pairs")
+    stars = staged(_allowed(stars, bitmaps, percent), "pairs")
     links = _links(stars, texts, classes, size, percent)
     component = staged(connected_components(links), "components")
 
     members = _open(entries, component)
     release(entries)
     if members.limit(1).count():
-        bare, members = members, staged(members.join(bitmaps.drop("size"), "key"), "open")
-        release(bare)
         picked = reduce(DataFrame.unionByName, [_with_picked(members, turn, percent) for turn in range(_PICKS)])
-        picked = staged(picked.distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
+        picked = staged(_allowed(picked.distinct().join(stars, ["a", "b"], "left_anti"), bitmaps, percent), "pairs")
         known = stars.unionByName(picked)
         links = staged(links.unionByName(_links(picked, texts, classes, size, percent)), "links")
         component = staged(connected_components(links), "components")
         wide, members = members, _open(members.drop("c"), component)
-        release(wide)
+        bare, members = members, staged(members.join(bitmaps.drop("size"), "key"), "open")
+        release(wide, bare)
         x, y = members.alias("x"), members.alias("y")
         across = (
             x.join(y, "shingle")
