@@ -1,13 +1,14 @@
 import gzip
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
-from salespect.functions.staging import drop_staged, shared_folder, staged
+from salespect.functions.staging import CLEANUP, drop_staged, release, shared_folder, staged
 from salespect.operators import gates
 from salespect.operators.quality import run_all_checks, summarize_checks
 from salespect.plans import run_log, sinks, sizing
@@ -326,3 +327,15 @@ def test_batch_with_bad_data_reports_and_can_stop(spark, tmp_path):
 def test_batch_without_valid_lines(spark, raw, tmp_path):
     record = run_batch(raw({"Quantity": -1}), str(tmp_path / "out"))
     assert record["status"] == "completed" and record["rows_processed"] == 0
+
+
+def test_staged_tables_are_released_and_leave_the_session_as_it_was(spark):
+    before = spark.conf.get(CLEANUP, None)
+    first = staged(spark.range(20).groupBy((F.col("id") % 4).alias("k")).count(), "first")
+    second = staged(first.join(first.withColumnRenamed("count", "again"), "k"), "second")
+    folder = first.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("///", "/")
+    assert Path(folder).exists()
+    release(first, spark.range(1))  # a frame that was not staged is left alone
+    assert not Path(folder).exists()
+    assert sorted(map(tuple, second.collect())) == [(k, 5, 5) for k in range(4)]
+    assert spark.conf.get(CLEANUP, None) == before
