@@ -4,7 +4,12 @@
    compared once and counted by weight.
 2. Spherical k-means is fitted on at most SAMPLE different vectors taken by
    hash; there are about 2 * sqrt(classes) cells. Every class is indexed: it
-   lives in its nearest cell and visits each cell that is nearly as near.
+   lives in its nearest cell and visits the cells whose border is close. The
+   borders of two cells' centres are planes; two linked vectors on both sides
+   of one are at most 2 * sin(angle / 2) apart, so one of them is within
+   sin(angle / 2) of the plane and visiting that far finds every link. Along
+   a given direction few differences are as long as that where they spread
+   over many dimensions: there SPREAD standard deviations are visited.
 3. A cell is cut into blocks of BLOCK members by hash; every pair of blocks is
    a task of its own, so a cell that holds most rows is spread. Products run in
    single precision with a margin, and pairs above it are measured again in
@@ -29,7 +34,7 @@ from salespect.llm.components import connected_components
 SAMPLE = 60_000  # most vectors k-means is fitted on
 MOST_CELLS = 20_000
 BLOCK = 2048
-MARGIN = 0.12  # radians a visited cell may be farther than the nearest
+SPREAD = 4.0  # deviations of a link's difference along one direction that visits cover
 ROUNDS = 8
 _SLACK = 1e-4
 
@@ -70,8 +75,21 @@ def _matrix(column) -> np.ndarray:
     return np.stack(rows) if rows else np.zeros((0, 1))
 
 
-def _visits(batches, centres):
-    """Per class and cell: key, cell, whether it lives there, its home, all cells it visits."""
+def directions(vectors: np.ndarray, centres: np.ndarray) -> float:
+    """In how many dimensions vectors spread around their centres: the participation ratio, 1 to their width."""
+    part = vectors[:: max(1, len(vectors) // 10_000)]
+    apart = part - centres[(part.astype(np.float32) @ centres.T).argmax(axis=1)]
+    power = np.linalg.svd(apart - apart.mean(axis=0), compute_uv=False) ** 2
+    return float(power.sum() ** 2 / (power**2).sum()) if power.sum() > 1e-12 else 1.0
+
+
+def visit_reach(least: float, dimensions: float, exact: bool) -> float:
+    """How far from a border between cells a vector visits the other cell."""
+    return float(np.sqrt(max(0.0, 1 - least) / 2)) * (1.0 if exact else min(1.0, SPREAD / dimensions**0.5))
+
+
+def _visits(batches, centres, reach: float):
+    """Per class and cell: key, cell, its home, all cells it visits."""
     fixed = centres.value
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
@@ -79,8 +97,10 @@ def _visits(batches, centres):
             data = part.column("data").to_pylist()
             cosine = np.clip(unit(_matrix(data)).astype(np.float32) @ fixed.T, -1, 1)
             home = cosine.argmax(axis=1)
-            limit = np.cos(np.minimum(np.arccos(cosine[np.arange(len(data)), home]) + MARGIN, np.pi))
-            row, cell = np.nonzero((cosine >= limit[:, None]) | (np.arange(len(fixed)) == home[:, None]))
+            # The distance to a border is the difference of the cosines over that of the centres.
+            apart = np.sqrt(np.clip(2 - 2 * (fixed[home] @ fixed.T), 0, None))
+            nearest = cosine[np.arange(len(data)), home][:, None]
+            row, cell = np.nonzero((nearest - cosine <= reach * apart + _SLACK) | (np.arange(len(fixed)) == home[:, None]))
             visits = np.split(cell, np.flatnonzero(np.diff(row)) + 1)
             yield pa.RecordBatch.from_arrays(
                 [part.column("key").take(pa.array(row)), part.column("weight").take(pa.array(row)), part.column("data").take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(home[row].astype(np.int32)), pa.array([visits[r].astype(np.int32) for r in row], pa.list_(pa.int32()))],
@@ -107,6 +127,14 @@ def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return keep
 
 
+def _near(x: np.ndarray, y: np.ndarray, rows: np.ndarray, here_x: np.ndarray, here_y: np.ndarray, least: float):
+    """Pairs of single precision cosine near enough; two visitors are not compared."""
+    live, guest, hosts = rows[here_x[rows]], rows[~here_x[rows]], np.flatnonzero(here_y)
+    i, j = np.nonzero(x[live] @ y.T >= least - _SLACK)
+    k, m = np.nonzero(x[guest] @ y[hosts].T >= least - _SLACK)
+    return np.concatenate((live[i], guest[k])), np.concatenate((j, hosts[m]))
+
+
 def _compared(key, frame: pd.DataFrame, least: float) -> pd.DataFrame:
     """Links of one pair of blocks of a cell: rows (a, null, copies linked to a) and forest rows (a, b, 0)."""
     cell, low, high = key[0], key[1], key[2]
@@ -123,10 +151,9 @@ def _compared(key, frame: pd.DataFrame, least: float) -> pd.DataFrame:
     count_x, count_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
     x32, y32, kept = x.astype(np.float32), y.astype(np.float32), []
     for at in range(0, len(x), 256):
-        i, j = np.nonzero(x32[at : at + 256] @ y32.T >= least - _SLACK)
-        i += at
-        use = (here_x[i] | here_y[j]) & ((i < j) if low == high else True)
-        i, j = i[use], j[use]
+        i, j = _near(x32, y32, np.arange(at, min(at + 256, len(x))), here_x, here_y, least)
+        if low == high:
+            i, j = i[i < j], j[i < j]
         # A pair of different homes can meet in both; the smaller of the two cells has it.
         mixed = np.flatnonzero(home_x[i] != home_y[j])
         drop = np.zeros(len(i), bool)
@@ -151,9 +178,11 @@ def _compared(key, frame: pd.DataFrame, least: float) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b, "n": n})
 
 
-def near_vectors(table: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_vectors(table: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding", exact: bool = False) -> DataFrame:
     """One row per row of table: (id, n_links, component_id, kept).
 
+    exact visits so far that no link can be lost; else that holds where vectors
+    spread over at most SPREAD ** 2 dimensions, and nearly so over more.
     n_links counts the other rows linked directly, component_id is the smallest
     id reachable. Vectors that are null, empty, zero or hold null or non-finite
     components link with nothing, nor do vectors of different widths. A null id
@@ -172,7 +201,7 @@ def near_vectors(table: DataFrame, least: float = 0.95, id_col: str = "vec_id",
     parts = []
     for row in classes.groupBy(F.octet_length("data").alias("width")).count().collect():  # one per width of vectors
         same = classes.where(F.octet_length("data") == row["width"])
-        parts.append(_links(same, row["count"], row["width"], least))
+        parts.append(_links(same, row["count"], least, exact))
     if parts:
         found = parts[0]
         for more in parts[1:]:
@@ -191,7 +220,7 @@ def near_vectors(table: DataFrame, least: float = 0.95, id_col: str = "vec_id",
     return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def _links(classes: DataFrame, count: int, width: int, least: float) -> DataFrame:
+def _links(classes: DataFrame, count: int, least: float, exact: bool) -> DataFrame:
     spark = classes.sparkSession
     cells = int(min(MOST_CELLS, max(1, 2 * count**0.5), count))
     # xxhash64 keys are spread evenly, so a range of them is a sample of the classes.
@@ -199,9 +228,12 @@ def _links(classes: DataFrame, count: int, width: int, least: float) -> DataFram
     cut = min(int(-(1 << 63) + share * ((1 << 64) - 1)), (1 << 63) - 1)
     sample = classes.where(F.col("key") <= cut).select("key", "data").orderBy("key").limit(SAMPLE).collect()
     sample = sample or classes.select("key", "data").limit(1).collect()
-    centres = spark.sparkContext.broadcast(spherical_kmeans(unit(_matrix([r["data"] for r in sample])), min(cells, len(sample))))
+    fitted = unit(_matrix([r["data"] for r in sample]))
+    found = spherical_kmeans(fitted, min(cells, len(sample)))
+    reach = visit_reach(least, directions(fitted, found), exact)
+    centres = spark.sparkContext.broadcast(found)
     schema = "key long, weight long, data binary, cell int, home int, visits array<int>"
-    placed = staged(classes.select("key", "weight", "data").mapInArrow(partial(_visits, centres=centres), schema), "cells")
+    placed = staged(classes.select("key", "weight", "data").mapInArrow(partial(_visits, centres=centres, reach=reach), schema), "cells")
     sizes = placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     member = placed.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))

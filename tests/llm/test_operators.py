@@ -176,6 +176,45 @@ def test_near_vectors(spark, monkeypatch):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def clouds(width, count, seed):
+    """Half of the vectors in one group around a hub, the others scattered; some repeated."""
+    rng = np.random.default_rng(seed)
+    hub = rng.normal(size=width)
+    rows = np.where((np.arange(count) % 2 == 0)[:, None], hub + rng.normal(size=(count, width)) * 0.22, rng.normal(size=(count, width)))
+    return np.concatenate((rows, rows[:7]))
+
+
+@pytest.mark.parametrize("width, exact", [(8, False), (16, False), (64, True)])
+def test_near_vectors_lose_no_link(spark, width, exact):
+    """Few dimensions, or exact visits: link counts and components equal brute force, ids null and repeated too."""
+    rows = clouds(width, 700, width)
+    ids = [None, 5, 5, *range(3, len(rows))]
+    frame = spark.createDataFrame([(i, v.tolist(), "x") for i, v in zip(ids, rows, strict=True)], "vec_id long, embedding array<double>, n_links string")
+    found = vectors.near_vectors(frame, exact=exact).collect()
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    name = np.arange(len(rows))
+    while True:
+        low = np.where(linked, name[None, :], len(rows)).min(axis=1)
+        if (low == name).all():
+            break
+        name = low
+    least = {c: min(i for i, k in zip(ids, name, strict=True) if k == c and i is not None) for c in set(name.tolist()) if any(k == c and i is not None for i, k in zip(ids, name, strict=True))}
+    want = sorted((str(i), int(linked[n].sum()) - 1, str(least.get(name[n]))) for n, i in enumerate(ids))
+    assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"])) for r in found) == want
+
+
+@pytest.mark.parametrize("width", [64, 256])
+def test_near_vectors_recall(spark, width):
+    """Many dimensions, half of the vectors in one group: recall of links by the usual visits."""
+    rows = clouds(width, 2000, 3)
+    frame = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.95).sum() - len(rows)
+    found = sum(r["n_links"] for r in vectors.near_vectors(frame).collect())
+    assert 0.97 * want <= found <= want
+
+
 def test_tiling_finds_reordered_passages(spark):
     item = [f"i{n}" for n in range(40)]
     other = [f"o{n}" for n in range(40)]
