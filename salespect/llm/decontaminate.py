@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salespect.llm.words import Alphabet, grams, words
+from salespect.llm.words import Alphabet, Runs, free_name, grams, words
 
 MIN_MATCH = 5
 COVERAGE = 0.6
@@ -28,44 +28,58 @@ BLOCK_BYTES = 8 << 20
 SEPARATORS = bytes(c for c in range(128) if not chr(c).isalnum())
 
 
-def _common_runs(text: np.ndarray, item: np.ndarray, free_text: np.ndarray, free_item: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
-    """Starts (text, item) of equal unmarked runs of size words, by equal Karp-Rabin hashes."""
-    def open_runs(free):
-        total = np.concatenate(([0], np.cumsum(free)))
-        return np.flatnonzero(total[size:] - total[:-size] == size) if len(free) >= size else np.zeros(0, np.int64)
+def _open_runs(free: np.ndarray, size: int) -> np.ndarray:
+    """Starts of the runs of size words that are all unmarked."""
+    total = np.concatenate(([0], np.cumsum(free)))
+    return np.flatnonzero(total[size:] - total[:-size] == size) if len(free) >= size else np.zeros(0, np.int64)
 
-    mine, theirs = open_runs(free_text), open_runs(free_item)
-    if not len(mine) or not len(theirs):
-        return
-    left, right = grams(text, size)[mine], grams(item, size)[theirs]
-    order = np.argsort(left, kind="stable")
-    low, high = np.searchsorted(left[order], right), np.searchsorted(left[order], right, "right")
-    for k in np.flatnonzero(low < high):
-        for at in order[low[k] : high[k]]:
-            yield int(mine[at]), int(theirs[k])
+
+class _Pair:
+    """A text and an item with the words that are marked so far; run hashes come from prefix sums made once."""
+
+    def __init__(self, text: np.ndarray, item: np.ndarray) -> None:
+        self.text, self.item = text, item
+        self.text_runs, self.item_runs = Runs(text), Runs(item)
+        self.free_text, self.free_item = np.ones(len(text), bool), np.ones(len(item), bool)
+
+    def matches(self, size: int) -> Iterator[tuple[int, int]]:
+        """Starts (text, item) of equal unmarked runs of size words, by equal running hashes, then by their words."""
+        mine, theirs = _open_runs(self.free_text, size), _open_runs(self.free_item, size)
+        if not len(mine) or not len(theirs):
+            return
+        left, right = self.text_runs.of(mine, size), self.item_runs.of(theirs, size)
+        order = np.argsort(left, kind="stable")
+        left = left[order]
+        low, high = np.searchsorted(left, right), np.searchsorted(left, right, "right")
+        for k in np.flatnonzero(low < high):
+            b = int(theirs[k])
+            for a in mine[order[low[k] : high[k]]].tolist():
+                if np.array_equal(self.text[a : a + size], self.item[b : b + size]):
+                    yield a, b
 
 
 def tiling(text: np.ndarray, item: np.ndarray, shortest: int) -> int:
     """How many words of item greedy string tiling marks, with matches of at least shortest words, longest first."""
-    free_text, free_item = np.ones(len(text), bool), np.ones(len(item), bool)
-    marked, size = 0, len(item)
-    while size >= shortest:
+    if not len(text) or not len(item):
+        return 0
+    pair = _Pair(text, item)
+    marked, size = 0, min(len(text), len(item))
+    while True:
         # The largest size with a match: a longer common run contains every shorter one.
         low, high = shortest - 1, size
         while low < high:
             middle = (low + high + 1) // 2
-            if next(_common_runs(text, item, free_text, free_item, middle), None) is None:
+            if next(pair.matches(middle), None) is None:
                 high = middle - 1
             else:
                 low = middle
         size = low
-        if size < shortest:
-            break
-        for a, b in _common_runs(text, item, free_text.copy(), free_item.copy(), size):
-            if free_text[a : a + size].all() and free_item[b : b + size].all():
-                free_text[a : a + size] = free_item[b : b + size] = False
+        if size < max(1, shortest):
+            return marked
+        for a, b in list(pair.matches(size)):
+            if pair.free_text[a : a + size].all() and pair.free_item[b : b + size].all():
+                pair.free_text[a : a + size] = pair.free_item[b : b + size] = False
                 marked += size
-    return marked
 
 
 def _item_words(texts: list[str | None], alphabet: Alphabet) -> list[np.ndarray]:
@@ -149,6 +163,7 @@ def row_key(id_col: str = "doc_id", text_col: str = "text"):
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with their columns, that no item covers; null ids and texts stay."""
-    leaks = benchmark_leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col("row_key").alias("__leaked")).distinct()
-    return docs.join(leaks, row_key(id_col, text_col) == F.col("__leaked"), "left_anti")
+    """The rows of docs, with their columns of whatever names, that no item covers; null ids and texts stay."""
+    leaks = benchmark_leaks(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    key = free_name(docs, "row_key")
+    return docs.withColumn(key, row_key(id_col, text_col)).join(leaks.select(F.col("row_key").alias(key)).distinct(), key, "left_anti").select(docs.columns)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from salespect.functions.staging import release, staged
 from salespect.llm.components import connected_components
-from salespect.llm.words import Alphabet, mix, shingle_set, text_slices, words
+from salespect.llm.words import Alphabet, free_name, mix, shingle_set, text_slices, words
 
 COUNT_BITS = 20  # the table of shingle counts: 2**20 cells, 4 MB whatever the corpus
 _COUNT_BLOCKS = 64
@@ -377,3 +377,18 @@ def jaccard_components(
     with_set = rows.where("size > 0").join(place, "key").select("id", "size", "component_id")
     without = rows.where("size = 0").select("id", "size", F.col("id").alias("component_id"))
     return with_set.unionByName(without).select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, with its columns of whatever names: the row of smallest id.
+
+    Null and repeated ids are rows of their own; a null id stays only where its
+    group has no other. Texts without words stay. An empty table gives an empty result.
+    """
+    key = free_name(docs, "row")
+    rows = staged(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = jaccard_components(rows, id_col=key, text_col=text_col).select(F.col(key).alias("row"), "component_id")
+    named = found.join(rows.select(F.col(key).alias("row"), F.col(id_col).alias("id")), "row")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).getField("row")
+    kept = named.groupBy("component_id").agg(first.alias(key)).select(key)
+    return rows.join(kept, key, "left_semi").select(docs.columns)

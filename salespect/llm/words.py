@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
@@ -144,9 +145,29 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(total + np.uint64(size))
 
 
+class Runs:
+    """Running hashes of one text's words: one pass of prefix sums, then a run of any length costs one subtraction."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        up, self.down = _powers(_BASE, len(hashes)), _powers(_BASE_INVERSE, len(hashes))
+        self.total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)))
+
+    def of(self, begin: np.ndarray, size: int) -> np.ndarray:
+        """Order-sensitive hash of the run of size words from each of begin."""
+        return (self.total[begin + size] - self.total[begin]) * self.down[begin]
+
+
 def shingle_set(hashes: np.ndarray, size: int) -> np.ndarray:
     """Sorted distinct size-word shingles of one text; fewer words make one shingle of them all."""
     count = len(hashes)
     if not count:
         return hashes
     return np.unique(grams(hashes, min(size, count)))
+
+
+def free_name(table: DataFrame, name: str) -> str:
+    """name, with underscores in front until table has no such column (names differ by more than case)."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -215,6 +215,52 @@ def test_near_vectors_recall(spark, width):
     assert 0.97 * want <= found <= want
 
 
+def tiled(text, item, shortest):
+    """Greedy string tiling by comparing words at every pair of places."""
+    free_text, free_item, marked = [True] * len(text), [True] * len(item), 0
+    while True:
+        best = []
+        for b in range(len(item)):
+            for a in range(len(text)):
+                n = 0
+                while a + n < len(text) and b + n < len(item) and text[a + n] == item[b + n] and free_text[a + n] and free_item[b + n]:
+                    n += 1
+                if n >= shortest and n >= (best[0][0] if best else 1):
+                    best = [*(best if best and best[0][0] == n else []), (n, a, b)]
+        if not best:
+            return marked
+        for n, a, b in best:
+            if all(free_text[a : a + n]) and all(free_item[b : b + n]):
+                free_text[a : a + n] = free_item[b : b + n] = [False] * n
+                marked += n
+
+
+def test_tiling_equals_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        kinds = rng.choice((2, 4, 12))
+        text, item = ([rng.randrange(kinds) for _ in range(rng.randint(0, 40))] for _ in "ab")
+        shortest = rng.randint(1, 5)
+        hashes = [np.array([zlib.crc32(bytes([x])) * 0x9E3779B97F4A7C15 % 2**64 for x in side], np.uint64) for side in (text, item)]
+        assert decontaminate.tiling(*hashes, shortest) == tiled(text, item, shortest)
+
+
+def test_leaks_and_near_copies_keep_clashing_columns(spark):
+    import corpus_pipeline
+
+    item = prose(9, 40)
+    rows = [(1, item, 1, "a"), (1, item, 1, "a"), (None, "clean " + prose(10, 40), 2, "b"), (3, "", 3, "c"), (4, None, 4, None), (5, "x " * 200_000 + item, 5, "e"), (None, item, 6, "f")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, row int, row_key string").withColumnRenamed("row", "Row")
+    benchmark = spark.createDataFrame([(None, item, "x"), (2, "", "x"), (2, None, "x")], "item_id long, text string, row_key string")
+    clean = decontaminate.clean_documents(frame, benchmark)
+    assert clean.columns == frame.columns and sorted(r["Row"] for r in clean.collect()) == [2, 3, 4]
+    kept = corpus_pipeline.one_per_group(spark, frame, "")
+    assert kept.columns == frame.columns and sorted(r["Row"] for r in kept.collect()) == [1, 2, 3, 4]  # the long text has 41 shingles, 36 of them the item's
+    empty = frame.limit(0)
+    assert decontaminate.clean_documents(empty, benchmark).count() == corpus_pipeline.one_per_group(spark, empty, "").count() == 0
+    assert decontaminate.clean_documents(frame, benchmark.limit(0)).count() == len(rows)
+
+
 def test_tiling_finds_reordered_passages(spark):
     item = [f"i{n}" for n in range(40)]
     other = [f"o{n}" for n in range(40)]
