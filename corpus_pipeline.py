@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged
 from salespect.llm import decontaminate, jaccard_join, packing, quality, toxicity
@@ -20,13 +19,7 @@ def keep_harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, the one of smallest id; null and repeated ids are rows of their own."""
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
-    found = jaccard_join.jaccard_components(rows, id_col="__row").select("__row", "component_id")
-    named = found.join(rows.select("__row", "doc_id"), "__row")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__row")).getField("__row")
-    kept = named.groupBy("component_id").agg(first.alias("__row")).select("__row")
-    return rows.join(kept, "__row", "left_semi").select(docs.columns)
+    return jaccard_join.one_per_group(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +38,7 @@ STAGES = [
     ("packing", pack_documents),
 ]
 
-# Trained models and similarity joins cannot be expressed in SQL; tests/llm tests near copies and the whole run.
+# Trained models and similarity joins cannot be expressed in SQL; tests/llm tests near copies, leaks and the whole run.
 ORACLE_SQL = None
 
 
