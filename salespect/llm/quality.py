@@ -26,7 +26,9 @@ SAMPLE = 10_000
 FEATURES = 2048
 CUTOFF = 0.5
 PRIOR_GOOD = 0.8
-CACHE_ENTRIES = 300_000
+GENERATION = 100_000  # words in each of the two generations whose shapes are kept
+LONGEST_KEPT = 64
+ROWS = 512  # texts taken from a batch at once
 HEURISTICS = ("symbols", "endings", "capitals", "repeats", "top_word", "length", "bars")
 _PLAIN_END = frozenset(".,;:?!'\")]}»”’…-")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -60,22 +62,33 @@ def votes(text: str | None) -> list[int]:
     ]
 
 
+def _shape(word: str) -> str:
+    for pattern, short in _SHAPES:
+        word = pattern.sub(short, word)
+    return word[:8] + word[-8:] if len(word) > 16 else word
+
+
+def _texts(column: pa.Array):
+    """The texts of a column, ROWS at a time, so that few are held as Python strings."""
+    for at in range(0, len(column), ROWS):
+        yield column.slice(at, ROWS).to_pylist()
+
+
 class Shapes:
     """Hashed shapes of words, their pairs and repetitions, as shares of a text's words."""
 
     def __init__(self) -> None:
-        self.cache: dict[str, str] = {}
+        self.young: dict[str, str] = {}
+        self.old: dict[str, str] = {}
 
     def shape(self, word: str) -> str:
-        found = self.cache.get(word)
+        found = self.young.get(word)
         if found is None:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            found = word
-            for pattern, short in _SHAPES:
-                found = pattern.sub(short, found)
-            found = found[:8] + found[-8:] if len(found) > 16 else found
-            self.cache[word] = found
+            found = self.old.get(word) or _shape(word)
+            if len(word) <= LONGEST_KEPT:
+                if len(self.young) >= GENERATION:
+                    self.old, self.young = self.young, {}
+                self.young[word] = found
         return found
 
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -158,11 +171,12 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
-def _patterns(frames):
+def _patterns(batches):
     counted: Counter = Counter()
-    for frame in frames:
-        counted.update(bytes(v + 1 for v in votes(text)) for text in frame["text"])
-    yield pd.DataFrame({"pattern": list(counted), "n": list(counted.values())})
+    for batch in batches:
+        for texts in _texts(batch.column(0)):
+            counted.update(bytes(v + 1 for v in votes(text)) for text in texts)
+    yield pa.RecordBatch.from_arrays([pa.array(list(counted), pa.binary()), pa.array(list(counted.values()), pa.int64())], ["pattern", "n"])
 
 
 def _featured(frames):
@@ -179,7 +193,7 @@ def _to_votes(patterns) -> np.ndarray:
 def train(docs: DataFrame, sample: int = SAMPLE, text_col: str = "text") -> Model:
     """Heuristic accuracies from all rows, scorer weights from at most `sample` different texts."""
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    found = texts.mapInPandas(_patterns, "pattern binary, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    found = texts.mapInArrow(_patterns, "pattern binary, n long").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     patterns, counts = _to_votes(r["pattern"] for r in found), np.array([r["n"] for r in found], float)
     model = estimate(patterns, counts)
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
@@ -202,9 +216,8 @@ def _score(shapes: Shapes, weights: np.ndarray, text: str | None) -> float:
 def _scored(batches, model: Model):
     shapes = Shapes()
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        cast = np.array([votes(t) for t in texts], np.int64).reshape(-1, len(HEURISTICS))
-        scores = [_score(shapes, model.weights, t) for t in texts]
+        cast = np.array([votes(t) for part in _texts(batch.column(1)) for t in part], np.int64).reshape(-1, len(HEURISTICS))
+        scores = [_score(shapes, model.weights, t) for part in _texts(batch.column(1)) for t in part]
         counts = [pa.array((cast > 0).sum(axis=1)), pa.array((cast < 0).sum(axis=1))]
         columns = [batch.column(0), pa.array(model.votes.posterior(cast)), pa.array(scores, pa.float64()), *counts]
         yield pa.RecordBatch.from_arrays(columns, ["id", "weak_good", "score", "good_votes", "bad_votes"])
@@ -224,10 +237,14 @@ def score_quality(docs: DataFrame, model: Model, cutoff: float = CUTOFF, id_col:
 def _kept(batches, model: Model, cutoff: float, text_col: str):
     shapes = Shapes()
     for batch in batches:
-        keep = [_score(shapes, model.weights, text) >= cutoff for text in batch.column(text_col).to_pylist()]
+        keep = [_score(shapes, model.weights, text) >= cutoff for part in _texts(batch.column(text_col)) for text in part]
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def keep_good(docs: DataFrame, model: Model, cutoff: float = CUTOFF, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with their columns, that score the cutoff or more."""
+    """The rows of docs, with their columns of whatever names, that score the cutoff or more.
+
+    Null, empty and blank texts go; null and repeated ids and repeated rows are
+    judged by their text like any other. An empty table gives an empty result.
+    """
     return docs.mapInArrow(partial(_kept, model=model, cutoff=cutoff, text_col=text_col), docs.schema)

@@ -410,6 +410,31 @@ def test_quality_votes_do_not_depend_on_length():
         assert short[0] == long[0]
 
 
+def test_quality_shapes_do_not_depend_on_what_is_kept(monkeypatch):
+    texts = [prose(n, 300) + " Wort½ ABC-12 " + "x" * 90 + "7" * n for n in range(12)]
+    whole = [quality.Shapes().features(t) for t in texts]
+    monkeypatch.setattr(quality, "GENERATION", 20)
+    shapes = quality.Shapes()
+    for text, (cells, shares) in zip(texts, whole, strict=True):
+        found = dict(zip(*map(list, shapes.features(text)), strict=True))
+        assert found == pytest.approx(dict(zip(cells.tolist(), shares.tolist(), strict=True)))
+    assert len(shapes.young) <= 20 and len(shapes.old) <= 20
+
+
+def test_quality_keeps_rows_whatever_their_ids_and_columns(spark):
+    good, bad = ("The river runs to the sea, and people walk along it. " * 3 + prose(1, 0), "@@@@ #### $$$$ %%%% " * 30)
+    rows = [(n, good + f"Line {n}.", "a", n) for n in range(40)] + [(50 + n, bad, "a", n) for n in range(10)]
+    rows += [(None, good, "b", 1), (1, good, "b", 2), (1, good, "b", 2), (70, None, "b", 3), (71, " ", "b", 4), (72, good * 4000, "b", 5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, score string, keep int")
+    model = quality.train(frame)
+    kept = quality.keep_good(frame, model)
+    scored = quality.score_quality(frame, model).collect()
+    assert kept.columns == frame.columns and len(scored) == len(rows)
+    assert sorted(str(r["doc_id"]) for r in scored if r["keep"]) == sorted(str(r["doc_id"]) for r in kept.collect())
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted([*map(str, range(40)), "None", "1", "1", "72"])
+    assert quality.keep_good(frame.limit(0), quality.train(frame.limit(0))).count() == 0
+
+
 ARTICLE = "<p>" + "This is the article text, with care. " * 9 + "</p>"
 READERS = "".join(f"<div><p>Reader {n} says this is nice, really. I agree with all of it.</p></div>" for n in range(20))
 
