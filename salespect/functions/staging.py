@@ -8,6 +8,8 @@ keeps column pruning, and survives the loss of executors.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
+from threading import Lock
 from urllib.parse import urlsplit
 from weakref import WeakKeyDictionary
 
@@ -17,6 +19,29 @@ from pyspark.sql import DataFrame, SparkSession
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+# Per session the number of writes at work and the setting that the first of them found.
+_WRITING: WeakKeyDictionary[SparkSession, tuple[int, str | None]] = WeakKeyDictionary()
+_LOCK = Lock()
+
+
+@contextmanager
+def _cleaned_up(spark: SparkSession):
+    """The setting holds while any thread writes, and the last one restores what the first one found."""
+    with _LOCK:
+        writes, before = _WRITING.get(spark) or (0, spark.conf.get(CLEANUP, None))
+        spark.conf.set(CLEANUP, "true")
+        _WRITING[spark] = writes + 1, before
+    try:
+        yield
+    finally:
+        with _LOCK:
+            writes, before = _WRITING.pop(spark)
+            if writes > 1:
+                _WRITING[spark] = writes - 1, before
+            elif before is None:
+                spark.conf.unset(CLEANUP)
+            else:
+                spark.conf.set(CLEANUP, before)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,15 +76,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write the rows once and return a scan of what was written."""
     spark = df.sparkSession
     path = staging_path(spark, label)
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _cleaned_up(spark):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[out] = path
     return out

@@ -72,7 +72,12 @@ def enrich_by_month(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     base = clean_base(standardize(raw), cfg)
     moment = F.col("invoice_datetime")
     shaped = base.withColumn("_month", F.year(moment) * 100 + F.month(moment)).hint("rebalance", "_month")
-    return shaped.drop("_month").transform(with_derived).transform(with_business_flags, cfg)
+    return from_base(shaped.drop("_month"), cfg)
+
+
+def from_base(base: DataFrame, cfg: Settings = Settings()) -> DataFrame:
+    """Clean base lines with everything that derives from them."""
+    return base.transform(with_derived).transform(with_business_flags, cfg)
 
 
 def enrich(raw: DataFrame, cfg: Settings = Settings()) -> DataFrame:

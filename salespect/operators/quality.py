@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from salespect.config import Settings
 from salespect.functions.order_stats import quantiles
+from salespect.functions.staging import staged
 from salespect.operators.clean import CRITICAL_COLUMNS
 from salespect.schema import STANDARD_COLUMNS, UNKNOWN
 
@@ -131,8 +132,8 @@ def _read(column: str, found: T.DataType) -> Column:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """The frame with values that Spark cannot group by, maps and the like, as text."""
-    without = ("map<", "variant", "interval")
+    """The frame with values that Spark cannot group by or write, maps and the like, as text."""
+    without = ("map<", "variant", "interval", "void")
     odd = [f.name for f in df.schema if any(word in f.dataType.simpleString() for word in without)]
     return df.withColumns({c: F.col(c).cast("string") for c in odd}) if odd else df
 
@@ -206,27 +207,26 @@ def duplicate_stats(df: DataFrame) -> DataFrame:
     """Complete and key duplicates.
 
     Only the key columns are shuffled for all lines. Equal lines share a key, so
-    whole lines are compared only where a key repeats.
+    whole lines are compared only where a key repeats. Calling this writes the
+    keys that repeat: a few are broadcast, and whole lines stay where they are.
     """
     df = comparable(df)
     keys = line_keys(df)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    repeated = sizes.filter("n > 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
+    sizes = staged(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "repeated_keys")
+    repeated = sizes.select(*[F.col(k).alias(f"_{k}") for k in keys])
     same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    complete = (
-        df.join(repeated, same_key, "left_semi")
-        .groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum(F.col("n") - 1))
-        .scalar()
-    )
     zero = F.lit(0).cast("long")
+    beyond_first = F.coalesce(F.sum(F.col("_n") - 1), zero)
     return (
-        sizes.agg(
-            F.coalesce(F.sum("n"), zero).alias("total_records"),
-            F.coalesce(F.sum(F.col("n") - 1), zero).alias("key_duplicates"),
+        df.join(repeated, same_key, "left_semi")
+        .groupBy(*df.columns)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(beyond_first.alias("complete_duplicates"))
+        .select(
+            df.agg(F.count(F.lit(1))).scalar().alias("total_records"),
+            sizes.agg(beyond_first).scalar().alias("key_duplicates"),
+            "complete_duplicates",
         )
-        .withColumn("complete_duplicates", F.coalesce(complete, zero))
         .withColumns(
             {
                 "complete_dup_rate": _share("complete_duplicates", "total_records"),

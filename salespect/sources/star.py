@@ -29,6 +29,7 @@ STAR_SETTINGS = Settings(
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines, dealt by the invoice number they come with, so that work per invoice needs no further exchange."""
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -48,7 +49,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(countries, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            "o_orderkey",
+            key.cast("string").alias("InvoiceNo"),
             F.when(key % 997 == 0, F.lit("invalid"))
             .otherwise(F.date_format(moment, INVOICE_TIME_FORMAT))
             .alias("InvoiceDate"),
@@ -56,17 +57,18 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Country",
         )
     )
-    part, line = F.col("l_partkey"), F.col("l_linenumber")
+    order, part, line = F.col("InvoiceNo").cast("long"), F.col("l_partkey"), F.col("l_linenumber")
     name = F.upper("p_name")
     variant = (line == 7) & (part % 10 == 1)
-    quantity = F.when(F.col("l_orderkey") % 499 != 0, F.col("l_quantity").cast("int"))
+    quantity = F.when(order % 499 != 0, F.col("l_quantity").cast("int"))
     returned = (F.col("l_returnflag") == "R") & (line == 1)
     return (
         table("lineitem")
-        .join(invoices, F.col("l_orderkey") == F.col("o_orderkey"))
+        .withColumn("InvoiceNo", F.col("l_orderkey").cast("string"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(invoices, "InvoiceNo")
         .select(
-            F.col("l_orderkey").cast("string").alias("InvoiceNo"),
+            "InvoiceNo",
             F.col("l_partkey").cast("string").alias("StockCode"),
             F.when(variant, F.concat(name, F.lit(" SET")))
             .when(part % 20 != 0, name)
