@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
-from salespect.functions.columns import distinct_count, ladder, money_avg, money_sum, rate
+from salespect.functions.columns import ladder, money_avg, money_sum, rate
+from salespect.functions.distinct import grouped
 from salespect.functions.order_stats import quantiles, ranked_values, with_global_rank
 from salespect.functions.staging import staged
 from salespect.schema import UNKNOWN
@@ -20,21 +21,22 @@ def customer_base(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """
     if cfg.exclude_unknown:
         df = df.filter(F.col("customer_id") != UNKNOWN)
-    exact, amount = cfg.exact_distinct, F.col("total_price")
-    totals = df.groupBy("customer_id", "country").agg(
-        distinct_count("invoice_no", exact).alias("total_orders"),
-        distinct_count("product_id", exact).alias("unique_products"),
-        money_sum(amount).alias("total_spent"),
-        F.sum("quantity").alias("total_items"),
-        money_avg(amount).alias("avg_order_value"),
-        F.min("invoice_date").alias("first_order_date"),
-        F.max("invoice_date").alias("last_order_date"),
-        distinct_count("invoice_date", exact).alias("active_days"),
-        F.sum("is_high_value").alias("high_value_orders"),
-        F.stddev_samp(amount).alias("order_value_stddev"),
-        F.max(amount).alias("max_order_value"),
-        F.count_if(F.col("is_weekend") == 1).alias("weekend_orders"),
-    )
+    amount = F.col("total_price")
+    measures = {
+        "total_orders": "invoice_no",
+        "unique_products": "product_id",
+        "total_spent": money_sum(amount),
+        "total_items": F.sum("quantity"),
+        "avg_order_value": money_avg(amount),
+        "first_order_date": F.min("invoice_date"),
+        "last_order_date": F.max("invoice_date"),
+        "active_days": "invoice_date",
+        "high_value_orders": F.sum("is_high_value"),
+        "order_value_stddev": F.stddev_samp(amount),
+        "max_order_value": F.max(amount),
+        "weekend_orders": F.count_if(F.col("is_weekend") == 1),
+    }
+    totals = grouped(df, ("customer_id", "country"), measures, cfg.exact_distinct)
     orders, lifetime = F.col("total_orders"), F.col("customer_lifetime_days")
     spread = F.col("order_value_stddev") / F.col("avg_order_value")
     return totals.withColumn(

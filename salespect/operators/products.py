@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
-from salespect.functions.columns import distinct_count, money_sum, rate
+from salespect.functions.columns import money_sum, rate
+from salespect.functions.distinct import grouped
 from salespect.functions.joins import join_spread
 from salespect.functions.order_stats import quantiles, ranked_values, with_global_rank
 from salespect.functions.staging import staged
@@ -14,21 +15,22 @@ from salespect.functions.staging import staged
 
 def product_base(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Aggregates and rates per (product, description)."""
-    exact, price = cfg.exact_distinct, F.col("unit_price")
-    totals = df.groupBy("product_id", "product_description").agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        distinct_count("invoice_no", exact).alias("order_count"),
-        distinct_count("customer_id", exact).alias("unique_customers"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        money_sum(F.col("total_price")).alias("total_revenue"),
-        F.avg(price).alias("avg_unit_price"),
-        F.stddev_samp(price).alias("price_volatility"),
-        distinct_count("country", exact).alias("countries_sold_to"),
-        F.sum("is_international").alias("international_orders"),
-        F.min(price).alias("min_price"),
-        F.max(price).alias("max_price"),
-        F.avg("quantity").alias("avg_quantity_per_transaction"),
-    )
+    price = F.col("unit_price")
+    measures = {
+        "transaction_count": F.count(F.lit(1)),
+        "order_count": "invoice_no",
+        "unique_customers": "customer_id",
+        "total_quantity_sold": F.sum("quantity"),
+        "total_revenue": money_sum(F.col("total_price")),
+        "avg_unit_price": F.avg(price),
+        "price_volatility": F.stddev_samp(price),
+        "countries_sold_to": "country",
+        "international_orders": F.sum("is_international"),
+        "min_price": F.min(price),
+        "max_price": F.max(price),
+        "avg_quantity_per_transaction": F.avg("quantity"),
+    }
+    totals = grouped(df, ("product_id", "product_description"), measures, cfg.exact_distinct)
     orders, customers = F.col("order_count"), F.col("unique_customers")
     return totals.withColumns(
         {

@@ -92,11 +92,11 @@ class Inputs:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return staged(customers.customer_base(self.enriched, self.cfg), "customers")
+        return staged(customers.customer_base(self.stored, self.cfg), "customers")
 
     @cached_property
     def products(self) -> DataFrame:
-        return staged(products.product_base(self.enriched, self.cfg), "products")
+        return staged(products.product_base(self.stored, self.cfg), "products")
 
 
 def _present(df: DataFrame) -> DataFrame:
@@ -126,6 +126,14 @@ def _country_metrics_flat(i: Inputs) -> DataFrame:
     )
 
 
+def _product_popularity(i: Inputs) -> DataFrame:
+    """Only the base columns are written and meet the counts; the others are derived behind the join."""
+    base = staged(clean.clean_base(i.standard, i.cfg), "base")
+    popular = enrich.from_base(products.with_product_popularity(base), i.cfg)
+    columns = [c for c in popular.columns if c != "product_popularity"]
+    return popular.select(*columns, "product_popularity")
+
+
 def _run_summary(i: Inputs) -> DataFrame:
     checks = quality.run_all_checks(i.stored, i.cfg)
     return reports.run_summary(
@@ -321,13 +329,13 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "product_text_flags": lambda i: enrich.with_text_flags(i.standard, i.cfg),
     "enriched": lambda i: i.enriched,
     "customer_sequence": lambda i: sequence.with_customer_sequence(i.stored),
-    "product_popularity": lambda i: products.with_product_popularity(i.stored),
+    "product_popularity": _product_popularity,
     "retention_table": _retained_table,
     "quarantine": _quarantine,
     "run_history": _run_history,
     "retention": lambda i: reports.retain_days(i.enriched, 365, F.lit(i.cfg.as_of)),
     # customers
-    "customer_metrics": lambda i: customers.customer_metrics(i.enriched, i.cfg),
+    "customer_metrics": lambda i: customers.customer_metrics(i.stored, i.cfg),
     "customer_segments": lambda i: customers.segment_customers(i.customers, i.cfg).select(
         *("customer_id", "country", "value_segment", "frequency_segment", "customer_segment")
     ),
@@ -342,7 +350,7 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "classify_customer_value": _classified,
     # products
-    "product_metrics": lambda i: products.product_metrics(i.enriched, i.cfg),
+    "product_metrics": lambda i: products.product_metrics(i.stored, i.cfg),
     "product_category": lambda i: products.categorize_products(i.products, i.cfg).select(
         *("product_id", "product_description", "product_category")
     ),
@@ -350,7 +358,7 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
         *("product_id", "product_description", "revenue_rank"),
         *("popularity_rank", "revenue_percentile"),
     ),
-    "top_products": lambda i: reports.top_products(products.product_base(i.enriched, i.cfg)),
+    "top_products": lambda i: reports.top_products(products.product_base(i.stored, i.cfg)),
     # time series
     "daily_totals": lambda i: daily.daily_totals(i.enriched, i.cfg),
     "daily_metrics": lambda i: daily.daily_metrics(i.enriched, i.cfg),
