@@ -52,16 +52,18 @@ def top_products_array(df: DataFrame, k: int = 3) -> DataFrame:
     return _as_array(top_products_by_country(df, k), k)
 
 
-# What the levels of country_levels are keyed by, besides the country.
+# What the levels of country_levels are keyed by, besides the country; the last level is the country alone.
 LEVELS = ("product_id", "customer_id", "invoice_no")
+WHOLE = len(LEVELS)
 
 
 def country_levels(df: DataFrame) -> DataFrame:
-    """Sums per (country, product), (country, customer) and (country, invoice), from one pass over the lines.
+    """Rows per (country, product), (country, customer), (country, invoice) and country, from one pass over the lines.
 
     `level` is the column that a row is keyed by, `key` its value. Every country
-    metric follows from these rows: sums from any one level, distinct counts
-    from the number of rows of a level, the best products from the first.
+    metric follows from these rows: distinct counts from the number of rows of a
+    level, the best products from the first, sums from the last, whose few rows
+    alone carry them all; the others hold nothing but the products' revenue.
     Squares are summed in whole cents too, so deviations do not depend on order.
     """
     line = cents(F.col("total_price"))
@@ -74,24 +76,25 @@ def country_levels(df: DataFrame) -> DataFrame:
         (F.col("is_high_value") == 1).alias("_high"),
         (F.col("order_size") == "Bulk").alias("_bulk"),
     )
-    # Sums are needed once: on the lines of the product level.
-    def first(value):
-        return F.when(F.col("level") == 0, value)
+    def whole(value):
+        return F.when(F.col("level") == WHOLE, value)
 
-    keys = F.posexplode(F.array(*[F.col(c).cast("string") for c in LEVELS])).alias("level", "key")
+    names = [*[F.col(c).cast("string") for c in LEVELS], F.lit(None).cast("string")]
+    keys = F.posexplode(F.array(*names)).alias("level", "key")
+    sold = (F.col("level") == 0) | (F.col("level") == WHOLE)
     square = F.col("_cents").cast("decimal(19,0)") * F.col("_cents").cast("decimal(19,0)")
     return (
         base.select("*", keys)
         .groupBy("country", "level", "key")
         .agg(
-            F.sum(first(F.col("_cents"))).alias("_cents"),
-            F.sum(first(square)).alias("_squares"),
-            F.count(first(F.col("_cents"))).alias("_lines"),
-            F.sum(first(F.col("quantity"))).alias("total_items"),
-            F.min(first(F.col("invoice_date"))).alias("first_order_date"),
-            F.max(first(F.col("invoice_date"))).alias("last_order_date"),
-            F.count_if(first(F.col("_high"))).alias("high_value_orders"),
-            F.count_if(first(F.col("_bulk"))).alias("bulk_orders"),
+            F.sum(F.when(sold, F.col("_cents"))).alias("_cents"),
+            F.sum(whole(square)).alias("_squares"),
+            F.count(whole(F.col("_cents"))).alias("_lines"),
+            F.sum(whole(F.col("quantity"))).alias("total_items"),
+            F.min(whole(F.col("invoice_date"))).alias("first_order_date"),
+            F.max(whole(F.col("invoice_date"))).alias("last_order_date"),
+            F.count_if(whole(F.col("_high"))).alias("high_value_orders"),
+            F.count_if(whole(F.col("_bulk"))).alias("bulk_orders"),
         )
     )
 
@@ -122,7 +125,7 @@ def _totals(levels: DataFrame, cfg: Settings) -> DataFrame:
         distinct("invoice_no").alias("total_orders"),
         distinct("customer_id").alias("unique_customers"),
         distinct("product_id").alias("unique_products"),
-        F.sum("_cents").alias("_cents"),
+        F.sum(F.when(F.col("level") == WHOLE, F.col("_cents"))).alias("_cents"),
         F.sum("_squares").alias("_squares"),
         F.sum("_lines").alias("_lines"),
         F.sum("total_items").alias("total_items"),
@@ -133,7 +136,7 @@ def _totals(levels: DataFrame, cfg: Settings) -> DataFrame:
     )
     # Distinct customers do not add up over countries; their rows are few beside the lines.
     customers = levels.filter(_level("customer_id")).agg(distinct_count("key", cfg.exact_distinct)).scalar()
-    revenue = levels.agg(F.sum("_cents") / 100).scalar()
+    revenue = levels.filter(F.col("level") == WHOLE).agg(F.sum("_cents") / 100).scalar()
     # Squares about a whole number next to the mean, in whole numbers: nothing cancels out.
     middle, lines = F.expr("_cents div _lines").cast("decimal(19,0)"), F.col("_lines").cast("decimal(19,0)")
     about = F.col("_squares") - middle * F.col("_cents") * 2 + middle * middle * lines
