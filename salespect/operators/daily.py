@@ -9,12 +9,12 @@ from salespect.config import Settings
 from salespect.functions.columns import (
     cents,
     day_name,
-    distinct_count,
     flag,
     money_avg,
     money_sum,
     rate,
 )
+from salespect.functions.distinct import grouped
 from salespect.schema import UNKNOWN
 
 
@@ -28,20 +28,21 @@ def _by_day():
 
 
 def daily_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
-    exact, amount = cfg.exact_distinct, F.col("total_price")
-    totals = df.groupBy("invoice_date").agg(
-        distinct_count("invoice_no", exact).alias("total_orders"),
-        distinct_count("customer_id", exact).alias("unique_customers"),
-        distinct_count("product_id", exact).alias("unique_products_sold"),
-        money_sum(amount).alias("total_revenue"),
-        money_avg(amount).alias("avg_order_value"),
-        F.max(amount).alias("max_order_value"),
-        F.stddev_samp(amount).alias("revenue_stddev"),
-        F.sum("quantity").alias("total_items_sold"),
-        F.sum("is_international").alias("international_orders"),
-        F.count_if(F.col("is_high_value") == 1).alias("high_value_orders"),
-        F.count_if(F.col("customer_id") != UNKNOWN).alias("identified_orders"),
-    )
+    amount = F.col("total_price")
+    measures = {
+        "total_orders": "invoice_no",
+        "unique_customers": "customer_id",
+        "unique_products_sold": "product_id",
+        "total_revenue": money_sum(amount),
+        "avg_order_value": money_avg(amount),
+        "max_order_value": F.max(amount),
+        "revenue_stddev": F.stddev_samp(amount),
+        "total_items_sold": F.sum("quantity"),
+        "international_orders": F.sum("is_international"),
+        "high_value_orders": F.count_if(F.col("is_high_value") == 1),
+        "identified_orders": F.count_if(F.col("customer_id") != UNKNOWN),
+    }
+    totals = grouped(df, ("invoice_date",), measures, cfg.exact_distinct)
     day, orders = F.col("invoice_date"), F.col("total_orders")
     return totals.withColumns(
         {

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salespect.config import Settings
-from salespect.functions.columns import cents, day_name, distinct_count, flag
+from salespect.functions.columns import cents, day_name, flag
+from salespect.functions.distinct import grouped
 
 
 def _all_cells():
@@ -16,17 +17,18 @@ def _all_cells():
 
 def hourly_totals(df: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Aggregates, shares and rates per (hour, weekday); grand totals are sums of these rows."""
-    exact, amount = cfg.exact_distinct, F.col("total_price")
-    cells = df.groupBy("hour", "day_of_week").agg(
-        F.count(F.lit(1)).alias("transaction_count"),
-        F.sum(cents(amount)).alias("_cents"),
-        distinct_count("customer_id", exact).alias("unique_customers"),
-        distinct_count("product_id", exact).alias("unique_products"),
-        F.sum("quantity").alias("total_items"),
-        F.stddev_samp(amount).alias("revenue_stddev"),
-        F.count_if(F.col("is_high_value") == 1).alias("high_value_transactions"),
-        F.count_if(F.col("is_international") == 1).alias("international_transactions"),
-    )
+    amount = F.col("total_price")
+    measures = {
+        "transaction_count": F.count(F.lit(1)),
+        "_cents": F.sum(cents(amount)),
+        "unique_customers": "customer_id",
+        "unique_products": "product_id",
+        "total_items": F.sum("quantity"),
+        "revenue_stddev": F.stddev_samp(amount),
+        "high_value_transactions": F.count_if(F.col("is_high_value") == 1),
+        "international_transactions": F.count_if(F.col("is_international") == 1),
+    }
+    cells = grouped(df, ("hour", "day_of_week"), measures, cfg.exact_distinct)
     count, hour = F.col("transaction_count"), F.col("hour")
     # Periods of the day.
     period = (

@@ -360,15 +360,15 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "top_products": lambda i: reports.top_products(products.product_base(i.stored, i.cfg)),
     # time series
-    "daily_totals": lambda i: daily.daily_totals(i.enriched, i.cfg),
-    "daily_metrics": lambda i: daily.daily_metrics(i.enriched, i.cfg),
+    "daily_totals": lambda i: daily.daily_totals(i.stored, i.cfg),
+    "daily_metrics": lambda i: daily.daily_metrics(i.stored, i.cfg),
     "daily_moving_avg": lambda i: daily.with_moving_averages(
-        daily.daily_totals(i.enriched, i.cfg)
+        daily.daily_totals(i.stored, i.cfg)
     ).select(
         *("invoice_date", "revenue_ma7", "revenue_ma30"),
         *("orders_ma7", "orders_ma30", "customers_ma7"),
     ),
-    "daily_growth": lambda i: daily.with_growth(daily.daily_totals(i.enriched, i.cfg)).select(
+    "daily_growth": lambda i: daily.with_growth(daily.daily_totals(i.stored, i.cfg)).select(
         *("invoice_date", "revenue_yesterday", "daily_growth"),
         *("orders_yesterday", "order_growth"),
     ),
@@ -380,8 +380,8 @@ _STEPS: dict[str, Callable[[Inputs], DataFrame]] = {
     "country_top_products": lambda i: countries.top_products_by_country(i.enriched),
     "grand_totals": lambda i: countries.grand_totals(i.enriched, i.cfg),
     # hours
-    "hourly_patterns": lambda i: hourly.hourly_patterns(i.enriched, i.cfg),
-    "peak_hours": lambda i: hourly.with_peak_hours(hourly.hourly_totals(i.enriched, i.cfg)).select(
+    "hourly_patterns": lambda i: hourly.hourly_patterns(i.stored, i.cfg),
+    "peak_hours": lambda i: hourly.with_peak_hours(hourly.hourly_totals(i.stored, i.cfg)).select(
         "hour", "day_of_week", "transaction_count", "is_peak_hour"
     ),
     "quantiles": _quantiles,

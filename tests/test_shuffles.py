@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from salespect.functions import staging
 from salespect.functions.distinct import grouped
 from salespect.functions.staging import staged
-from salespect.operators import countries
+from salespect.operators import countries, daily, hourly
 from salespect.operators import quality as q
 from salespect.plans import queries
 from salespect.sources.star import raw_transactions
@@ -107,3 +107,8 @@ def test_writes_side_by_side_leave_the_session_as_it_was(spark):
     assert spark.conf.get(staging.CLEANUP) == "true"
     second.__exit__(None, None, None)
     assert spark.conf.get(staging.CLEANUP, None) == before
+
+
+def test_days_and_hours_expand_no_line(sample):
+    lines = staged(sample, "lines")
+    assert "Expand" not in plan(daily.daily_totals(lines)) + plan(hourly.hourly_totals(lines))
