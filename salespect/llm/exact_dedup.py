@@ -22,12 +22,15 @@ from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged, staging_path
 
+PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_STORE = "spark.sql.streaming.stateStore"
 STATE_SETTINGS = {
     f"{STATE_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Logs sized in advance take some megabytes per partition, whatever it holds.
     f"{STATE_STORE}.rocksdb.allowFAllocate": "false",
     f"{STATE_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+    # A partition's store is closed with its task: open ones take memory outside the heap until a clean-up a minute later.
+    f"{STATE_STORE}.unloadOnCommit": "true",
 }
 BATCH_BYTES = 1 << 40  # of files in one trigger of the stream
 PIECE_BYTES = 256 << 20  # of copies that one task compares with their text
@@ -56,6 +59,7 @@ def remember(spark: SparkSession, path: str, state: str, id_col: str = "doc_id",
     session = spark.newSession()
     for key, value in STATE_SETTINGS.items():
         session.conf.set(key, value)
+    session.conf.set(PARTITIONS, spark.conf.get(PARTITIONS))
     stream = session.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", str(batch_bytes)).parquet(_pattern(path))
     rows = _columns(stream, id_col, text_col, digest)
     keep = F.struct("id", "file", "row", F.octet_length("text").alias("bytes"))

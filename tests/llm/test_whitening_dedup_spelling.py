@@ -147,6 +147,21 @@ def test_exact_duplicates_run_without_python_workers(spark, tmp_path):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def open_stores(spark):
+    stores = spark._jvm.java.lang.Class.forName("org.apache.spark.sql.execution.streaming.state.StateStore$")
+    field = stores.getDeclaredField("loadedProviders")
+    field.setAccessible(True)
+    return set(field.get(stores.getField("MODULE$").get(None)).keys().mkString("\n").split("\n"))
+
+
+def test_exact_duplicates_leave_no_state_store_open(spark, tmp_path):
+    """A store per partition is closed with its task: many partitions take no memory together."""
+    before, state = open_stores(spark), f"{tmp_path}/state"
+    exact_dedup.remember(spark, folder_of(spark, f"{tmp_path}/documents.parquet", TEXTS), state)
+    assert open_stores(spark) <= before
+    assert len(list(Path(state).glob("state/0/[0-9]*"))) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # --- spelling variants ------------------------------------------------------
 
 TEXT_ROWS = "doc_id long, text string, word string, n int, form string"
