@@ -40,7 +40,7 @@ from salespect.llm.words import Alphabet, free_name, mix, shingle_set, text_slic
 COUNT_BITS = 20  # the table of shingle counts: 2**20 cells, 4 MB whatever the corpus
 _COUNT_BLOCKS = 64
 _SEEN_LIMIT = 200_000
-_FLUSH_ENTRIES = 1_000_000
+_FLUSH_ENTRIES = 1 << 18
 _BINS = 64
 _BITS = 1024  # of the parity bitmap of a set
 _PARITY = [f"p{n}" for n in range(_BITS // 64)]

@@ -392,6 +392,19 @@ def test_encoder_equals_the_library(monkeypatch):
         assert max(map(len, encoder.kept), default=0) <= tokens.LONGEST_KEPT and encoder.held < limit + (16 << 20)
 
 
+def test_prefix_entries_leave_a_task_in_small_blocks():
+    """What a task holds of prefix entries (33 bytes each, and their sorting) is a quarter of a million, whatever its rows."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    texts = pa.array([" ".join(f"{n}x{k}" for k in range(2000)) for n in range(1300)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    counts = SimpleNamespace(value=np.ones(1 << jaccard_join.COUNT_BITS, np.uint32))
+    rounds = [sum(map(len, b.column(1).to_pylist())) // jaccard_join.ENTRY.itemsize for b in jaccard_join._prefixes([batch], counts, 5, 75, 8)]
+    assert max(rounds) < 300_000 and sum(rounds) == 1300 * jaccard_join.prefix_length(1996, 75)
+
+
 def ids_of_cached(encoder, text):
     return encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
