@@ -2,8 +2,8 @@
 
 A byte-level tokenizer without normalizer first cuts a text into words, numbers,
 signs and white space, and merges only within those. Texts of well-known
-characters are cut in the same way here, and each distinct piece is merged once
-by the library's model and kept. Other texts are cut only before a blank or
+characters are cut in the same way here, many at once by classes of their bytes,
+and each distinct piece is merged once by the library's model and kept. Other texts are cut only before a blank or
 line feed that follows a character which is no white space in any view, into
 stretches of some kilobytes that are encoded and not kept. A tokenizer that cuts
 otherwise gets whole texts.
@@ -17,7 +17,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable, Iterator
+import struct
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +26,24 @@ import pyarrow as pa
 GENERATION_BYTES = 48 << 20
 ENTRY_BYTES = 220  # of a kept piece besides its characters and ids
 LONGEST_KEPT = 128
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
 STRETCH = 16 << 10
 
 # Characters whose class (letter, number, space, sign) is the same in all versions of Unicode.
 _KNOWN = re.compile("[\t\n\r -~\u00a0-\u024f\u2010-\u2027\u20ac]*")
 _LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _NUMBER = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
-# Fixed value: the cuts of byte-level tokenizers, with their classes spelled out.
-_PIECE = re.compile(
-    rf" ?[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
-)
+_SPACE, _LETTERS, _NUMBERS, _SIGNS = range(4)
+# Class of each character up to the last known one.
+_CLASS = np.full(0x20AD, _SIGNS, np.uint8)
+for _kind, _said in ((_SPACE, "\\s"), (_LETTERS, _LETTER), (_NUMBERS, _NUMBER)):
+    _CLASS[[c for c in range(len(_CLASS)) if re.match(f"[{_said}]", chr(c))]] = _kind
 # Byte-level vocabularies write a byte that is no visible character as the next one from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_SHOWN = {byte: chr(256 + n) for n, byte in enumerate(b for b in range(256) if b not in _VISIBLE)}
+_SHOWN = np.arange(256, dtype="<u4")
+_SHOWN[[b for b in range(256) if b not in _VISIBLE]] = 256 + np.arange(256 - len(_VISIBLE))
+_SHOWN[0] = ord(" ")  # between pieces; no known text has a zero byte, and a blank is written otherwise
+_PACK = struct.Struct("<I")
 _SURE = "[!-~\u00a1-\u024f]"  # no white space, whoever asks
 _BOUNDARY = re.compile(f"(?<={_SURE})(?=[ \n])")
 
@@ -75,39 +80,97 @@ class Encoder:
             start = cut.start()
         return b"".join((*out, self._plain(text[start:])))
 
-    def _keep(self, piece: str, ids: bytes) -> None:
-        self.kept[piece] = ids
-        self.held += len(piece) + len(ids) + ENTRY_BYTES
-
-    def _learn(self, pieces: Iterable[str]) -> None:
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
         """A piece is merged by the library's model, without cutting it again."""
-        for piece in pieces:
-            if (ids := self.old.get(piece)) is None:
-                shown = piece.encode().decode("latin-1").translate(_SHOWN)
-                ids = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(shown)])
-            self._keep(piece, ids)
+        out = list(map(self.old.get, pieces))
+        new = [n for n, known in enumerate(out) if known is None]
+        shown = _SHOWN[np.frombuffer(b"\0".join([pieces[n] for n in new]), np.uint8)].tobytes().decode("utf-32-le").split(" ")
+        merge, pack = self.model.tokenize, _PACK.pack
+        for n, word in zip(new, shown):
+            tokens = merge(word)
+            out[n] = pack(tokens[0].id) if len(tokens) == 1 else b"".join([pack(token.id) for token in tokens])
+        self.kept.update(zip(pieces, out))
+        self.held += sum(map(len, pieces)) + sum(map(len, out)) + ENTRY_BYTES * len(pieces)
+        return out
+
+    def _merged(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts of known characters: each distinct piece is looked up once."""
+        sizes = np.array([len(text) for text in texts], np.int64)
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        starts = cuts(data, ends - sizes)
+        offsets = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets, pa.py_buffer(data)]).dictionary_encode()
+        used = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.kept.get, used))
+        new = [n for n, known in enumerate(ids) if known is None]
+        for n, learnt in zip(new, self._learn([used[n] for n in new]), strict=True):
+            ids[n] = learnt
+            if len(used[n]) > LONGEST_KEPT:
+                self.held -= len(used[n]) + len(self.kept.pop(used[n])) + ENTRY_BYTES
+        count = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        which = pieces.indices.to_numpy()
+        often = count[which]
+        last = np.cumsum(often, dtype=np.int64)
+        at = np.repeat((np.cumsum(count) - count)[which] - (last - often), often)
+        at += np.arange(len(at))
+        flat = np.frombuffer(b"".join(ids), "<u4")[at].tobytes()
+        until = 4 * np.append(0, last)[np.searchsorted(starts, ends)]
+        return [flat[x:y] for x, y in zip([0, *until[:-1]], until, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        for text in texts:
-            whole = not self.cuts or (self.special and self.special.search(text)) or not _KNOWN.fullmatch(text)
-            cut.append(None if whole else _PIECE.findall(text))
-        used = set().union(*(pieces for pieces in cut if pieces is not None))
-        self._learn(used - self.kept.keys())
-        of = self.kept.__getitem__
-        out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            if pieces is not None:
-                out.append(b"".join(map(of, pieces)))
-            else:
-                out.append(self._stretches(text) if self.cuts else self._plain(text))
-        for piece in [piece for piece in used if len(piece) > LONGEST_KEPT]:
-            self.held -= len(piece) + len(self.kept.pop(piece)) + ENTRY_BYTES
+        plain = [bool(self.cuts and not (self.special and self.special.search(text)) and _KNOWN.fullmatch(text)) for text in texts]
+        merged = iter(self._merged([text.encode() for text, cut in zip(texts, plain, strict=True) if cut]) if any(plain) else ())
+        out = [next(merged) if cut else self._stretches(text) if self.cuts else self._plain(text) for text, cut in zip(texts, plain, strict=True)]
         if self.held > GENERATION_BYTES:
             self.old, self.kept, self.held = self.kept, {}, 0
         return out
 
 
+def _classes(data: np.ndarray) -> np.ndarray:
+    """Class of the character that each byte belongs to, in UTF-8 of known characters."""
+    out = _CLASS[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    two, three = lead[data[lead] < 0xE0], lead[data[lead] >= 0xE0]
+    low = data & 0x3F
+    out[two] = out[two + 1] = _CLASS[(data[two] & 0x1F).astype(np.int32) << 6 | low[two + 1]]
+    out[three] = out[three + 1] = out[three + 2] = _CLASS[(data[three] & 0x0F).astype(np.int32) << 12 | low[three + 1].astype(np.int32) << 6 | low[three + 2]]
+    return out
+
+
+def cuts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where pieces begin in texts of known characters, whose first bytes are given; the tokenizer's own pattern is
+
+    's|'t|'re|'ve|'m|'ll|'d| ?[letters]+| ?[numbers]+| ?[signs]+|\\s+(?!\\S)|\\s+
+    """
+    size = len(data)
+    kind = _classes(data)
+    edge = np.zeros(size + 4, bool)  # a text begins, or all end
+    edge[texts] = True
+    edge[size:] = True
+    mark = edge[:size].copy()
+    mark[1:] |= kind[1:] != kind[:-1]
+    run = np.flatnonzero(mark)
+    # The last of some white space before another character: a blank joins it, any other is a piece.
+    after = run[(run > 0) & ~edge[run]]
+    after = after[kind[after - 1] == _SPACE]
+    mark[after] = data[after - 1] != 0x20
+    mark[after - np.where(data[after - 1] < 0x80, 1, 2)] = True
+    # An apostrophe that begins a piece takes its ending along.
+    quote = np.flatnonzero(data == 0x27)
+    quote = quote[mark[quote]]
+    tail = np.append(data, np.zeros(3, np.uint8))
+    first, second = tail[quote + 1], tail[quote + 2]
+    one = np.isin(first, list(b"stmd"))
+    both = ((second == ord("e")) & ((first == ord("r")) | (first == ord("v")))) | ((first == ord("l")) & (second == ord("l")))
+    taken = np.where(edge[quote + 1], 0, np.where(one, 1, np.where(both & ~edge[quote + 2], 2, 0)))
+    quote, taken = quote[taken > 0], taken[taken > 0]
+    mark[quote + 1] = False
+    mark = np.append(mark, np.zeros(1, bool))
+    mark[quote + 1 + taken] = True
+    return np.flatnonzero(mark[:size])
+
+
 def balanced(column: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows of about limit bytes (one row if it is longer), as (first row, texts); null is empty."""
     column = column.fill_null("") if column.null_count else column

@@ -15,7 +15,7 @@ the smallest value marks null) and their lengths (u64).
 from __future__ import annotations
 
 import struct
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,22 +37,28 @@ class WaveletMatrix:
 
     def __init__(self, planes: np.ndarray, zeros: np.ndarray, size: int) -> None:
         self.planes, self.zeros, self.size, self.bits = planes, zeros.astype(np.int64), size, len(planes)
-        blocks = size // BLOCK + 1
-        self._before = np.zeros((self.bits, blocks + 1), np.int64)
+
+    @cached_property
+    def _before(self) -> np.ndarray:
+        """Rank directory: ones of each plane before each block. Writing and reading whole sequences need none."""
+        blocks = self.size // BLOCK + 1
+        out = np.zeros((self.bits, blocks + 1), np.int64)
         for level in range(self.bits):
-            ones = np.add.reduceat(np.append(planes[level], 0).astype(np.int64), np.minimum(np.arange(blocks) * BLOCK, size))
-            self._before[level, 1:] = np.cumsum(ones)
+            ones = np.add.reduceat(np.append(self.planes[level], 0).astype(np.int64), np.minimum(np.arange(blocks) * BLOCK, self.size))
+            out[level, 1:] = np.cumsum(ones)
+        return out
 
     @classmethod
     def build(cls, ids: np.ndarray) -> WaveletMatrix:
         ids = np.asarray(ids, np.uint32)
         bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         planes, zeros = np.zeros((bits, len(ids)), np.uint8), np.zeros(bits, np.int64)
+        ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits):
-            bit = (ids >> np.uint32(bits - 1 - level)) & np.uint32(1)
+            bit = (ids & ids.dtype.type(1 << (bits - 1 - level))).astype(bool)
             planes[level] = bit
-            zeros[level] = len(ids) - int(bit.sum())
-            ids = np.concatenate((ids[bit == 0], ids[bit == 1]))
+            zeros[level] = len(ids) - np.count_nonzero(bit)
+            ids = np.concatenate((ids[~bit], ids[bit]))
         return cls(planes, zeros, len(planes[0]))
 
     def _rank1(self, level: int, at: int) -> int:
@@ -107,14 +113,14 @@ class WaveletMatrix:
 
     def all(self) -> np.ndarray:
         """The whole sequence: each level's stable partition undone, from the lowest plane up."""
-        out = np.zeros(self.size, np.uint32)
+        out = np.zeros(self.size, np.uint16 if self.bits <= 16 else np.uint32)
         for level in reversed(range(self.bits)):
             one = self.planes[level].astype(bool)
             back = np.empty_like(out)
             zeros = int(self.zeros[level])
-            back[~one], back[one] = out[:zeros], out[zeros:] | np.uint32(1 << (self.bits - 1 - level))
+            back[~one], back[one] = out[:zeros], out[zeros:] | out.dtype.type(1 << (self.bits - 1 - level))
             out = back
-        return out
+        return out.astype(np.uint32)
 
     def dump(self) -> bytes:
         planes = zstandard.ZstdCompressor(level=3).compress(np.packbits(self.planes, axis=1).tobytes())

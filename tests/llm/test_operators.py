@@ -392,6 +392,33 @@ def test_encoder_equals_the_library(monkeypatch):
         assert max(map(len, encoder.kept), default=0) <= tokens.LONGEST_KEPT and encoder.held < limit + (16 << 20)
 
 
+def test_cuts_equal_the_tokenizers_pattern():
+    """Cuts of many texts at once by classes of bytes, also where one text ends in what another would go on with."""
+    import re
+
+    from salespect.llm import tokens
+
+    letter, number = tokens._LETTER, tokens._NUMBER
+    pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
+    rng = random.Random(11)
+    signs = [*"ab Z9 \n\t\r'''sdmtlvre.,-é½×’…€ ɏ­", "'s", "'re", "'ll", "  ", " '", "12"]
+    for size in (3, 8, 40):
+        texts = ["".join(rng.choices(signs, k=rng.randint(0, size))) for _ in range(4000)]
+        blobs = [t.encode() for t in texts]
+        ends = np.cumsum([len(b) for b in blobs])
+        data = np.frombuffer(b"".join(blobs), np.uint8)
+        first = np.append(0, ends[:-1])
+        at = tokens.cuts(data, first[first < len(data)]).tolist()
+        found = [data[x:y].tobytes().decode() for x, y in zip(at, [*at[1:], len(data)], strict=True)]
+        assert found == [piece for text in texts for piece in pattern.findall(text)]
+
+
+def test_whole_sequences_need_no_rank_directory():
+    matrix, _, _ = wavelet.load_shard(wavelet.dump_shard(np.arange(70_000) % 66_000, [1], [70_000]))
+    assert matrix.all().tolist() == [n % 66_000 for n in range(70_000)]
+    assert "_before" not in vars(matrix) and matrix.access(65_999) == 65_999 and matrix.rank(3, 70_000) == 2
+
+
 def test_prefix_entries_leave_a_task_in_small_blocks():
     """What a task holds of prefix entries (33 bytes each, and their sorting) is a quarter of a million, whatever its rows."""
     from types import SimpleNamespace
