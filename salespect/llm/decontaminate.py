@@ -12,13 +12,14 @@ marked is its coverage, whatever the order of the passages in the text.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salespect.llm.batches import tidy
 from salespect.llm.words import Alphabet, Runs, free_name, grams, words
 
 MIN_MATCH = 5
@@ -86,6 +87,7 @@ def _item_words(texts: list[str | None], alphabet: Alphabet) -> list[np.ndarray]
     return [p.hashes[a:b] for p in words(pa.array(texts, pa.string()), alphabet) for a, b in zip(p.first[:-1], p.first[1:], strict=True)]
 
 
+@tidy
 def _leaks(batches, block, shortest: int, coverage: float):
     alphabet = Alphabet(SEPARATORS)
     ids, texts = block.value
@@ -151,11 +153,10 @@ def benchmark_leaks(
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), row_key(id_col, text_col).alias("row_key")).where("text is not null")
     schema = "id long, row_key string, item_id long, marked long, item_words long"
-    out = spark.createDataFrame([], schema)
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(block)
-        out = out.unionByName(rows.mapInArrow(partial(_leaks, block=shared, shortest=shortest, coverage=coverage), schema))
-    return out.select(F.col("id").alias(id_col), "item_id", "marked", "item_words", "row_key")
+    shared = [spark.sparkContext.broadcast(block) for block in _blocks(benchmark, item_col, item_text_col, block_bytes)]
+    parts = [rows.mapInArrow(partial(_leaks, block=block, shortest=shortest, coverage=coverage), schema) for block in shared]
+    none = spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, schema.split(", "))))
+    return reduce(DataFrame.unionByName, parts or [none]).select(F.col("id").alias(id_col), "item_id", "marked", "item_words", "row_key")
 
 
 def row_key(id_col: str = "doc_id", text_col: str = "text"):

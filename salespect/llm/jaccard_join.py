@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespect.functions.staging import release, staged
+from salespect.llm.batches import tidy
 from salespect.llm.components import connected_components
 from salespect.llm.words import Alphabet, free_name, mix, shingle_set, text_slices, words
 
@@ -82,6 +83,7 @@ def parity_bitmap(shingles: np.ndarray) -> np.ndarray:
 SIGNATURE = ["kind", "id", "size", "key", "other", "counts", *_PARITY]
 
 
+@tidy
 def _signatures(batches, size: int):
     """Rows of kind 0: id, set size, two keys and the bitmap of the set. Rows of kind 1: blocks of the count table."""
     alphabet = Alphabet()
@@ -141,6 +143,7 @@ def in_order(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 ENTRY = np.dtype([("shingle", "<i8"), ("key", "<i8"), ("size", "<i4"), ("place", "<i4"), ("heavy", "?")])
 
 
+@tidy
 def _prefixes(batches, counts, size: int, percent: int, blocks: int):
     """Packed blocks of prefix entries: shingle, key of the set, its size, place in the order."""
     alphabet, counts = Alphabet(), counts.value
@@ -192,6 +195,7 @@ def _shared(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({name: entries[name][keep] for name in ENTRY.names if name != "heavy"})
 
 
+@tidy
 def _keyed_sets(batches, size: int):
     alphabet = Alphabet()
     for batch in batches:
@@ -228,6 +232,7 @@ def _differing(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.abs(np.diff(inner, prepend=0, append=len(x) - len(y))).sum())
 
 
+@tidy
 def _measured(batches, percent: int):
     """Suffix filter, then the exact overlap, of each pair of sets; union 0 where the filter ends it."""
     for batch in batches:
@@ -328,6 +333,7 @@ def jaccard_components(
         .applyInPandas(_shared, "shingle long, key long, size int, place int")
     )
     entries = staged(entries, "prefixes")
+    counts.unpersist()
 
     first = entries.groupBy("shingle").agg(F.min("key").alias("pivot"), F.min(F.struct("key", "size", "place")).alias("p"), F.max("key").alias("q"))
     first = first.where("pivot <> q").select("shingle", "pivot", F.col("p.size").alias("pivot_size"), F.col("p.place").alias("pivot_place"))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged
+from salespect.llm.batches import tidy
 from salespect.llm.tokens import Encoder, balanced
 
 PARTNERS = 64  # the most frequent lengths tried as the middle one of three
@@ -111,6 +112,7 @@ def pack_histogram(histogram: np.ndarray) -> tuple[Plan, list[tuple[tuple[int, .
     return Plan(*(np.array(x, np.int64) for x in zip(*runs, strict=True))) if runs else Plan(*np.zeros((4, 0), np.int64)), chosen
 
 
+@tidy
 def _pieces(batches, path: str, end_id: int, window: int):
     from pyspark import TaskContext
 
@@ -144,6 +146,7 @@ def _digests(ids: pa.ListArray) -> pa.Array:
     return pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.int64())
 
 
+@tidy
 def _placed(batches, plan, digests: bool):
     runs: Plan = plan.value
     keys = np.empty(len(runs.length), [("length", "<i8"), ("rank", "<i8")])

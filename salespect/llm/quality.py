@@ -22,13 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salespect.llm.batches import texts as text_runs
+from salespect.llm.batches import tidy
+
 SAMPLE = 10_000
 FEATURES = 2048
 CUTOFF = 0.5
 PRIOR_GOOD = 0.8
 GENERATION = 100_000  # words in each of the two generations whose shapes are kept
 LONGEST_KEPT = 64
-ROWS = 512  # texts taken from a batch at once
 HEURISTICS = ("symbols", "endings", "capitals", "repeats", "top_word", "length", "bars")
 _PLAIN_END = frozenset(".,;:?!'\")]}»”’…-")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -68,12 +70,6 @@ def _shape(word: str) -> str:
     return word[:8] + word[-8:] if len(word) > 16 else word
 
 
-def _texts(column: pa.Array):
-    """The texts of a column, ROWS at a time, so that few are held as Python strings."""
-    for at in range(0, len(column), ROWS):
-        yield column.slice(at, ROWS).to_pylist()
-
-
 class Shapes:
     """Hashed shapes of words, their pairs and repetitions, as shares of a text's words."""
 
@@ -171,14 +167,16 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
+@tidy
 def _patterns(batches):
     counted: Counter = Counter()
     for batch in batches:
-        for texts in _texts(batch.column(0)):
+        for texts in text_runs(batch.column(0)):
             counted.update(bytes(v + 1 for v in votes(text)) for text in texts)
     yield pa.RecordBatch.from_arrays([pa.array(list(counted), pa.binary()), pa.array(list(counted.values()), pa.int64())], ["pattern", "n"])
 
 
+@tidy
 def _featured(frames):
     shapes = Shapes()
     for frame in frames:
@@ -213,11 +211,12 @@ def _score(shapes: Shapes, weights: np.ndarray, text: str | None) -> float:
     return float(1 / (1 + np.exp(-np.clip(weights[cells] @ shares, -50, 50))))
 
 
+@tidy
 def _scored(batches, model: Model):
     shapes = Shapes()
     for batch in batches:
-        cast = np.array([votes(t) for part in _texts(batch.column(1)) for t in part], np.int64).reshape(-1, len(HEURISTICS))
-        scores = [_score(shapes, model.weights, t) for part in _texts(batch.column(1)) for t in part]
+        cast = np.array([votes(t) for part in text_runs(batch.column(1)) for t in part], np.int64).reshape(-1, len(HEURISTICS))
+        scores = [_score(shapes, model.weights, t) for part in text_runs(batch.column(1)) for t in part]
         counts = [pa.array((cast > 0).sum(axis=1)), pa.array((cast < 0).sum(axis=1))]
         columns = [batch.column(0), pa.array(model.votes.posterior(cast)), pa.array(scores, pa.float64()), *counts]
         yield pa.RecordBatch.from_arrays(columns, ["id", "weak_good", "score", "good_votes", "bad_votes"])
@@ -234,10 +233,11 @@ def score_quality(docs: DataFrame, model: Model, cutoff: float = CUTOFF, id_col:
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= cutoff).alias("keep"), "weak_good", "good_votes", "bad_votes")
 
 
+@tidy
 def _kept(batches, model: Model, cutoff: float, text_col: str):
     shapes = Shapes()
     for batch in batches:
-        keep = [_score(shapes, model.weights, text) >= cutoff for part in _texts(batch.column(text_col)) for text in part]
+        keep = [_score(shapes, model.weights, text) >= cutoff for part in text_runs(batch.column(text_col)) for text in part]
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 

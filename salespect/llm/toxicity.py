@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged
+from salespect.llm.batches import texts as text_runs
+from salespect.llm.batches import tidy
 
 TOXIC_WORDS = 500
 ORDINARY_WORDS = 1000
@@ -83,18 +85,20 @@ class Windows:
         return [a for a in map(self.advantage, _WORD.findall((text or "").lower())) if a > 0]
 
 
+@tidy
 def _words(batches):
     """Each labelled text as its different words and how often each is in it."""
     for batch in batches:
-        words, times = [], []
-        for text in batch.column(1).to_pylist():
-            counts = Counter(_WORD.findall(text.lower()))
-            words.append(list(counts))
-            times.append(list(counts.values()))
-        columns = [batch.column(0), batch.column(2), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(columns, ["digest", "label", "words", "times"])
+        first = 0
+        for part in text_runs(batch.column(1)):
+            counts = [Counter(_WORD.findall(text.lower())) for text in part]
+            words, times = pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))
+            columns = [batch.column(0).slice(first, len(part)), batch.column(2).slice(first, len(part)), words, times]
+            yield pa.RecordBatch.from_arrays(columns, ["digest", "label", "words", "times"])
+            first += len(part)
 
 
+@tidy
 def _hits(frames, toxic, ordinary):
     windows = Windows(toxic, ordinary)
     for frame in frames:
@@ -163,10 +167,11 @@ def train(rows: DataFrame) -> Model:
     return Model(toxic, ordinary, *_calibrated(table))
 
 
+@tidy
 def _scored(batches, model: Model):
     windows = Windows(model.toxic, model.ordinary)
     for batch in batches:
-        hits = [sum(a >= model.threshold for a in windows.advantages(text)) for text in batch.column(2).to_pylist()]
+        hits = [sum(a >= model.threshold for a in windows.advantages(text)) for part in text_runs(batch.column(2)) for text in part]
         scores = [model.scores[min(MOST_HITS, n)] for n in hits]
         columns = [batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array(scores, pa.float64())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "windows", "score"])
@@ -183,10 +188,11 @@ def score_toxicity(docs: DataFrame, model: Model, cutoff: float = 0.7) -> DataFr
     return out.select("doc_id", "held_out", "score", (F.col("score") >= cutoff).cast("int").alias("predicted"), "windows")
 
 
+@tidy
 def _kept(batches, model: Model, cutoff: float):
     windows = Windows(model.toxic, model.ordinary)
     for batch in batches:
-        hits = [sum(a >= model.threshold for a in windows.advantages(text)) for text in batch.column("text").to_pylist()]
+        hits = [sum(a >= model.threshold for a in windows.advantages(text)) for part in text_runs(batch.column("text")) for text in part]
         yield batch.filter(pa.array([model.scores[min(MOST_HITS, n)] < cutoff for n in hits], pa.bool_()))
 
 
