@@ -17,31 +17,46 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Shuffle files of a staged write go with the write: its table is read from then on, never its plan.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
-# Per session the number of writes at work and the setting that the first of them found.
-_WRITING: WeakKeyDictionary[SparkSession, tuple[int, str | None]] = WeakKeyDictionary()
+# Per session and setting the number of writes at work and the value that the first of them found.
+_WRITING: WeakKeyDictionary[SparkSession, dict[str, tuple[int, str | None]]] = WeakKeyDictionary()
 _LOCK = Lock()
 
 
 @contextmanager
-def _cleaned_up(spark: SparkSession):
-    """The setting holds while any thread writes, and the last one restores what the first one found."""
+def _held(spark: SparkSession, key: str, value: str | None):
+    """The setting holds while any thread writes, and the last one restores what the first one found; None holds nothing."""
+    if value is None:
+        yield
+        return
     with _LOCK:
-        writes, before = _WRITING.get(spark) or (0, spark.conf.get(CLEANUP, None))
-        spark.conf.set(CLEANUP, "true")
-        _WRITING[spark] = writes + 1, before
+        held = _WRITING.setdefault(spark, {})
+        writes, before = held.get(key) or (0, spark.conf.get(key, None))
+        spark.conf.set(key, value)
+        held[key] = writes + 1, before
     try:
         yield
     finally:
         with _LOCK:
-            writes, before = _WRITING.pop(spark)
+            writes, before = held.pop(key)
             if writes > 1:
-                _WRITING[spark] = writes - 1, before
+                held[key] = writes - 1, before
             elif before is None:
-                spark.conf.unset(CLEANUP)
+                spark.conf.unset(key)
             else:
-                spark.conf.set(CLEANUP, before)
+                spark.conf.set(key, before)
+
+
+def _cleaned_up(spark: SparkSession):
+    return _held(spark, CLEANUP, "true")
+
+
+def _at_most(spark: SparkSession, rows: int | None) -> str | None:
+    """Rows of an Arrow batch, unless the session asks for fewer."""
+    mine = int(spark.conf.get(BATCH_ROWS, None) or 0)
+    return None if rows is None or 0 < mine <= rows else str(rows)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -72,11 +87,15 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write the rows once and return a scan of what was written."""
+def staged(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Write the rows once and return a scan of what was written.
+
+    With batch_rows, Python tasks of this write get Arrow batches of at most so
+    many rows: of wide rows, Spark's 10,000 are buffers of up to 100 MB a task.
+    """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    with _cleaned_up(spark):
+    with _cleaned_up(spark), _held(spark, BATCH_ROWS, _at_most(spark, batch_rows)):
         df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[out] = path

@@ -8,6 +8,7 @@ from functools import wraps
 import pyarrow as pa
 
 ROWS = 512  # texts taken from a batch at once
+STAGED_ROWS = 1000  # of an Arrow batch in writes of texts and sets
 
 
 def texts(column: pa.Array, rows: int = ROWS) -> Iterator[list[str | None]]:

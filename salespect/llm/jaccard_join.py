@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespect.functions.staging import release, staged
-from salespect.llm.batches import tidy
+from salespect.llm.batches import STAGED_ROWS, tidy
 from salespect.llm.components import connected_components
 from salespect.llm.words import Alphabet, free_name, mix, shingle_set, text_slices, words
 
@@ -213,11 +213,11 @@ def _sets_of(texts: DataFrame, size: int) -> DataFrame:
 def _candidates(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The sets of the wanted classes (id, key), once each; a class of null ids alone is found by its texts."""
     some = texts.where("text is not null")
-    sets = staged(_sets_of(some.join(wanted.where("id is not null"), "id", "left_semi"), size), "candidate-sets")
+    sets = staged(_sets_of(some.join(wanted.where("id is not null"), "id", "left_semi"), size), "candidate-sets", STAGED_ROWS)
     nameless = wanted.where("id is null").select("key")
     if nameless.limit(1).count():
         named, sets = sets, sets.unionByName(_sets_of(some.where("id is null"), size).join(nameless, "key", "left_semi"))
-        sets = staged(sets, "candidate-sets")
+        sets = staged(sets, "candidate-sets", STAGED_ROWS)
         release(named)
     if sets.groupBy("key").count().where("count > 1").limit(1).count():  # repeated ids
         repeated, sets = sets, staged(sets.groupBy("key").agg(F.first("shingles").alias("shingles")), "candidate-sets")
@@ -257,7 +257,7 @@ def _links(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, pe
     right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right_set"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "left_set", "right_set")
     tested = full.mapInArrow(partial(_measured, percent=percent), "a long, b long, shared long, total long")
-    links = staged(tested.where(f"total > 0 and 100 * shared >= {percent} * total").select("a", "b"), "links")
+    links = staged(tested.where(f"total > 0 and 100 * shared >= {percent} * total").select("a", "b"), "links", STAGED_ROWS)
     release(sets, wanted, nodes)
     return links
 
@@ -315,6 +315,7 @@ def jaccard_components(
     signatures = staged(
         texts.mapInArrow(partial(_signatures, size=size), "kind int, id long, size long, key long, other long, counts binary, " + ", ".join(f"{p} long" for p in _PARITY)),
         "shingle-sets",
+        STAGED_ROWS,
     )
     rows = signatures.where("kind = 0").drop("kind", "counts")
     facts = [F.first(x).alias(x) for x in ("size", *_PARITY)]
@@ -332,7 +333,7 @@ def jaccard_components(
         .groupBy("block")
         .applyInPandas(_shared, "shingle long, key long, size int, place int")
     )
-    entries = staged(entries, "prefixes")
+    entries = staged(entries, "prefixes", STAGED_ROWS)
     counts.unpersist()
 
     first = entries.groupBy("shingle").agg(F.min("key").alias("pivot"), F.min(F.struct("key", "size", "place")).alias("p"), F.max("key").alias("q"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged
-from salespect.llm.batches import tidy
+from salespect.llm.batches import STAGED_ROWS, tidy
 from salespect.llm.tokens import Encoder, balanced
 
 PARTNERS = 64  # the most frequent lengths tried as the middle one of three
@@ -177,7 +177,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2048, id_co
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = "id long, start long, length int, doc_tokens long, part int, rank long, ids array<int>"
-    pieces = staged(rows.mapInArrow(partial(_pieces, path=tokenizer, end_id=end_id, window=window), schema), "pieces")
+    pieces = staged(rows.mapInArrow(partial(_pieces, path=tokenizer, end_id=end_id, window=window), schema), "pieces", STAGED_ROWS)
     per_part = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     bases = per_part.selectExpr("length", "part", "n", "sum(n) over (partition by length order by part) - n as base")
     bases = bases.selectExpr("length", "part", "base", f"explode(sequence(0L, (n - 1) div {BLOCK})) as block")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from salespect.functions.staging import staged
 from salespect.llm.batches import texts as text_runs
-from salespect.llm.batches import tidy
+from salespect.llm.batches import STAGED_ROWS, tidy
 
 TOXIC_WORDS = 500
 ORDINARY_WORDS = 1000
@@ -147,7 +147,7 @@ def train(rows: DataFrame) -> Model:
     worded = keyed.mapInArrow(_words, "digest binary, label int, words array<string>, times array<int>")
     # Copies of a text are one witness. Words cross the shuffle once, texts never.
     once = worded.groupBy("digest", "label").agg(F.first("words").alias("words"), F.first("times").alias("times"), F.count("*").alias("copies"))
-    once = staged(once.select("label", "words", "times", "copies"), "toxic-texts")
+    once = staged(once.select("label", "words", "times", "copies"), "toxic-texts", STAGED_ROWS)
     counts = once.select(F.explode("words").alias("word"), "label").groupBy("word").agg(F.sum("label").alias("t"), F.sum(F.expr("1 - label")).alias("o"))
     counts = staged(counts, "toxic-words")
     total = once.agg(F.sum("label").alias("t"), F.sum(F.expr("1 - label")).alias("o")).first()

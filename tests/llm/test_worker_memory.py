@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from salespect.functions.staging import BATCH_ROWS, staged
 from salespect.llm import batches, decontaminate, jaccard_join, packing, quality, toxicity
 
 
@@ -50,3 +51,23 @@ def test_leaks_read_no_rows_made_in_python(spark):
         assert "ExistingRDD" not in found._jdf.queryExecution().toString()
         assert found.dtypes == [("doc_id", "bigint"), ("item_id", "bigint"), ("marked", "bigint"), ("item_words", "bigint"), ("row_key", "string")]
         assert found.count() == leaks
+
+
+def test_staged_writes_take_small_batches_and_leave_the_session(spark):
+    rows = spark.range(0, 5000, 1, 1)
+
+    def sizes(found):
+        for batch in found:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    def largest(batch_rows):
+        return staged(rows.mapInArrow(sizes, "n long"), "sizes", batch_rows).agg(F.max("n"), F.sum("n")).first()
+
+    assert spark.conf.get(BATCH_ROWS, None) is None
+    assert tuple(largest(1000)) == (1000, 5000) and tuple(largest(None)) == (5000, 5000)
+    assert spark.conf.get(BATCH_ROWS, None) is None
+    spark.conf.set(BATCH_ROWS, "300")
+    try:
+        assert tuple(largest(1000)) == (300, 5000) and spark.conf.get(BATCH_ROWS) == "300"
+    finally:
+        spark.conf.unset(BATCH_ROWS)
