@@ -19,6 +19,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ _SPACE, _LETTERS, _NUMBERS, _SIGNS = range(4)
 _CLASS = np.full(0x20AD, _SIGNS, np.uint8)
 for _kind, _said in ((_SPACE, "\\s"), (_LETTERS, _LETTER), (_NUMBERS, _NUMBER)):
     _CLASS[[c for c in range(len(_CLASS)) if re.match(f"[{_said}]", chr(c))]] = _kind
+_BYTE_CLASS = _CLASS[:256].tobytes()
 # Byte-level vocabularies write a byte that is no visible character as the next one from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = np.arange(256, dtype="<u4")
@@ -91,6 +93,8 @@ class Encoder:
             out[n] = pack(tokens[0].id) if len(tokens) == 1 else b"".join([pack(token.id) for token in tokens])
         self.kept.update(zip(pieces, out))
         self.held += sum(map(len, pieces)) + sum(map(len, out)) + ENTRY_BYTES * len(pieces)
+        for piece in [piece for piece in pieces if len(piece) > LONGEST_KEPT]:
+            self.held -= len(piece) + len(self.kept.pop(piece)) + ENTRY_BYTES
         return out
 
     def _merged(self, texts: list[bytes]) -> list[bytes]:
@@ -106,10 +110,8 @@ class Encoder:
         new = [n for n, known in enumerate(ids) if known is None]
         for n, learnt in zip(new, self._learn([used[n] for n in new]), strict=True):
             ids[n] = learnt
-            if len(used[n]) > LONGEST_KEPT:
-                self.held -= len(used[n]) + len(self.kept.pop(used[n])) + ENTRY_BYTES
         count = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-        which = pieces.indices.to_numpy()
+        which = pieces.indices.to_numpy().astype(np.intp)
         often = count[which]
         last = np.cumsum(often, dtype=np.int64)
         at = np.repeat((np.cumsum(count) - count)[which] - (last - often), often)
@@ -127,9 +129,20 @@ class Encoder:
         return out
 
 
+def lasting_encoder(path: str) -> Encoder:
+    """The encoder of a file that the tasks of one worker share, with the pieces it knows; a changed file gets a new one."""
+    told = os.stat(path)
+    return _encoder(path, told.st_mtime_ns, told.st_size)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, changed: int, size: int) -> Encoder:
+    return Encoder(path)
+
+
 def _classes(data: np.ndarray) -> np.ndarray:
     """Class of the character that each byte belongs to, in UTF-8 of known characters."""
-    out = _CLASS[data]
+    out = np.frombuffer(bytearray(data.tobytes().translate(_BYTE_CLASS)), np.uint8)
     lead = np.flatnonzero(data >= 0xC0)
     two, three = lead[data[lead] < 0xE0], lead[data[lead] >= 0xE0]
     low = data & 0x3F

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salespect.functions.staging import staging_path
-from salespect.llm.tokens import Encoder, balanced
+from salespect.llm.tokens import balanced, lasting_encoder
 
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
@@ -55,10 +55,10 @@ class WaveletMatrix:
         planes, zeros = np.zeros((bits, len(ids)), np.uint8), np.zeros(bits, np.int64)
         ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         for level in range(bits):
-            bit = (ids & ids.dtype.type(1 << (bits - 1 - level))).astype(bool)
-            planes[level] = bit
-            zeros[level] = len(ids) - np.count_nonzero(bit)
-            ids = np.concatenate((ids[~bit], ids[bit]))
+            one = np.not_equal(ids & ids.dtype.type(1 << (bits - 1 - level)), 0, out=planes[level].view(bool))
+            low, high = np.flatnonzero(~one), np.flatnonzero(one)  # taking by places is far quicker than by mask
+            zeros[level] = len(low)
+            ids = np.concatenate((ids[low], ids[high]))
         return cls(planes, zeros, len(planes[0]))
 
     def _rank1(self, level: int, at: int) -> int:
@@ -114,12 +114,13 @@ class WaveletMatrix:
     def all(self) -> np.ndarray:
         """The whole sequence: each level's stable partition undone, from the lowest plane up."""
         out = np.zeros(self.size, np.uint16 if self.bits <= 16 else np.uint32)
+        back = np.empty_like(out)
         for level in reversed(range(self.bits)):
-            one = self.planes[level].astype(bool)
-            back = np.empty_like(out)
+            one = self.planes[level].view(bool)
             zeros = int(self.zeros[level])
-            back[~one], back[one] = out[:zeros], out[zeros:] | out.dtype.type(1 << (self.bits - 1 - level))
-            out = back
+            out[zeros:] |= out.dtype.type(1 << (self.bits - 1 - level))
+            back[np.flatnonzero(~one)], back[np.flatnonzero(one)] = out[:zeros], out[zeros:]
+            out, back = back, out
         return out.astype(np.uint32)
 
     def dump(self) -> bytes:
@@ -156,7 +157,7 @@ def load_shard(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
 def _shards(batches, path: str, end_id: int, shard_tokens: int):
     from pyspark import TaskContext
 
-    encoder, part, number = Encoder(path), TaskContext.get().partitionId(), 0
+    encoder, part, number = lasting_encoder(path), TaskContext.get().partitionId(), 0
     ending = np.array([end_id], "<u4").tobytes()
     names, pieces, lengths, held = [], [], [], 0
 

@@ -519,3 +519,54 @@ def test_pages_equal_a_walk_over_their_tree(spark):
     for r in html_text.extract_text(frame).collect():
         assert r["text"] == want.get(r["page_id"], "") and r["n_chars"] == len(r["text"])
     assert html_text.extract_text(frame.limit(0)).count() == 0
+
+
+def test_tasks_of_a_worker_share_an_encoder(monkeypatch, tmp_path):
+    import pyarrow as pa
+    import pyspark
+
+    from salespect.llm import tokens
+
+    class Task:
+        get = classmethod(lambda cls: cls)
+        partitionId = classmethod(lambda cls: 0)
+
+    class Counted(tokens.Encoder):
+        made: list[str] = []
+
+        def __init__(self, path: str) -> None:
+            self.made.append(path)
+            super().__init__(path)
+
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    for module in (tokens, wavelet):
+        if hasattr(module, "Encoder"):
+            monkeypatch.setattr(module, "Encoder", Counted)
+    path = tmp_path / "tokenizer.json"
+    with open(BPE, "rb") as file:
+        said = file.read()
+    path.write_bytes(said)
+
+    def ids(*texts):
+        rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "text"])
+        (shard,) = wavelet._shards(iter([rows]), str(path), 2, wavelet.SHARD_TOKENS)
+        return wavelet.load_shard(shard.column("data")[0].as_py())[0].all().tolist()
+
+    assert ids("one two", "") == [*ids_of("one two"), 2, 2]
+    assert ids("two three") == [*ids_of("two three"), 2] and ids("one two") == [*ids_of("one two"), 2]
+    assert Counted.made == [str(path)]
+    # Another file below the same name is read anew.
+    path.write_bytes(said + b"\n")
+    assert ids("one") == [*ids_of("one"), 2] and len(Counted.made) == 2
+
+
+@pytest.mark.parametrize("top", [1, 2, 1 << 16, (1 << 16) + 1, 1 << 20])
+def test_planes_are_stable_partitions(top):
+    given = np.random.default_rng(top).integers(0, top, 700).astype(np.uint32)
+    matrix, ids = wavelet.WaveletMatrix.build(given), given.tolist()
+    for level in range(matrix.bits):
+        bits = [n >> (matrix.bits - 1 - level) & 1 for n in ids]
+        assert matrix.planes[level].tolist() == bits and matrix.zeros[level] == bits.count(0)
+        ids = [n for n, bit in zip(ids, bits, strict=True) if not bit] + [n for n, bit in zip(ids, bits, strict=True) if bit]
+    before = matrix.planes.copy()
+    assert matrix.all().tolist() == given.tolist() and (matrix.planes == before).all()
