@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 
 GENERATION_BYTES = 48 << 20
+LASTING_BYTES = 96 << 20  # the same of an encoder that serves many tasks
 ENTRY_BYTES = 220  # of a kept piece besides its characters and ids
 LONGEST_KEPT = 128
 BATCH_BYTES = 2 << 20
@@ -53,7 +54,7 @@ _BOUNDARY = re.compile(f"(?<={_SURE})(?=[ \n])")
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes; special strings in a text as the library takes them."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, generation_bytes: int | None = None) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -70,6 +71,7 @@ class Encoder:
         self.kept: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.held = 0
+        self.limit = GENERATION_BYTES if generation_bytes is None else generation_bytes
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -124,7 +126,7 @@ class Encoder:
         plain = [bool(self.cuts and not (self.special and self.special.search(text)) and _KNOWN.fullmatch(text)) for text in texts]
         merged = iter(self._merged([text.encode() for text, cut in zip(texts, plain, strict=True) if cut]) if any(plain) else ())
         out = [next(merged) if cut else self._stretches(text) if self.cuts else self._plain(text) for text, cut in zip(texts, plain, strict=True)]
-        if self.held > GENERATION_BYTES:
+        if self.held > self.limit:
             self.old, self.kept, self.held = self.kept, {}, 0
         return out
 
@@ -137,7 +139,7 @@ def lasting_encoder(path: str) -> Encoder:
 
 @lru_cache(maxsize=1)
 def _encoder(path: str, changed: int, size: int) -> Encoder:
-    return Encoder(path)
+    return Encoder(path, LASTING_BYTES)
 
 
 def _classes(data: np.ndarray) -> np.ndarray:

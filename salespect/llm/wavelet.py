@@ -15,6 +15,7 @@ the smallest value marks null) and their lengths (u64).
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 from functools import cached_property, partial
 
 import numpy as np
@@ -28,10 +29,22 @@ from salespect.llm.tokens import balanced, lasting_encoder
 
 SHARD_TOKENS = 1 << 20
 BLOCK = 512
+STEP = 1 << 16
 _MAGIC = b"WVM1"
 _NULL = -(1 << 63)
 
 
+def _moves(one: np.ndarray, zeros: int) -> Iterator[tuple[slice, slice, np.ndarray]]:
+    """A level's stable partition in blocks that fit caches: where from, where to, and the places in the first slice."""
+    to = [0, zeros]
+    for at in range(0, len(one), STEP):
+        here = slice(at, at + STEP)
+        for bit, mask in enumerate((~one[here], one[here])):
+            places = np.flatnonzero(mask)
+            yield here, slice(to[bit], to[bit] + len(places)), places
+            to[bit] += len(places)
+
+
 class WaveletMatrix:
     """Access, rank, select and counting over a sequence of ids, from bit planes."""
 
@@ -54,11 +67,13 @@ class WaveletMatrix:
         bits = max(1, int(ids.max()).bit_length()) if len(ids) else 1
         planes, zeros = np.zeros((bits, len(ids)), np.uint8), np.zeros(bits, np.int64)
         ids = ids.astype(np.uint16 if bits <= 16 else np.uint32)
+        back = np.empty_like(ids)
         for level in range(bits):
             one = np.not_equal(ids & ids.dtype.type(1 << (bits - 1 - level)), 0, out=planes[level].view(bool))
-            low, high = np.flatnonzero(~one), np.flatnonzero(one)  # taking by places is far quicker than by mask
-            zeros[level] = len(low)
-            ids = np.concatenate((ids[low], ids[high]))
+            zeros[level] = len(ids) - np.count_nonzero(one)
+            for here, there, places in _moves(one, int(zeros[level])):
+                ids[here].take(places, out=back[there], mode="clip")
+            ids, back = back, ids
         return cls(planes, zeros, len(planes[0]))
 
     def _rank1(self, level: int, at: int) -> int:
@@ -119,7 +134,8 @@ class WaveletMatrix:
             one = self.planes[level].view(bool)
             zeros = int(self.zeros[level])
             out[zeros:] |= out.dtype.type(1 << (self.bits - 1 - level))
-            back[np.flatnonzero(~one)], back[np.flatnonzero(one)] = out[:zeros], out[zeros:]
+            for here, there, places in _moves(one, zeros):
+                back[here][places] = out[there]
             out, back = back, out
         return out.astype(np.uint32)
 

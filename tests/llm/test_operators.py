@@ -534,9 +534,9 @@ def test_tasks_of_a_worker_share_an_encoder(monkeypatch, tmp_path):
     class Counted(tokens.Encoder):
         made: list[str] = []
 
-        def __init__(self, path: str) -> None:
+        def __init__(self, path: str, *options) -> None:
             self.made.append(path)
-            super().__init__(path)
+            super().__init__(path, *options)
 
     monkeypatch.setattr(pyspark, "TaskContext", Task)
     for module in (tokens, wavelet):
