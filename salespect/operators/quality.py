@@ -666,11 +666,20 @@ def check_parts(df: DataFrame, cfg: Settings = Settings()) -> list[Part]:
 _BASIC_GROUPS = {"nulls": INTEGRITY, "type": INTEGRITY, "customer_coverage": INTEGRITY, "ranges": BUSINESS, "business_rules": BUSINESS}
 
 
+def _reason(error: Exception) -> str:
+    """The first line of an error; of a Java error that came untranslated, as from a failed subquery, that of its innermost cause."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None and cause.getCause() is not None:
+        cause = cause.getCause()
+    said = str(error if cause is None else cause.getMessage() or cause.toString()).strip()
+    return said.splitlines()[0] if said else ""
+
+
 def _outcome(part: Part) -> list[Row]:
     """The part's check rows; where its jobs fail, those of each check alone, and a failed row where that fails too."""
 
     def failed(check: str, error: Exception) -> Row:
-        reason = str(error).strip().splitlines()[0] if str(error).strip() else ""
+        reason = _reason(error)
         group = _BASIC_GROUPS.get(check.split(":")[0], part.group)
         return Row(group, check, "failed", "error", f"could not run: {type(error).__name__}: {reason}"[:500], {})
 

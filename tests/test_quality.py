@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -248,3 +249,17 @@ def test_a_column_that_cannot_be_computed_fails_its_checks_alone(sample, column)
     assert lost - {"duplicates"} == reads[column]
     assert all(rows[c]["status"] == "failed" and "lost file" in rows[c]["message"] for c in reads[column])
     assert rows["row_count"]["status"] == "passed" and rows["business_rules"]["group"] == "Business Rules"
+
+
+def test_the_reason_of_an_untranslated_java_error_is_its_innermost_cause():
+    def java(message, cause=None):
+        return SimpleNamespace(getCause=lambda: cause, getMessage=lambda: message, toString=lambda: f"Error: {message}")
+
+    class Untranslated(Exception):
+        def __init__(self, java_exception):
+            super().__init__("An error occurred while calling o1.collectToPython.\n: trace")
+            self.java_exception = java_exception
+
+    assert q._reason(Untranslated(java("outer", java("between", java("lost file\n\tat line"))))) == "lost file"
+    assert q._reason(Untranslated(java("outer", java(None)))) == "Error: None"
+    assert q._reason(ValueError("plain\nmore")) == "plain" and q._reason(ValueError()) == ""
